@@ -109,6 +109,13 @@ def regression_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _table_stream(spark: SparkSession, sf_dir: str, name: str, schema) -> DataFrame:
+    """A file stream over one table of the folder (new files matching the
+    table's name are picked up as they arrive)."""
+    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+                 .parquet(sf_dir.rstrip("/")))
+
+
 def hashtag_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """``(ts TIMESTAMP, text)`` with one hashtag per event: ``#<event_type>``.
 
@@ -118,7 +125,7 @@ def hashtag_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> Da
     path = f"{sf_dir.rstrip('/')}/events.parquet"
     if stream:
         schema = table(spark, sf_dir, "events").schema
-        src = spark.readStream.schema(schema).parquet(path)
+        src = _table_stream(spark, sf_dir, "events", schema)
     else:
         src = spark.read.parquet(path)
     return src.select(F.col("ts").cast("timestamp").alias("ts"),
@@ -130,7 +137,7 @@ def conversation_texts(spark: SparkSession, sf_dir: str, stream: bool = False) -
     path = f"{sf_dir.rstrip('/')}/conversations.parquet"
     if stream:
         schema = table(spark, sf_dir, "conversations").schema
-        src = spark.readStream.schema(schema).parquet(path)
+        src = _table_stream(spark, sf_dir, "conversations", schema)
     else:
         src = spark.read.parquet(path)
     return src.select("conv_id", "turn", "text")
