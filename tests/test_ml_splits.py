@@ -1,0 +1,83 @@
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import REFERENCE_DATA, rows
+from tessera.operators import ml, splits
+from tessera.sources import readers
+
+
+def _points(spark):
+    path = os.path.join(REFERENCE_DATA, "regression.txt")
+    if not os.path.exists(path):
+        pytest.skip("bundled regression points not present")
+    return readers.read_labeled_points(spark, path)
+
+
+@pytest.mark.parametrize("iters,step,reg,want", [
+    (1, 1.0, 0.1, 0.10024136639602943),
+    (100, 1.0, 0.01, 0.10066852907328923),
+    (100, 2.0, 0.01, 0.10073103047720411),
+    (100, 0.5, 0.01, 0.10188046240656362),
+    (100, 0.1, 0.01, 0.1858145809332145),
+    (100, 1.0, 0.05, 0.11057945309877877),
+])
+def test_sgd_rmse_goldens(spark, iters, step, reg, want):
+    pts = _points(spark)
+    w, _ = ml.sgd_linear_regression(pts, iterations=iters, step=step, reg=reg)
+    got = ml.rmse(ml.predict_linear(pts, w)).first()["rmse"]
+    assert got == pytest.approx(want, rel=1e-9)
+
+
+def test_sgd_one_step_is_mean_xy(spark):
+    pts = spark.createDataFrame([(1.0, 2.0), (3.0, -1.0), (0.5, 0.5)], "label double, feature double")
+    w, n = ml.sgd_linear_regression(pts, iterations=1)
+    assert n == 1 and w == pytest.approx((2.0 - 3.0 + 0.25) / 3)
+
+
+def test_elastic_net_on_bundled_points(spark):
+    pts = _points(spark)
+    model, pred = ml.elastic_net(pts, pts)
+    assert model.coefficients[0] == pytest.approx(-0.71225129381527, rel=1e-6)
+    assert pred.count() == 1000 and pred.columns == ["prediction", "label"]
+
+
+def test_global_row_number_and_kfold(spark):
+    rnd = random.Random(5)
+    data = [(rnd.randint(0, 50), rnd.randint(0, 3)) for _ in range(500)]
+    df = spark.createDataFrame(data, "a int, b int")
+    numbered = splits.global_row_number(df, ["a", "b"], partitions=7)
+    got = [(r["a"], r["b"]) for r in numbered.orderBy("rn").collect()]
+    assert got == sorted(data)
+    assert sorted(r["rn"] for r in numbered.collect()) == list(range(1, 501))
+    folds = splits.kfold_split(df, ["a", "b"], 5)
+    counts = dict(rows(folds.groupBy("fold").count()))
+    assert counts == {0: 100, 1: 100, 2: 100, 3: 100, 4: 100}
+    base, test = splits.fold_sets(folds, 2)
+    assert base.count() + test.count() == 500
+
+
+def test_leave_n_out_split_positions_and_cap(spark):
+    data = [(u, pos) for u in range(4) for pos in range(12 + u)]
+    df = spark.createDataFrame(data, "user int, pos int")
+    out = splits.leave_n_out_split(df, "user", ["pos"], 1, 10)
+    test = out.filter("role = 'test'")
+    assert dict(rows(test.groupBy("user").count())) == {0: 10, 1: 10, 2: 10, 3: 10}
+    assert test.agg(F.max("pos")).first()[0] == 9
+    assert out.count() == len(data)
+    second = splits.leave_n_out_split(df, "user", ["pos"], 11, 20)
+    assert dict(rows(second.filter("role = 'test'").groupBy("user").count())) == {0: 2, 1: 3, 2: 4, 3: 5}
+    capped = splits.leave_n_out_split(df, "user", ["user", "pos"], 1, 10, max_test=15)
+    t = capped.filter("role = 'test'")
+    assert t.count() == 15 and dict(rows(t.groupBy("user").count())) == {0: 10, 1: 5}
+
+
+def test_random_split_deterministic(spark):
+    df = spark.range(2000).withColumnRenamed("id", "k")
+    a = splits.random_split(df, ["k"], (0.3, 0.7), seed=1)
+    b = splits.random_split(df.repartition(13), ["k"], (0.3, 0.7), seed=1)
+    assert rows(a) == rows(b)
+    share = a.filter("split = 0").count() / 2000
+    assert 0.25 < share < 0.35
