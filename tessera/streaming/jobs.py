@@ -73,13 +73,22 @@ def hashtag_top_windows(statuses: DataFrame, window: str = "5 minutes", slide: s
 
 
 def streaming_hashtag_counts(statuses: DataFrame, window: str = "5 minutes", slide: str = "1 second",
-                             watermark: str = "10 minutes") -> DataFrame:
-    """Streaming form of ``hashtag_window_counts`` (two chained event-time
-    aggregations, watermarked so both stages drop finished state)."""
+                             watermark: str = "10 minutes", two_stage: bool = True) -> DataFrame:
+    """Streaming form of ``hashtag_window_counts``.
+
+    ``two_stage=True`` (append mode): two chained event-time aggregations,
+    1-second buckets then sliding windows over ``window_time`` of the
+    buckets; the watermark lets both stages drop finished state. Complete and
+    update modes do not allow chained stateful operators, so they count the
+    sliding windows directly.
+    """
     tags = tags_of(statuses).withWatermark("ts", watermark)
-    per_bucket = tags.groupBy(F.window("ts", slide).alias("b"), "hashtag").agg(F.count(F.lit(1)).alias("c"))
-    sliding = (per_bucket.groupBy(F.window(F.window_time("b"), window, slide).alias("w"), "hashtag")
-                         .agg(F.sum("c").alias("count")))
+    if two_stage:
+        per_bucket = tags.groupBy(F.window("ts", slide).alias("b"), "hashtag").agg(F.count(F.lit(1)).alias("c"))
+        sliding = (per_bucket.groupBy(F.window(F.window_time("b"), window, slide).alias("w"), "hashtag")
+                             .agg(F.sum("c").alias("count")))
+    else:
+        sliding = tags.groupBy(F.window("ts", window, slide).alias("w"), "hashtag").agg(F.count(F.lit(1)).alias("count"))
     return sliding.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                           "hashtag", "count")
 
@@ -90,7 +99,7 @@ def run_hashtag_stream(spark: SparkSession, statuses: DataFrame, out_path: str |
                        trigger_seconds: int = 1, timeout: float | None = None) -> str:
     """Start the hashtag job; returns the sink folder (parquet)."""
     out_path = out_path or scratch_path(spark, "hashtags-out")
-    counts = streaming_hashtag_counts(statuses, window, slide, watermark)
+    counts = streaming_hashtag_counts(statuses, window, slide, watermark, two_stage=output_mode == "append")
 
     def sink(batch: DataFrame, epoch: int) -> None:
         top = top_per_window(batch, k).withColumn("batch", F.lit(epoch))

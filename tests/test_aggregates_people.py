@@ -67,7 +67,7 @@ def test_people_reader_on_bundled_file(spark):
 def test_csv_readers_inline(spark, tmpdir_path):
     path = write_lines(tmpdir_path, "orders.csv", ["44,8602,37.19", "35,5368,65.89", "44,1,0.01"], newline="\r\n")
     o = readers.read_customer_orders(spark, path)
-    assert [r["customer"] for r in aggregates.customer_spend(o).collect()] == [35, 44]
+    assert [tuple(r) for r in aggregates.customer_spend(o).collect()] == [(44, 37.2), (35, 65.89)]
     st = write_lines(tmpdir_path, "st.csv", ["ITE00100554,18000101,TMAX,-75,,,E,", "ITE00100554,18000101,PRCP,0,,,E,"])
     s = readers.read_station_readings(spark, st)
     assert [tuple(r) for r in aggregates.extreme_by_key(s).collect()] == [("ITE00100554", 0)]
