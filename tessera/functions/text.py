@@ -32,7 +32,8 @@ def empty_string_array() -> Column:
 def java_split(c, regex: str) -> Column:
     """``String.split(regex)`` semantics as a Column of ``array<string>``."""
     c = _col(c)
-    stripped = F.regexp_replace(c, f"(?:{regex})+\\z", "")
+    # Possessive: a long delimiter run is never re-partitioned by backtracking.
+    stripped = F.regexp_replace(c, f"(?:{regex})++\\z", "")
     return (F.when(c == "", F.array(F.lit("")))
              .when(stripped == "", empty_string_array())
              .otherwise(F.split(stripped, regex)))

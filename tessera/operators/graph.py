@@ -6,19 +6,21 @@
   vertices with an anti join, and cuts lineage by writing the new frontier to
   the shared checkpoint folder. Every vertex is expanded exactly once.
 
-The edges are repartitioned once by ``(src, bucket)`` (bucket = hash of dst)
-and checkpointed, so each round shuffles only the frontier, and the
+The edges are written once as a table bucketed by ``(src, bucket)``
+(bucket = hash of dst), so each round shuffles only the frontier, and the
 adjacency of a vertex holding a third of all edges is spread over
 ``buckets`` tasks instead of one.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import checkpoint_root, shuffle_partitions
+from tessera.session import materialize, scratch_path, shuffle_partitions
 
 INFINITY = float("inf")
 
@@ -50,11 +52,19 @@ def degrees_top(edges: DataFrame, names: DataFrame, k: int = 10) -> DataFrame:
 
 
 def _prepared_edges(edges: DataFrame, buckets: int) -> DataFrame:
+    """Edges written once as a table bucketed on ``(src, bucket)`` in the shared
+    folder: every round's join then shuffles only the frontier."""
     spark = edges.sparkSession
-    checkpoint_root(spark)
+    parts = shuffle_partitions(spark)
+    path = scratch_path(spark, "edges")
+    name = "tessera_edges_" + uuid.uuid4().hex[:12]
     e = edges.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"),
                      F.pmod(F.xxhash64("dst"), F.lit(buckets)).cast("int").alias("bucket"))
-    return e.repartition(shuffle_partitions(spark), "src", "bucket").checkpoint(eager=True)
+    # Hash-partitioning on the bucket columns first makes each task write one
+    # file per bucket instead of one per (task, bucket).
+    (e.repartition(parts, "src", "bucket").write.bucketBy(parts, "src", "bucket")
+      .option("path", path).mode("overwrite").saveAsTable(name))
+    return spark.table(name)
 
 
 def _expand(prepared: DataFrame, frontier: DataFrame, buckets: int) -> DataFrame:
@@ -67,7 +77,12 @@ def _expand(prepared: DataFrame, frontier: DataFrame, buckets: int) -> DataFrame
 
 def _frontier_rounds(spark: SparkSession, edges: DataFrame, root: int, max_rounds: int, buckets: int,
                      target: int | None = None):
-    """Generator of (round, frontier_size, edges_out, hits, new_frontier_df, reached_df)."""
+    """Generator of (round, frontier_size, edges_out, hits, reached_df).
+
+    Per round: one job writes the newly reached vertices (expand, anti join
+    with the reached set) to the shared folder; ``edges_out``/``hits`` are
+    computed only when a target is given.
+    """
     prepared = _prepared_edges(edges, buckets)
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("distance", T.IntegerType())])
     reached = spark.createDataFrame([(int(root), 0)], schema)
@@ -77,14 +92,21 @@ def _frontier_rounds(spark: SparkSession, edges: DataFrame, root: int, max_round
         if frontier_size == 0:
             yield rnd, 0, 0, 0, reached
             continue
-        cand = _expand(prepared, frontier, buckets).checkpoint(eager=True)
-        stats = cand.agg(F.coalesce(F.sum("mult"), F.lit(0)).alias("out"),
-                         F.coalesce(F.sum(F.when(F.col("id") == F.lit(target), F.col("mult"))), F.lit(0)).alias("hits")
-                         ).first()
-        new = (cand.select("id").join(reached.select("id"), "id", "left_anti")
-                   .select("id", F.lit(rnd).cast("int").alias("distance"))).checkpoint(eager=True)
+        cand = _expand(prepared, frontier, buckets)
+        if target is None:
+            out = hits = 0
+            new = materialize(cand.join(reached.select("id"), "id", "left_anti")
+                                  .select("id", F.lit(rnd).cast("int").alias("distance")), "bfs-frontier")
+        else:
+            seen = reached.select("id", F.lit(True).alias("seen"))
+            flagged = materialize(cand.join(seen, "id", "left"), "bfs-candidates")
+            stats = flagged.agg(F.coalesce(F.sum("mult"), F.lit(0)).alias("out"),
+                                F.coalesce(F.sum(F.when(F.col("id") == F.lit(target), F.col("mult"))),
+                                           F.lit(0)).alias("hits")).first()
+            out, hits = int(stats["out"]), int(stats["hits"])
+            new = flagged.filter(F.col("seen").isNull()).select("id", F.lit(rnd).cast("int").alias("distance"))
         reached = reached.unionByName(new)
-        yield rnd, frontier_size, int(stats["out"]), int(stats["hits"]), reached
+        yield rnd, frontier_size, out, hits, reached
         frontier = new.select("id")
         frontier_size = new.count()
 

@@ -89,3 +89,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan (file sizes for scans), or None."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # estimate unavailable (e.g. Spark Connect)
+        return None
+
+
+def spread_small_input(df: DataFrame, max_bytes: int = 1 << 30) -> DataFrame:
+    """Spread a small input over all cores before CPU-heavy row work.
+
+    A small file may hold a single row group, which one task reads and then
+    tokenises alone. Below ``max_bytes`` a round-robin repartition is cheap
+    and lets every core work; large inputs are already split across many
+    tasks by the scan and are left untouched (no extra shuffle at scale).
+    """
+    size = estimated_bytes(df)
+    if size is None or size > max_bytes:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import text_lines
+from tessera.session import spread_small_input
 
 # Lineitem order used wherever "file order" matters (splits). The key pair is
 # not unique, so every remaining column breaks ties.
@@ -68,7 +69,7 @@ def station_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def book_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document, whole texts: ``value STRING``."""
-    d = table(spark, sf_dir, "documents").select("text")
+    d = spread_small_input(table(spark, sf_dir, "documents").select("text"))
     return d.select(F.explode(text_lines(F.col("text"))).alias("value"))
 
 
