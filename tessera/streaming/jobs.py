@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import hashtags
-from tessera.session import scratch_path
+from tessera.session import scratch_path, shuffle_partitions
 
 
 def _seconds(duration: str) -> int:
@@ -50,6 +50,9 @@ def hashtag_window_counts(statuses: DataFrame, window: str = "5 minutes", slide:
                   .agg(F.count(F.lit(1)).alias("c")))
     copies = w // s
     bucket_start = F.unix_seconds(F.col("b.start"))
+    # The bucket table is small but each row is copied ``copies`` times next:
+    # an explicit partition count keeps AQE from coalescing it into one task.
+    per_bucket = per_bucket.repartition(shuffle_partitions(statuses.sparkSession), "hashtag", "b")
     spread = per_bucket.select(
         "hashtag", "c",
         F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("k"), bucket_start.alias("bs"))
