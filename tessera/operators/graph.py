@@ -126,6 +126,21 @@ def bfs_distances(edges: DataFrame, root: int, max_rounds: int = 10, buckets: in
     return reached
 
 
+def bfs_distance_to(edges: DataFrame, root: int, target: int, max_rounds: int = 10,
+                    buckets: int = 8) -> DataFrame:
+    """``(id, distance)`` of ``target`` (no row when it is not reached within
+    ``max_rounds``). The search stops at the round that first reaches the
+    target: in a breadth-first search that distance is already final."""
+    spark = edges.sparkSession
+    if root == target:
+        return spark.createDataFrame([(int(target), 0)], "id long, distance int")
+    reached = None
+    for _, frontier, _, hits, reached in _frontier_rounds(spark, edges, root, max_rounds, buckets, target):
+        if hits > 0 or frontier == 0:
+            break
+    return reached.filter(F.col("id") == F.lit(target))
+
+
 def with_unreached(distances: DataFrame, vertices: DataFrame) -> DataFrame:
     """All vertices, unreached ones at +infinity (double), like the Pregel
     initial value."""

@@ -191,8 +191,8 @@ def q_bfs_distances(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_bfs_vertex_probe(spark: SparkSession, sf: str) -> DataFrame:
-    d = graph.bfs_distances(B.graph_edges(spark, sf), PARAMS["bfs_root"], PARAMS["bfs_rounds"])
-    hit = d.filter(F.col("id") == F.lit(PARAMS["bfs_target"]))
+    hit = graph.bfs_distance_to(B.graph_edges(spark, sf), PARAMS["bfs_root"], PARAMS["bfs_target"],
+                                PARAMS["bfs_rounds"])
     return ranking.lookup_names(hit, B.vertex_names(spark, sf), "id", "id", "name", "left").select(
         "id", "name", "distance")
 
@@ -244,6 +244,16 @@ def q_stream_hashtags_5m(spark: SparkSession, sf: str) -> DataFrame:
     return top.select(F.unix_seconds("window_start").alias("window_start"), "hashtag", "count", "rank")
 
 
+def q_stream_popular_word(spark: SparkSession, sf: str) -> DataFrame:
+    out = S.run_popular_words(spark, B.conversation_texts(spark, sf, stream=True), k=PARAMS["top_k"])
+    return spark.read.parquet(out).select("word", "count")
+
+
+def q_stream_avg_length(spark: SparkSession, sf: str) -> DataFrame:
+    out = S.run_avg_length(spark, B.conversation_texts(spark, sf, stream=True))
+    return spark.read.parquet(out).select(_rd("avg_length").alias("avg_length"), "n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customer_spend": q_customer_spend,
     "rating_histogram": q_rating_histogram,
@@ -280,4 +290,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "random_split": q_random_split,
     "stream_top_lengths": q_stream_top_lengths,
     "stream_hashtags_5m": q_stream_hashtags_5m,
+    "stream_popular_word": q_stream_popular_word,
+    "stream_avg_length": q_stream_avg_length,
 }

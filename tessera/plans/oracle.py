@@ -170,4 +170,8 @@ SQL: dict[str, str] = {
       SELECT window_start, hashtag, count,
              CAST(row_number() OVER (PARTITION BY window_start ORDER BY count DESC, hashtag) AS INTEGER) AS rank
       FROM w QUALIFY rank <= 10""",
+    "stream_popular_word": r"""SELECT word, count(*) AS count FROM
+      (SELECT unnest(regexp_split_to_array(text, '[ \t\n\r\f]+')) AS word FROM conversations) t
+      WHERE word <> '' GROUP BY word ORDER BY count DESC, word LIMIT 10""",
+    "stream_avg_length": """SELECT round(avg(length(text)), 6) AS avg_length, count(*) AS n FROM conversations""",
 }

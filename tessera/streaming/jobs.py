@@ -139,12 +139,48 @@ def run_top_lengths_stream(spark: SparkSession, statuses: DataFrame, out_path: s
     return out_path
 
 
+WHITESPACE = "[ \t\n\r\f]+"
+
+
 def word_running_counts(statuses: DataFrame, text: str = "text") -> DataFrame:
-    """Streaming running count per word (whitespace tokens, lowercased)."""
-    words = statuses.select(F.explode(F.split(F.lower(F.col(text)), r"\s+")).alias("word")).filter(F.col("word") != "")
+    """Running count per whitespace-separated word (a stateful aggregation:
+    one state row per distinct word)."""
+    words = statuses.select(F.explode(F.split(F.col(text), WHITESPACE)).alias("word")).filter(F.col("word") != "")
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 def running_avg_length(statuses: DataFrame, text: str = "text") -> DataFrame:
-    """Streaming running average text length (one row)."""
+    """Running average text length (one state row)."""
     return statuses.agg(F.avg(F.length(F.col(text))).alias("avg_length"), F.count(F.lit(1)).alias("n"))
+
+
+def run_running_aggregate(spark: SparkSession, result: DataFrame, out_path: str | None = None,
+                          k: int | None = None, order=None, available_now: bool = True, trigger_seconds: int = 1,
+                          timeout: float | None = None, name: str = "running") -> str:
+    """Run a stateful running aggregation in complete mode; each micro-batch
+    replaces the sink with the current result (optionally its top k).
+    Returns the sink folder."""
+    out_path = out_path or scratch_path(spark, name + "-out")
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        cur = batch.orderBy(*order).limit(k) if k else batch
+        cur.withColumn("batch", F.lit(epoch).cast("long")).write.mode("overwrite").parquet(out_path)
+
+    writer = (result.writeStream.outputMode("complete").foreachBatch(sink)
+                    .option("checkpointLocation", out_path + "-checkpoint"))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
+        processingTime=f"{trigger_seconds} seconds")
+    query = writer.start()
+    query.awaitTermination(timeout)
+    return out_path
+
+
+def run_popular_words(spark: SparkSession, statuses: DataFrame, k: int = 10, **kw) -> str:
+    """The k most frequent words so far (ties: word ascending)."""
+    return run_running_aggregate(spark, word_running_counts(statuses), k=k,
+                                 order=[F.col("count").desc(), F.col("word").asc()], name="popular-words", **kw)
+
+
+def run_avg_length(spark: SparkSession, statuses: DataFrame, **kw) -> str:
+    """The running average text length."""
+    return run_running_aggregate(spark, running_avg_length(statuses), name="avg-length", **kw)

@@ -70,3 +70,12 @@ def test_degrees_top_and_sum(spark):
     names = spark.createDataFrame([(2, "two"), (5, "five"), (0, "zero")], "id long, name string")
     top = [tuple(r) for r in graph.degrees_top(df, names, 2).collect()]
     assert top == [(2, "two", d[2]), (5, "five", d[5])]
+
+
+def test_bfs_distance_to_stops_early(spark):
+    e = _edges()
+    df = spark.createDataFrame(e, "src long, dst long")
+    want = brute_bfs(e, 0, 10)
+    for target in (0, 6, 10, 13, 100):
+        got = rows(graph.bfs_distance_to(df, 0, target, 10))
+        assert got == ([(target, want[target])] if target in want else [])

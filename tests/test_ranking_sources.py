@@ -60,3 +60,13 @@ def test_stop_words_and_json(spark, tmpdir_path):
     assert rows(readers.read_stop_words(spark, sw)) == [("a",), ("the",)]
     js = write_lines(tmpdir_path, "p.json", ['{"id": 1, "name": "x"}', '{"id": 2, "name": "y"}'])
     assert readers.read_json(spark, js, "id int, name string").count() == 2
+
+
+def test_sinks_round_trip(spark, tmpdir_path):
+    from tessera.sources import sinks
+
+    df = spark.createDataFrame([(1, 2, 0.5), (3, 4, 1.0)], "item1 long, item2 long, score double")
+    sinks.write_table(df, tmpdir_path + "/sims", partition_by=["item1"])
+    assert spark.read.parquet(tmpdir_path + "/sims").count() == 2
+    sinks.write_text_lines(df, tmpdir_path + "/sims.txt")
+    assert rows(spark.read.text(tmpdir_path + "/sims.txt")) == [("1,2,0.5",), ("3,4,1.0",)]
