@@ -131,3 +131,57 @@ def test_bundled_similar_to_item_180(spark):
     assert best == [(661, 0.98234, 55), (192, 0.97723, 80), (223, 0.97629, 78)]
     full = similarity.item_similarity(r.filter(F.col("user") < 200)).filter("item1 = 180 OR item2 = 180")
     assert full.filter("score > 1.0000001").count() == 0
+
+
+def _brute_metric(ratings, metric):
+    acc = defaultdict(lambda: defaultdict(list))
+    for u, i, r in ratings:
+        acc[u][i].append(r)
+    per = {u: {i: sum(v) / len(v) for i, v in items.items()} for u, items in acc.items()}
+    raters = defaultdict(set)
+    for u, items in per.items():
+        for i in items:
+            raters[i].add(u)
+    out = {}
+    items = sorted(raters)
+    for a in items:
+        for b in items:
+            if a >= b:
+                continue
+            co = raters[a] & raters[b]
+            if not co:
+                continue
+            xs = [per[u][a] for u in co]
+            ys = [per[u][b] for u in co]
+            n = len(co)
+            if metric == "pearson":
+                sx, sy = sum(xs), sum(ys)
+                num = n * sum(x * y for x, y in zip(xs, ys)) - sx * sy
+                den = math.sqrt(n * sum(x * x for x in xs) - sx * sx) * math.sqrt(n * sum(y * y for y in ys) - sy * sy)
+                out[(a, b)] = 0.0 if den == 0 else num / den
+            else:
+                out[(a, b)] = n / len(raters[a] | raters[b])
+    return out
+
+
+@pytest.mark.parametrize("metric", ["pearson", "jaccard"])
+def test_other_metrics_match_brute_force(spark, metric):
+    data = _random_ratings(5, users=25, items=20, per_user=(1, 15))
+    df = spark.createDataFrame(data, "user long, item long, rating int")
+    want = _brute_metric(data, metric)
+    got = {(r["item1"], r["item2"]): r["score"]
+           for r in similarity.item_similarity(df, metric=metric, block_items=8, group_rows=40).collect()}
+    assert set(got) == set(want)
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, abs=1e-9)
+    one = {r["item"]: r["score"] for r in similarity.item_similarity_to(df, 3, metric=metric).collect()}
+    for (a, b), v in want.items():
+        if 3 in (a, b):
+            assert one[b if a == 3 else a] == pytest.approx(v, abs=1e-9)
+
+
+def test_min_rating_floor(spark):
+    data = [(1, 1, 5), (1, 2, 2), (1, 3, 4), (2, 1, 4), (2, 3, 5), (2, 2, 1)]
+    df = spark.createDataFrame(data, "user long, item long, rating int")
+    got = {(r["item1"], r["item2"]) for r in similarity.item_similarity(df, min_rating=3).collect()}
+    assert got == {(1, 3)}
