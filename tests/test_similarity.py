@@ -185,3 +185,22 @@ def test_min_rating_floor(spark):
     df = spark.createDataFrame(data, "user long, item long, rating int")
     got = {(r["item1"], r["item2"]) for r in similarity.item_similarity(df, min_rating=3).collect()}
     assert got == {(1, 3)}
+
+
+def test_routing_bounds_a_heavy_user(spark):
+    """A user who rated every item (a third of all rows) contributes at most
+    one block of items per side to any group; every pair of item blocks
+    meets exactly once per user block."""
+    items, block = 64, 8
+    heavy = [(0, i, 3.0) for i in range(items)]
+    light = [(u, (u * 7 + k) % items, 1.0) for u in range(1, 33) for k in range(4)]
+    ui = spark.createDataFrame(heavy + light, "user long, item long, r double")
+    nb = items // block
+    routed = similarity.route_blocks(ui, nb, 4)
+    per = routed.filter("user = 0").groupBy("ub", "a", "b", "blk").count().collect()
+    block_sizes = {r["blk"]: r["count"] for r in routed.filter("user = 0 AND a = blk AND b = blk").groupBy("blk").count().collect()}
+    assert max(r["count"] for r in per) == max(block_sizes.values())
+    assert max(block_sizes.values()) <= 3 * block  # hash blocks: about `block` items each
+    pairs = {(r["a"], r["b"]) for r in routed.filter("user = 0").select("a", "b").distinct().collect()}
+    assert pairs == {(a, b) for a in range(nb) for b in range(a, nb)}
+    assert routed.filter("user = 0").count() == items * nb
