@@ -5,7 +5,8 @@
   trainer). Each iteration is one distributed ``avg`` over the points; only
   the scalar weight travels to the driver.
 * ``elastic_net``: ``pyspark.ml.regression.LinearRegression``.
-* ``als_recommend``: ``pyspark.ml.recommendation.ALS`` + ``recommendForUserSubset``.
+* ``als_recommend``: ``pyspark.ml.recommendation.ALS``; one user's items are
+  scored by a dot product with the user's factor vector (no cross join).
 """
 
 from __future__ import annotations
@@ -102,11 +103,32 @@ def als_recommend(ratings: DataFrame, titles: DataFrame, user_id: int, k: int =
               seed=seed, coldStartStrategy="drop", checkpointInterval=10, numUserBlocks=blocks,
               numItemBlocks=blocks)
     model = als.fit(data)
-    who = data.select("user").filter(F.col("user") == F.lit(int(user_id))).distinct()
-    recs = model.recommendForUserSubset(who, int(k))
-    flat = recs.select("user", F.explode("recommendations").alias("rec")).select(
-        "user", F.col("rec.item").cast("long").alias("item"), F.col("rec.rating").alias("score"))
-    return lookup_names(flat, titles, "item", "id", "title", "left").select("user", "item", "title", "score")
+    return recommend_for_user(model.userFactors, model.itemFactors, titles, user_id, k)
+
+
+def recommend_for_user(user_factors: DataFrame, item_factors: DataFrame, titles: DataFrame, user_id: int,
+                       k: int = 10) -> DataFrame:
+    """Top-k items of one user by predicted rating: ``(user, item, title, score)``.
+
+    The user's factor vector has ``rank`` entries (a bounded value, like a
+    regression weight), so it is read once and every item is scored by a
+    JVM-side dot product: one linear pass over the item factors and a
+    per-task top k, instead of the cross join of factor blocks that the
+    library's ``recommendForUserSubset`` plans.
+    """
+    row = user_factors.filter(F.col("id") == F.lit(int(user_id))).select("features").first()
+    spark = item_factors.sparkSession
+    schema = "user int, item long, title string, score float"
+    if row is None:
+        return spark.createDataFrame([], schema)
+    vec = F.array(*[F.lit(float(v)).cast("float") for v in row["features"]])
+    dot = F.aggregate(F.zip_with(F.col("features"), vec, lambda a, b: a * b), F.lit(0.0).cast("float"),
+                      lambda acc, v: acc + v)
+    scored = item_factors.select(F.lit(int(user_id)).alias("user"), F.col("id").cast("long").alias("item"),
+                                 dot.alias("score"))
+    top = scored.orderBy(F.col("score").desc(), F.col("item").asc()).limit(int(k))
+    named = lookup_names(top, titles, "item", "id", "title", "left")
+    return named.orderBy(F.col("score").desc(), F.col("item").asc()).select("user", "item", "title", "score")
 
 
 def user_ratings_named(ratings: DataFrame, titles: DataFrame, user_id: int, user: str = "user",
