@@ -9,10 +9,10 @@
   window is final (append mode emits each window exactly once).
 
 The counting is two-staged: hashtags are first counted per 1-second bucket,
-then each bucket's count is added to the windows covering it. A busy stream
-then expands one row per (bucket, tag) instead of one per status into the
-window/slide copies. The batch form (``hashtag_window_counts``) and the
-streaming form give the same counts.
+then the windows covering each bucket are counted. The streaming form chains
+two event-time aggregations; the batch form (``hashtag_window_counts``) turns
+the buckets into entry/exit deltas and running sums, so no status or bucket
+is copied into its ``window/slide`` windows. Both give the same counts.
 
 Sinks write parquet to a folder under the shared checkpoint folder; the
 streaming checkpoint (offsets, state) lives there too, so a restarted query
@@ -39,28 +39,55 @@ def tags_of(statuses: DataFrame, ts: str = "ts", text: str = "text") -> DataFram
 
 
 def hashtag_window_counts(statuses: DataFrame, window: str = "5 minutes", slide: str = "1 second",
-                          ts: str = "ts", text: str = "text") -> DataFrame:
+                          ts: str = "ts", text: str = "text", chunk_windows: int = 12) -> DataFrame:
     """Batch form: ``(window_start, window_end, hashtag, count)`` for every
-    sliding window containing at least one occurrence."""
+    sliding window containing at least one occurrence.
+
+    Positions are counted in slides. A bucket ``b`` with ``c`` occurrences lies
+    in the windows starting at ``b - copies + 1 .. b``, so it adds ``+c`` at
+    ``b - copies + 1`` and ``-c`` at ``b + 1``; the running sum of these
+    deltas in position order is the count of every window start up to the next
+    delta. The deltas are grouped by (hashtag, chunk of ``chunk_windows``
+    window lengths); a bucket is sent to the one or two chunks its window
+    starts fall in, so a group never needs another group's rows and holds at
+    most a few rows per slide of its chunk, however hot the tag. Each
+    constant-count segment is then exploded into its window starts: exactly
+    one row per output row, no copies to aggregate.
+    """
     w, s = _seconds(window), _seconds(slide)
     if w % s:
         raise ValueError("window must be a multiple of the slide")
+    copies = w // s
+    span = copies * max(1, int(chunk_windows))  # chunk length in slides, >= copies
     per_bucket = (tags_of(statuses, ts, text)
                   .groupBy(F.window("ts", slide).alias("b"), "hashtag")
                   .agg(F.count(F.lit(1)).alias("c")))
-    copies = w // s
-    bucket_start = F.unix_seconds(F.col("b.start"))
-    # The bucket table is small but each row is copied ``copies`` times next:
-    # an explicit partition count keeps AQE from coalescing it into one task.
-    per_bucket = per_bucket.repartition(shuffle_partitions(statuses.sparkSession), "hashtag", "b")
-    spread = per_bucket.select(
-        "hashtag", "c",
-        F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("k"), bucket_start.alias("bs"))
-    start = F.col("bs") - F.col("k") * F.lit(s)
-    return (spread.groupBy(F.timestamp_seconds(start).alias("window_start"), "hashtag")
-                  .agg(F.sum("c").alias("count"))
-                  .select("window_start", (F.col("window_start") + F.expr(f"INTERVAL {w} SECONDS")).alias("window_end"),
-                          "hashtag", "count"))
+    bi = F.floor(F.unix_seconds(F.col("b.start")) / F.lit(s))
+    first = F.col("bi") - F.lit(copies - 1)
+    routed = per_bucket.select("hashtag", "c", bi.alias("bi")).select(
+        "hashtag", "c", "bi",
+        F.explode(F.array_distinct(F.array(F.floor(first / F.lit(span)), F.floor(F.col("bi") / F.lit(span)))))
+         .alias("chunk"))
+    deltas = routed.select("hashtag", "chunk", F.explode(F.array(
+        F.struct(first.alias("pos"), F.col("c").alias("d")),
+        F.struct((F.col("bi") + 1).alias("pos"), (-F.col("c")).alias("d")))).alias("e")
+    ).select("hashtag", "chunk", "e.pos", "e.d")
+    # The delta table is small but expands into the output next: an explicit
+    # partition count keeps AQE from coalescing it into one task.
+    deltas = deltas.repartition(shuffle_partitions(statuses.sparkSession), "hashtag", "chunk")
+    order = Window.partitionBy("hashtag", "chunk").orderBy("pos")
+    seg = deltas.select(
+        "hashtag", "chunk", "pos",
+        F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("n"),
+        F.lead("pos").over(order).alias("nxt"))
+    lo = F.greatest(F.col("pos"), F.col("chunk") * F.lit(span))
+    hi = F.least(F.col("nxt"), (F.col("chunk") + 1) * F.lit(span))
+    starts = (seg.filter((F.col("n") > 0) & (hi > lo))
+                 .select("hashtag", F.col("n").alias("count"), F.explode(F.sequence(lo, hi - 1)).alias("wi")))
+    window_start = F.timestamp_seconds(F.col("wi") * F.lit(s))
+    return starts.select(window_start.alias("window_start"),
+                         (window_start + F.expr(f"INTERVAL {w} SECONDS")).alias("window_end"),
+                         "hashtag", "count")
 
 
 def top_per_window(counts: DataFrame, k: int = 10) -> DataFrame:

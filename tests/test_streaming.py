@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import os
 
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ def brute(statuses, window_s, slide_s):
 
     counts = {}
     for ts, text in statuses:
-        t = int(ts.replace(tzinfo=dt.timezone.utc).timestamp())
+        t = math.floor(ts.replace(tzinfo=dt.timezone.utc).timestamp())
         for tag in re.findall(r"#\w+", text):
             first = (t // slide_s) * slide_s - window_s + slide_s
             for start in range(first, t + 1, slide_s):
@@ -42,6 +43,26 @@ def test_batch_window_counts_match_brute_force(spark):
     assert got == want
 
 
+def test_window_counts_dense_across_chunks_match_brute_force(spark):
+    """A hot tag in every second, bursts, gaps and negative epochs; chunks as
+    short as one window so most windows straddle a chunk boundary."""
+    import random
+
+    rnd = random.Random(7)
+    base = dt.datetime(1969, 12, 31, 23, 50, 0)
+    data = [(base + dt.timedelta(seconds=i), "#hot") for i in range(0, 1500)]
+    data += [(base + dt.timedelta(seconds=rnd.randrange(0, 3000), milliseconds=rnd.randrange(1000)),
+              rnd.choice(["#a", "#b #a", "#b", "none"])) for _ in range(400)]
+    data += [(base + dt.timedelta(seconds=2200), "#burst")] * 50
+    s = spark.createDataFrame(data, "ts timestamp, text string")
+    want = brute([(r["ts"], r["text"]) for r in s.collect()], 300, 1)
+    for chunk_windows in (1, 2, 12):
+        got = {(r["ws"], r["hashtag"]): r["count"] for r in
+               jobs.hashtag_window_counts(s, "5 minutes", "1 second", chunk_windows=chunk_windows)
+               .select(F.unix_seconds("window_start").alias("ws"), "hashtag", "count").collect()}
+        assert got == want, chunk_windows
+
+
 def test_streaming_equals_batch(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "src")
     _statuses(spark).write.parquet(src)
