@@ -6,9 +6,10 @@ never sorts the whole input. The id is always the last sort key, so ties are
 deterministic.
 
 Name lookups join a bounded key set (a top-k result) with a names table of any
-size: the names are first filtered by a broadcast semi join against the k keys
-(the broadcast side is bounded by k), and only the matching names meet the
-result.
+size: the names are first filtered by a broadcast semi join against the k keys,
+and only the matching names meet the result. The broadcast is used only when
+Catalyst proves the key set's row bound from the plan (the limit of a top-k);
+an unbounded key set gets a plain semi join sized by AQE at run time.
 """
 
 from __future__ import annotations
@@ -16,6 +17,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import proven_max_rows
+
+# Largest proven key count that is broadcast for a name lookup.
+MAX_BROADCAST_KEYS = 100_000
+
 
 def top_k(df: DataFrame, k: int, *order) -> DataFrame:
     return df.orderBy(*order).limit(int(k))
@@ -29,7 +35,10 @@ def lookup_names(small: DataFrame, names: DataFrame, key: str, names_key: str =
     them; duplicate names for one id multiply rows, as an equi join does.
     """
     keys = small.select(F.col(key).alias("_k")).distinct()
-    matched = (names.join(F.broadcast(keys), names[names_key] == keys["_k"], "left_semi")
+    bound = proven_max_rows(small)
+    if bound is not None and bound <= MAX_BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    matched = (names.join(keys, names[names_key] == keys["_k"], "left_semi")
                     .select(F.col(names_key).alias("_nk"), F.col(name_col)))
     joined = small.join(matched, small[key] == matched["_nk"], how)
     return joined.drop("_nk")

@@ -99,6 +99,16 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def proven_max_rows(df: DataFrame) -> int | None:
+    """Upper bound on the rows of ``df`` that Catalyst can prove from the plan
+    (a ``limit``, a global aggregate, a local relation), or None."""
+    try:
+        bound = df._jdf.queryExecution().optimizedPlan().maxRows()
+        return int(bound.get()) if bound.isDefined() else None
+    except Exception:  # not available (e.g. Spark Connect)
+        return None
+
+
 def spread_small_input(df: DataFrame, max_bytes: int = 1 << 30) -> DataFrame:
     """Spread a small input over all cores before CPU-heavy row work.
 

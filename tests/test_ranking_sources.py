@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from conftest import rows, write_lines
 from tessera.operators import graph, ranking
 from tessera.sources import readers
@@ -70,3 +72,18 @@ def test_sinks_round_trip(spark, tmpdir_path):
     assert spark.read.parquet(tmpdir_path + "/sims").count() == 2
     sinks.write_text_lines(df, tmpdir_path + "/sims.txt")
     assert rows(spark.read.text(tmpdir_path + "/sims.txt")) == [("1,2,0.5",), ("3,4,1.0",)]
+
+
+def test_lookup_names_broadcasts_only_proven_bounded_keys(spark):
+    from tessera.session import proven_max_rows
+
+    names = spark.createDataFrame([(i, f"n{i}") for i in range(50)], "id long, title string")
+    counts = spark.createDataFrame([(i % 7, i) for i in range(100)], "item long, c long")
+    top = ranking.top_k(counts, 3, F.col("c").desc(), F.col("item"))
+    assert proven_max_rows(top) == 3
+    assert proven_max_rows(counts.groupBy("item").count()) is None
+    hinted = ranking.lookup_names(top, names, "item")._jdf.queryExecution().optimizedPlan().toString()
+    plain = ranking.lookup_names(counts, names, "item")._jdf.queryExecution().optimizedPlan().toString()
+    assert "BROADCAST" in hinted.upper() and "broadcast" not in plain.lower()
+    got = sorted(tuple(r) for r in ranking.lookup_names(counts.groupBy("item").count(), names, "item").collect())
+    assert got == [(i, len([j for j in range(100) if j % 7 == i]), f"n{i}") for i in range(7)]
