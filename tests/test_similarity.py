@@ -55,7 +55,8 @@ def test_blocked_similarity_equals_self_join(spark, block_items, group_rows):
     data = _random_ratings(7)
     df = spark.createDataFrame(data, "user long, item long, rating int")
     got = {(r["item1"], r["item2"]): (r["score"], r["n"])
-           for r in similarity.item_similarity(df, block_items=block_items, group_rows=group_rows).collect()}
+           for r in similarity.item_similarity(df, block_items=block_items, group_rows=group_rows,
+                                                 method="blocked").collect()}
     want = brute_force(data)
     assert set(got) == set(want)
     for k, (s, n) in want.items():
@@ -164,16 +165,51 @@ def _brute_metric(ratings, metric):
     return out
 
 
+@pytest.mark.parametrize("chunk_items", [1024, 4, 7])
+def test_chunked_join_similarity_equals_self_join(spark, chunk_items):
+    """Tiny chunks put the heavy user (and the busier light users) into many
+    (user, a, b) groups; every item pair must still be counted once."""
+    data = _random_ratings(7)
+    df = spark.createDataFrame(data, "user long, item long, rating int")
+    got = {(r["item1"], r["item2"]): (r["score"], r["n"])
+           for r in similarity.item_similarity(df, method="join", chunk_items=chunk_items).collect()}
+    want = brute_force(data)
+    assert set(got) == set(want)
+    for k, (s, n) in want.items():
+        assert got[k][1] == n
+        assert got[k][0] == pytest.approx(s, abs=1e-9)
+
+
+def test_chunk_groups_bound_a_heavy_user(spark):
+    """The heavy user's largest join group holds about chunk_items rows per
+    side, not its whole degree."""
+    items, c = 300, 10
+    heavy = [(0, i, 3.0) for i in range(items)]
+    light = [(u, (u * 7 + k) % items, 1.0) for u in range(1, 40) for k in range(5)]
+    ui = spark.createDataFrame(heavy + light, "user long, item long, r double")
+    deg = ui.groupBy("user").agg(F.count(F.lit(1)).alias("d"))
+    g = -(-items // c)
+    rated = ui.filter("user = 0").select("item", F.pmod(F.xxhash64(F.col("item"), F.lit(13)), F.lit(g)).alias("c"))
+    biggest = max(r["count"] for r in rated.groupBy("c").count().collect())
+    assert biggest <= 3 * c
+    sums = similarity.chunked_pair_sums(ui, deg, c)
+    assert sums.filter("n >= 1").count() == len(brute_force([(u, i, r) for u, i, r in heavy + light]))
+
+
 @pytest.mark.parametrize("metric", ["pearson", "jaccard"])
 def test_other_metrics_match_brute_force(spark, metric):
     data = _random_ratings(5, users=25, items=20, per_user=(1, 15))
     df = spark.createDataFrame(data, "user long, item long, rating int")
     want = _brute_metric(data, metric)
     got = {(r["item1"], r["item2"]): r["score"]
-           for r in similarity.item_similarity(df, metric=metric, block_items=8, group_rows=40).collect()}
-    assert set(got) == set(want)
+           for r in similarity.item_similarity(df, metric=metric, block_items=8, group_rows=40,
+                                               method="blocked").collect()}
+    joined = {(r["item1"], r["item2"]): r["score"]
+              for r in similarity.item_similarity(df, metric=metric, method="join", chunk_items=4).collect()}
+    assert set(got) == set(want) == set(joined)
     for k, v in want.items():
         assert got[k] == pytest.approx(v, abs=1e-9)
+        assert joined[k] == pytest.approx(v, abs=1e-9)
     one = {r["item"]: r["score"] for r in similarity.item_similarity_to(df, 3, metric=metric).collect()}
     for (a, b), v in want.items():
         if 3 in (a, b):
