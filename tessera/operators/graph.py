@@ -6,6 +6,12 @@
   vertices with an anti join, and cuts lineage by writing the new frontier to
   the shared checkpoint folder. Every vertex is expanded exactly once.
 
+With ``symmetric=True`` (every edge also present reversed, as in a
+co-appearance graph) a vertex next to the frontier of round r-1 was either
+unreached or reached in round r-2 or r-1, so the anti join only needs the last
+two frontiers: each round then shuffles frontier-sized data instead of the
+whole reached set.
+
 The edges are written once as a table bucketed by ``(src, bucket)``
 (bucket = hash of dst), so each round shuffles only the frontier, and the
 adjacency of a vertex holding a third of all edges is spread over
@@ -76,7 +82,7 @@ def _expand(prepared: DataFrame, frontier: DataFrame, buckets: int) -> DataFrame
 
 
 def _frontier_rounds(spark: SparkSession, edges: DataFrame, root: int, max_rounds: int, buckets: int,
-                     target: int | None = None):
+                     target: int | None = None, symmetric: bool = False):
     """Generator of (round, frontier_size, edges_out, hits, reached_df).
 
     Per round: one job writes the newly reached vertices (expand, anti join
@@ -87,18 +93,23 @@ def _frontier_rounds(spark: SparkSession, edges: DataFrame, root: int, max_round
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("distance", T.IntegerType())])
     reached = spark.createDataFrame([(int(root), 0)], schema)
     frontier = reached.select("id")
+    previous = None
     frontier_size = 1
     for rnd in range(1, max_rounds + 1):
         if frontier_size == 0:
             yield rnd, 0, 0, 0, reached
             continue
         cand = _expand(prepared, frontier, buckets)
+        if not symmetric:
+            known = reached.select("id")
+        else:  # only the last two frontiers can hold reached neighbours
+            known = frontier if previous is None else frontier.unionByName(previous)
         if target is None:
             out = hits = 0
-            new = materialize(cand.join(reached.select("id"), "id", "left_anti")
+            new = materialize(cand.join(known, "id", "left_anti")
                                   .select("id", F.lit(rnd).cast("int").alias("distance")), "bfs-frontier")
         else:
-            seen = reached.select("id", F.lit(True).alias("seen"))
+            seen = known.select("id", F.lit(True).alias("seen"))
             flagged = materialize(cand.join(seen, "id", "left"), "bfs-candidates")
             stats = flagged.agg(F.coalesce(F.sum("mult"), F.lit(0)).alias("out"),
                                 F.coalesce(F.sum(F.when(F.col("id") == F.lit(target), F.col("mult"))),
@@ -107,11 +118,13 @@ def _frontier_rounds(spark: SparkSession, edges: DataFrame, root: int, max_round
             new = flagged.filter(F.col("seen").isNull()).select("id", F.lit(rnd).cast("int").alias("distance"))
         reached = reached.unionByName(new)
         yield rnd, frontier_size, out, hits, reached
+        previous = frontier
         frontier = new.select("id")
         frontier_size = new.count()
 
 
-def bfs_distances(edges: DataFrame, root: int, max_rounds: int = 10, buckets: int = 8) -> DataFrame:
+def bfs_distances(edges: DataFrame, root: int, max_rounds: int = 10, buckets: int = 8,
+                  symmetric: bool = False) -> DataFrame:
     """Hop distance from ``root`` along directed edges for every vertex
     reached within ``max_rounds`` hops: ``(id, distance)``.
 
@@ -120,14 +133,15 @@ def bfs_distances(edges: DataFrame, root: int, max_rounds: int = 10, buckets: in
     """
     spark = edges.sparkSession
     reached = None
-    for _, frontier, _, _, reached in _frontier_rounds(spark, edges, root, max_rounds, buckets):
+    for _, frontier, _, _, reached in _frontier_rounds(spark, edges, root, max_rounds, buckets,
+                                                       symmetric=symmetric):
         if frontier == 0:
             break
     return reached
 
 
 def bfs_distance_to(edges: DataFrame, root: int, target: int, max_rounds: int = 10,
-                    buckets: int = 8) -> DataFrame:
+                    buckets: int = 8, symmetric: bool = False) -> DataFrame:
     """``(id, distance)`` of ``target`` (no row when it is not reached within
     ``max_rounds``). The search stops at the round that first reaches the
     target: in a breadth-first search that distance is already final."""
@@ -135,7 +149,8 @@ def bfs_distance_to(edges: DataFrame, root: int, target: int, max_rounds: int =
     if root == target:
         return spark.createDataFrame([(int(target), 0)], "id long, distance int")
     reached = None
-    for _, frontier, _, hits, reached in _frontier_rounds(spark, edges, root, max_rounds, buckets, target):
+    for _, frontier, _, hits, reached in _frontier_rounds(spark, edges, root, max_rounds, buckets, target,
+                                                          symmetric):
         if hits > 0 or frontier == 0:
             break
     return reached.filter(F.col("id") == F.lit(target))
@@ -150,7 +165,7 @@ def with_unreached(distances: DataFrame, vertices: DataFrame) -> DataFrame:
 
 
 def bfs_early_stop(edges: DataFrame, start: int, target: int, max_rounds: int = 10,
-                   buckets: int = 8) -> DataFrame:
+                   buckets: int = 8, symmetric: bool = False) -> DataFrame:
     """Rounds of a search from ``start`` that stops at the first round whose
     frontier touches ``target``.
 
@@ -162,7 +177,8 @@ def bfs_early_stop(edges: DataFrame, start: int, target: int, max_rounds: int =
     """
     spark = edges.sparkSession
     rows = []
-    for rnd, frontier, out, hits, _ in _frontier_rounds(spark, edges, start, max_rounds, buckets, target):
+    for rnd, frontier, out, hits, _ in _frontier_rounds(spark, edges, start, max_rounds, buckets, target,
+                                                        symmetric):
         rows.append((rnd, frontier, out, hits))
         if hits > 0:
             break

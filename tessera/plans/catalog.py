@@ -187,25 +187,25 @@ def q_graph_degrees_top10(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_bfs_distances(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.bfs_distances(B.graph_edges(spark, sf), PARAMS["bfs_root"], PARAMS["bfs_rounds"])
+    return graph.bfs_distances(B.graph_edges(spark, sf), PARAMS["bfs_root"], PARAMS["bfs_rounds"], symmetric=True)
 
 
 def q_bfs_vertex_probe(spark: SparkSession, sf: str) -> DataFrame:
     hit = graph.bfs_distance_to(B.graph_edges(spark, sf), PARAMS["bfs_root"], PARAMS["bfs_target"],
-                                PARAMS["bfs_rounds"])
+                                PARAMS["bfs_rounds"], symmetric=True)
     return ranking.lookup_names(hit, B.vertex_names(spark, sf), "id", "id", "name", "left").select(
         "id", "name", "distance")
 
 
 def q_bfs_named_first100(spark: SparkSession, sf: str) -> DataFrame:
-    d = graph.bfs_distances(B.graph_edges(spark, sf), PARAMS["bfs_root"], PARAMS["bfs_rounds"])
+    d = graph.bfs_distances(B.graph_edges(spark, sf), PARAMS["bfs_root"], PARAMS["bfs_rounds"], symmetric=True)
     named = d.join(B.vertex_names(spark, sf), "id")
     return named.orderBy("id", "name").limit(100).select("id", "name", "distance")
 
 
 def q_bfs_early_stop(spark: SparkSession, sf: str) -> DataFrame:
     return graph.bfs_early_stop(B.graph_edges(spark, sf), PARAMS["bfs_root"], PARAMS["bfs_target"],
-                                PARAMS["bfs_rounds"])
+                                PARAMS["bfs_rounds"], symmetric=True)
 
 
 # --- splits -----------------------------------------------------------------------------

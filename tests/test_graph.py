@@ -79,3 +79,22 @@ def test_bfs_distance_to_stops_early(spark):
     for target in (0, 6, 10, 13, 100):
         got = rows(graph.bfs_distance_to(df, 0, target, 10))
         assert got == ([(target, want[target])] if target in want else [])
+
+
+def test_symmetric_bfs_matches_brute_force(spark):
+    """Both directions of every edge: the anti join against the last two
+    frontiers only must give the same distances, probes and round stats."""
+    import random
+
+    rnd = random.Random(5)
+    und = _edges() + [(rnd.randrange(40), rnd.randrange(40)) for _ in range(60)] + [(14, 15), (15, 16)]
+    e = und + [(d, s) for s, d in und]
+    df = spark.createDataFrame(e, "src long, dst long")
+    for rounds in (1, 2, 4, 10):
+        assert dict(rows(graph.bfs_distances(df, 0, rounds, symmetric=True))) == brute_bfs(e, 0, rounds)
+    want = brute_bfs(e, 0, 10)
+    for target in (6, 16, 100):
+        got = rows(graph.bfs_distance_to(df, 0, target, 10, symmetric=True))
+        assert got == ([(target, want[target])] if target in want else [])
+        assert (rows(graph.bfs_early_stop(df, 0, target, 10, symmetric=True))
+                == rows(graph.bfs_early_stop(df, 0, target, 10)))
