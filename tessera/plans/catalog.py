@@ -235,7 +235,7 @@ def q_random_split(spark: SparkSession, sf: str) -> DataFrame:
 def q_stream_top_lengths(spark: SparkSession, sf: str) -> DataFrame:
     stream = B.conversation_texts(spark, sf, stream=True)
     out = S.run_top_lengths_stream(spark, stream, k=PARAMS["top_k"])
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select(F.col("batch").cast("long").alias("batch"), "rank", "length")
 
 
 def q_stream_hashtags_5m(spark: SparkSession, sf: str) -> DataFrame:

@@ -25,3 +25,12 @@ def write_text_lines(df: DataFrame, path: str, sep: str = ",", mode: str = "over
     form of a tuple RDD save)."""
     line = F.concat_ws(sep, *[F.col(c).cast("string") for c in df.columns]).alias("value")
     df.select(line).write.mode(mode).text(path)
+
+
+def write_epoch(df: DataFrame, path: str, epoch: int, col: str = "batch") -> None:
+    """Idempotent micro-batch output for ``foreachBatch``: each epoch
+    overwrites its own folder ``{col}={epoch}``. ``foreachBatch`` is
+    at-least-once, so an epoch replayed after a failure replaces its earlier
+    output instead of appending a second copy. Reading the sink folder adds
+    ``col`` back as a partition column."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{col}={int(epoch)}")

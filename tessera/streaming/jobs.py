@@ -16,7 +16,8 @@ is copied into its ``window/slide`` windows. Both give the same counts.
 
 Sinks write parquet to a folder under the shared checkpoint folder; the
 streaming checkpoint (offsets, state) lives there too, so a restarted query
-resumes where it stopped.
+resumes where it stopped. Append-mode outputs go to one folder per epoch,
+overwritten on replay, so a batch re-run after a failure is not duplicated.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import hashtags
+from tessera.sources.sinks import write_epoch
 from tessera.session import scratch_path, shuffle_partitions
 
 
@@ -132,9 +134,11 @@ def run_hashtag_stream(spark: SparkSession, statuses: DataFrame, out_path: str |
     counts = streaming_hashtag_counts(statuses, window, slide, watermark, two_stage=output_mode == "append")
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        top = top_per_window(batch, k).withColumn("batch", F.lit(epoch))
-        mode = "overwrite" if output_mode == "complete" else "append"
-        top.write.mode(mode).parquet(out_path)
+        top = top_per_window(batch, k)
+        if output_mode == "complete":  # the whole result each time: replace it
+            top.withColumn("batch", F.lit(epoch)).write.mode("overwrite").parquet(out_path)
+        else:  # final windows of this epoch only: one idempotent folder per epoch
+            write_epoch(top, out_path, epoch)
 
     writer = (counts.writeStream.outputMode(output_mode).foreachBatch(sink)
                     .option("checkpointLocation", out_path + "-checkpoint"))
@@ -156,7 +160,7 @@ def run_top_lengths_stream(spark: SparkSession, statuses: DataFrame, out_path: s
     def sink(batch: DataFrame, epoch: int) -> None:
         top = batch.orderBy(F.col("length").desc()).limit(k)
         ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(F.col("length").desc())))
-        ranked.select(F.lit(epoch).cast("long").alias("batch"), "rank", "length").write.mode("append").parquet(out_path)
+        write_epoch(ranked.select("rank", "length"), out_path, epoch)
 
     writer = lengths.writeStream.foreachBatch(sink).option("checkpointLocation", out_path + "-checkpoint")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(

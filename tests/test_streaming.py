@@ -96,3 +96,15 @@ def test_top_lengths_stream(spark, tmpdir_path):
     out = jobs.run_top_lengths_stream(spark, stream, out_path=scratch_path(spark, "len"), k=3)
     got = [tuple(r) for r in spark.read.parquet(out).orderBy("rank").select("rank", "length").collect()]
     assert got == [(1, 100), (2, 50), (3, 14)]
+
+
+def test_replayed_epoch_is_not_duplicated(spark, tmpdir_path):
+    from tessera.sources.sinks import write_epoch
+
+    out = os.path.join(tmpdir_path, "sink")
+    first = spark.createDataFrame([(1, 10), (2, 7)], "rank int, length int")
+    write_epoch(first, out, 0)
+    write_epoch(spark.createDataFrame([(1, 4)], "rank int, length int"), out, 1)
+    write_epoch(first, out, 0)  # epoch 0 re-run after a failure
+    got = rows(spark.read.parquet(out), "batch", "rank", "length")
+    assert got == [(0, 1, 10), (0, 2, 7), (1, 1, 4)]
