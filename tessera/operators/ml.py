@@ -82,6 +82,18 @@ def elastic_net(train: DataFrame, test: DataFrame, reg: float = 0.3, mixing: flo
     return model, pred
 
 
+INT32 = (-(2 ** 31), 2 ** 31 - 1)
+
+
+def dense_ids(df: DataFrame, col: str, out: str) -> DataFrame:
+    """``(col, out)``: a dense 0-based 32-bit index of the distinct values of
+    ``col`` in ascending order (distributed numbering, no driver collect)."""
+    from tessera.operators.splits import numbered_rows
+
+    ids, _ = numbered_rows(df.select(col).distinct(), [col], "_rn")
+    return ids.select(col, (F.col("_rn") - 1).cast("int").alias(out))
+
+
 def als_recommend(ratings: DataFrame, titles: DataFrame, user_id: int, k: int = 10, rank: int = 8,
                   max_iter: int = 20, reg: float = 0.01, seed: int = 42, user: str = "user",
                   item: str = "item", rating: str = "rating", blocks: int | None = None) -> DataFrame:
@@ -89,13 +101,29 @@ def als_recommend(ratings: DataFrame, titles: DataFrame, user_id: int, k: int =
 
     Already rated items are not removed (as in the original). ALS factor
     blocks are checkpointed to the shared folder every 10 iterations. ALS
-    needs 32-bit ids; wider keys must be re-indexed first.
+    takes 32-bit ids: when the keys do not fit, users and items are re-indexed
+    densely first (joins with the index tables; item ids are mapped back).
     """
     from pyspark.ml.recommendation import ALS
 
     checkpoint_root(ratings.sparkSession)
-    data = ratings.select(F.col(user).cast("int").alias("user"), F.col(item).cast("int").alias("item"),
+    base = ratings.select(F.col(user).cast("long").alias("user"), F.col(item).cast("long").alias("item"),
                           F.col(rating).cast("float").alias("rating"))
+    rng = base.agg(F.min("user").alias("u0"), F.max("user").alias("u1"),
+                   F.min("item").alias("i0"), F.max("item").alias("i1")).first()
+    bounds = [v for v in rng if v is not None]
+    fits = all(INT32[0] <= v <= INT32[1] for v in bounds)
+    target = int(user_id)
+    items = None
+    if fits:
+        data = base.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"), "rating")
+    else:
+        users = dense_ids(base, "user", "uid")
+        items = dense_ids(base, "item", "iid")
+        data = base.join(users, "user").join(items, "item").select(
+            F.col("uid").alias("user"), F.col("iid").alias("item"), "rating")
+        hit = users.filter(F.col("user") == F.lit(target)).select("uid").first()
+        target = int(hit["uid"]) if hit is not None else INT32[1]
     # One factor block per core: fewer, larger blocks cut the per-iteration
     # shuffle overhead; on a cluster this grows with the executors.
     blocks = blocks or max(1, ratings.sparkSession.sparkContext.defaultParallelism)
@@ -103,28 +131,34 @@ def als_recommend(ratings: DataFrame, titles: DataFrame, user_id: int, k: int =
               seed=seed, coldStartStrategy="drop", checkpointInterval=10, numUserBlocks=blocks,
               numItemBlocks=blocks)
     model = als.fit(data)
-    return recommend_for_user(model.userFactors, model.itemFactors, titles, user_id, k)
+    item_factors = model.itemFactors
+    if items is not None:
+        item_factors = item_factors.join(items.select(F.col("iid").alias("id"), F.col("item").alias("_orig")), "id") \
+                                   .select(F.col("_orig").alias("id"), "features")
+    return recommend_for_user(model.userFactors, item_factors, titles, int(user_id), k, factor_id=target)
 
 
 def recommend_for_user(user_factors: DataFrame, item_factors: DataFrame, titles: DataFrame, user_id: int,
-                       k: int = 10) -> DataFrame:
+                       k: int = 10, factor_id: int | None = None) -> DataFrame:
     """Top-k items of one user by predicted rating: ``(user, item, title, score)``.
 
     The user's factor vector has ``rank`` entries (a bounded value, like a
     regression weight), so it is read once and every item is scored by a
     JVM-side dot product: one linear pass over the item factors and a
     per-task top k, instead of the cross join of factor blocks that the
-    library's ``recommendForUserSubset`` plans.
+    library's ``recommendForUserSubset`` plans. ``factor_id`` is the user's id
+    in the factor table when ids were re-indexed (default: ``user_id``).
     """
-    row = user_factors.filter(F.col("id") == F.lit(int(user_id))).select("features").first()
+    fid = int(user_id if factor_id is None else factor_id)
+    row = user_factors.filter(F.col("id") == F.lit(fid)).select("features").first()
     spark = item_factors.sparkSession
-    schema = "user int, item long, title string, score float"
+    schema = "user long, item long, title string, score float"
     if row is None:
         return spark.createDataFrame([], schema)
     vec = F.array(*[F.lit(float(v)).cast("float") for v in row["features"]])
     dot = F.aggregate(F.zip_with(F.col("features"), vec, lambda a, b: a * b), F.lit(0.0).cast("float"),
                       lambda acc, v: acc + v)
-    scored = item_factors.select(F.lit(int(user_id)).alias("user"), F.col("id").cast("long").alias("item"),
+    scored = item_factors.select(F.lit(int(user_id)).cast("long").alias("user"), F.col("id").cast("long").alias("item"),
                                  dot.alias("score"))
     top = scored.orderBy(F.col("score").desc(), F.col("item").asc()).limit(int(k))
     named = lookup_names(top, titles, "item", "id", "title", "left")
