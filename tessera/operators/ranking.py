@@ -32,8 +32,14 @@ def lookup_names(small: DataFrame, names: DataFrame, key: str, names_key: str =
     """Attach names to a result whose row count is bounded (top-k).
 
     ``how="left"`` keeps rows without a name (name is null); ``"inner"`` drops
-    them; duplicate names for one id multiply rows, as an equi join does.
+    them; ``"strict"`` fails the job on a row without a name (like a map
+    lookup of a missing key); duplicate names for one id multiply rows, as an
+    equi join does.
     """
+    if how == "strict":
+        out = lookup_names(small, names, key, names_key, name_col, "left")
+        missing = F.raise_error(F.concat(F.lit(f"no {name_col} for {key} "), F.col(key).cast("string")))
+        return out.withColumn(name_col, F.when(F.col(name_col).isNull(), missing).otherwise(F.col(name_col)))
     keys = small.select(F.col(key).alias("_k")).distinct()
     bound = proven_max_rows(small)
     if bound is not None and bound <= MAX_BROADCAST_KEYS:

@@ -87,3 +87,14 @@ def test_lookup_names_broadcasts_only_proven_bounded_keys(spark):
     assert "BROADCAST" in hinted.upper() and "broadcast" not in plain.lower()
     got = sorted(tuple(r) for r in ranking.lookup_names(counts.groupBy("item").count(), names, "item").collect())
     assert got == [(i, len([j for j in range(100) if j % 7 == i]), f"n{i}") for i in range(7)]
+
+
+def test_strict_lookup_fails_on_missing_name(spark):
+    import pytest
+
+    names = spark.createDataFrame([(1, "one")], "id long, title string")
+    ok = spark.createDataFrame([(1, 5)], "item long, c long")
+    assert [tuple(r) for r in ranking.lookup_names(ok, names, "item", how="strict").collect()] == [(1, 5, "one")]
+    bad = spark.createDataFrame([(1, 5), (2, 3)], "item long, c long")
+    with pytest.raises(Exception, match="no title for item 2"):
+        ranking.lookup_names(bad, names, "item", how="strict").collect()
