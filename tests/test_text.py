@@ -51,3 +51,23 @@ def test_remove_words_anti_join(spark):
     words = spark.createDataFrame([("a",), ("b",), ("c",), ("b",)], "word string")
     banned = spark.createDataFrame([("b",), ("b",)], "word string")
     assert rows(wordcount.remove_words(words, banned)) == [("a",), ("c",)]
+
+
+def test_java_split_random_strings_match_java_rule(spark):
+    """Java's rule: split, drop trailing empty tokens, "" -> [""]; ASCII \\W."""
+    import random
+    import re
+
+    def java(s, regex):
+        if s == "":
+            return [""]
+        parts = re.split(regex, s, flags=re.ASCII)
+        while parts and parts[-1] == "":
+            parts.pop()
+        return parts
+
+    rnd = random.Random(3)
+    values = ["".join(rnd.choice("ab ,.é") for _ in range(rnd.randint(0, 12))) for _ in range(300)]
+    values += ["=" * 5000 + "x" + " " * 3000, " " * 4000]
+    for regex in (" ", r"\W+"):
+        assert _split(spark, values, regex) == [java(v, regex) for v in values]
