@@ -104,6 +104,7 @@ def _frontier_rounds(spark: SparkSession, edges: DataFrame, root: int, max_round
             known = reached.select("id")
         else:  # only the last two frontiers can hold reached neighbours
             known = frontier if previous is None else frontier.unionByName(previous)
+        fresh = None
         if target is None:
             out = hits = 0
             new = materialize(cand.join(known, "id", "left_anti")
@@ -113,14 +114,15 @@ def _frontier_rounds(spark: SparkSession, edges: DataFrame, root: int, max_round
             flagged = materialize(cand.join(seen, "id", "left"), "bfs-candidates")
             stats = flagged.agg(F.coalesce(F.sum("mult"), F.lit(0)).alias("out"),
                                 F.coalesce(F.sum(F.when(F.col("id") == F.lit(target), F.col("mult"))),
-                                           F.lit(0)).alias("hits")).first()
-            out, hits = int(stats["out"]), int(stats["hits"])
+                                           F.lit(0)).alias("hits"),
+                                F.count(F.when(F.col("seen").isNull(), F.lit(1))).alias("fresh")).first()
+            out, hits, fresh = int(stats["out"]), int(stats["hits"]), int(stats["fresh"])
             new = flagged.filter(F.col("seen").isNull()).select("id", F.lit(rnd).cast("int").alias("distance"))
         reached = reached.unionByName(new)
         yield rnd, frontier_size, out, hits, reached
         previous = frontier
         frontier = new.select("id")
-        frontier_size = new.count()
+        frontier_size = new.count() if fresh is None else fresh
 
 
 def bfs_distances(edges: DataFrame, root: int, max_rounds: int = 10, buckets: int = 8,
