@@ -4,7 +4,8 @@
   with an L2 updater, no intercept (the update rule of the classic MLlib
   trainer). Each iteration is one distributed ``avg`` over the points; only
   the scalar weight travels to the driver.
-* ``elastic_net``: ``pyspark.ml.regression.LinearRegression``.
+* ``elastic_net``: exact one-aggregate optimum for one feature, else
+  ``pyspark.ml.regression.LinearRegression``.
 * ``als_recommend``: ``pyspark.ml.recommendation.ALS``; one user's items are
   scored by a dot product with the user's factor vector (no cross join).
 """
@@ -68,13 +69,52 @@ def hash_split(df: DataFrame, key_cols, weights=(0.5, 0.5), seed: int = 0, out:
     return df.withColumn(out, weighted_bucket(key_cols, weights, seed))
 
 
+def elastic_net_1d(train: DataFrame, reg: float = 0.3, mixing: float = 0.8, label: str = "label",
+                   feature: str = "feature") -> tuple[float, float]:
+    """Exact ``(coefficient, intercept)`` of the elastic-net least squares that
+    ``pyspark.ml.regression.LinearRegression`` minimises (intercept fitted,
+    feature and label standardised by their population std, loss 1/(2n)), for
+    one feature. In standardised units the optimum is a soft threshold of the
+    correlation, ``w = S(corr, a*reg/sy) / (1 + (1-a)*reg/sy)``; one aggregate
+    over the training rows gives every moment, no iterations are needed.
+    """
+    m = train.agg(F.count(F.lit(1)).alias("n"), F.avg(feature).alias("mx"), F.avg(label).alias("my"),
+                  F.stddev_pop(feature).alias("sx"), F.stddev_pop(label).alias("sy"),
+                  F.covar_pop(feature, label).alias("cxy")).first()
+    n = int(m["n"] or 0)
+    if n == 0:
+        raise ValueError("no training rows")
+    mx, my = float(m["mx"]), float(m["my"])
+    sx, sy, cxy = (float(m[c]) if m[c] is not None else 0.0 for c in ("sx", "sy", "cxy"))
+    if sx == 0.0 or sy == 0.0 or math.isnan(sx) or math.isnan(sy):
+        w = 0.0  # constant feature or label: the library keeps the coefficient at 0
+    else:
+        corr = cxy / (sx * sy)
+        l1, l2 = mixing * reg / sy, (1.0 - mixing) * reg / sy
+        ws = math.copysign(max(abs(corr) - l1, 0.0), corr) / (1.0 + l2)
+        w = ws * sy / sx
+    return w, my - w * mx
+
+
 def elastic_net(train: DataFrame, test: DataFrame, reg: float = 0.3, mixing: float = 0.8, max_iter: int = 100,
                 tol: float = 1e-6, label: str = "label", features=("feature",)):
-    """Fit on ``train``, return ``(model, test predictions (prediction, label))``."""
+    """Fit on ``train``, return ``(model, test predictions (prediction, label))``.
+
+    One feature: the exact optimum from one aggregate (``elastic_net_1d``);
+    ``model`` is ``(coefficient, intercept)``. Several features:
+    ``pyspark.ml.regression.LinearRegression`` (OWL-QN iterations).
+    """
+    features = list(features)
+    if len(features) == 1:
+        w, b = elastic_net_1d(train, reg, mixing, label, features[0])
+        pred = test.select((F.lit(w) * F.col(features[0]) + F.lit(b)).alias("prediction"),
+                           F.col(label).alias("label"))
+        return (w, b), pred
+
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
 
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    assembler = VectorAssembler(inputCols=features, outputCol="features")
     lr = LinearRegression(featuresCol="features", labelCol=label, regParam=reg, elasticNetParam=mixing,
                           maxIter=max_iter, tol=tol)
     model = lr.fit(assembler.transform(train))

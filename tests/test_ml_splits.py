@@ -39,11 +39,31 @@ def test_sgd_one_step_is_mean_xy(spark):
 
 def test_elastic_net_on_bundled_points(spark):
     pts = _points(spark)
-    model, pred = ml.elastic_net(pts, pts)
-    assert model.coefficients[0] == pytest.approx(-0.71225129381527, rel=1e-6)
+    (w, b), pred = ml.elastic_net(pts, pts)
+    assert w == pytest.approx(-0.71225129381527, rel=1e-6)
     assert pred.count() == 1000 and pred.columns == ["prediction", "label"]
 
 
+@pytest.mark.parametrize("reg,mix", [(0.3, 0.8), (0.05, 0.5), (0.01, 0.0), (2.0, 1.0)])
+def test_elastic_net_closed_form_equals_library(spark, reg, mix):
+    """The one-aggregate optimum equals pyspark.ml's iterative fit."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    rnd = random.Random(9)
+    rows_ = []
+    for _ in range(400):
+        x = rnd.gauss(3.0, 2.0)
+        rows_.append((x, -0.8 * x + 5.0 + rnd.gauss(0.0, 1.5)))
+    df = spark.createDataFrame(rows_, "feature double, label double")
+    w, b = ml.elastic_net_1d(df, reg, mix)
+    lr = LinearRegression(featuresCol="features", labelCol="label", regParam=reg, elasticNetParam=mix,
+                          maxIter=200, tol=1e-10)
+    model = lr.fit(VectorAssembler(inputCols=["feature"], outputCol="features").transform(df))
+    assert w == pytest.approx(model.coefficients[0], rel=1e-6, abs=1e-9)
+    assert b == pytest.approx(model.intercept, rel=1e-6, abs=1e-9)
+
+
 def test_global_row_number_and_kfold(spark):
     rnd = random.Random(5)
     data = [(rnd.randint(0, 50), rnd.randint(0, 3)) for _ in range(500)]
