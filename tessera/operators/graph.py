@@ -57,7 +57,7 @@ def degrees_top(edges: DataFrame, names: DataFrame, k: int = 10) -> DataFrame:
         "id", "name", "degree")
 
 
-def _prepared_edges(edges: DataFrame, buckets: int) -> DataFrame:
+def _prepared_edges(edges: DataFrame, buckets: int) -> tuple[DataFrame, str]:
     """Edges written once as a table bucketed on ``(src, bucket)`` in the shared
     folder: every round's join then shuffles only the frontier."""
     spark = edges.sparkSession
@@ -70,7 +70,7 @@ def _prepared_edges(edges: DataFrame, buckets: int) -> DataFrame:
     # file per bucket instead of one per (task, bucket).
     (e.repartition(parts, "src", "bucket").write.bucketBy(parts, "src", "bucket")
       .option("path", path).mode("overwrite").saveAsTable(name))
-    return spark.table(name)
+    return spark.table(name), name
 
 
 def _expand(prepared: DataFrame, frontier: DataFrame, buckets: int) -> DataFrame:
@@ -89,7 +89,17 @@ def _frontier_rounds(spark: SparkSession, edges: DataFrame, root: int, max_round
     with the reached set) to the shared folder; ``edges_out``/``hits`` are
     computed only when a target is given.
     """
-    prepared = _prepared_edges(edges, buckets)
+    prepared, table_name = _prepared_edges(edges, buckets)
+    try:
+        yield from _rounds(spark, prepared, root, max_rounds, buckets, target, symmetric)
+    finally:
+        # The results read only the frontier files: the catalog entry can go
+        # (the bucketed files stay in the shared folder with the frontiers).
+        spark.sql(f"DROP TABLE IF EXISTS {table_name}")
+
+
+def _rounds(spark: SparkSession, prepared: DataFrame, root: int, max_rounds: int, buckets: int,
+            target: int | None, symmetric: bool):
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("distance", T.IntegerType())])
     reached = spark.createDataFrame([(int(root), 0)], schema)
     frontier = reached.select("id")

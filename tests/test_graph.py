@@ -98,3 +98,12 @@ def test_symmetric_bfs_matches_brute_force(spark):
         assert got == ([(target, want[target])] if target in want else [])
         assert (rows(graph.bfs_early_stop(df, 0, target, 10, symmetric=True))
                 == rows(graph.bfs_early_stop(df, 0, target, 10)))
+
+
+def test_bfs_leaves_no_catalog_table(spark):
+    df = spark.createDataFrame(_edges(), "src long, dst long")
+    before = {t.name for t in spark.catalog.listTables()}
+    d = graph.bfs_distances(df, 0, 3)
+    p = graph.bfs_distance_to(df, 0, 2, 10)
+    assert dict(rows(d)) == brute_bfs(_edges(), 0, 3) and rows(p) == [(2, 2)]
+    assert {t.name for t in spark.catalog.listTables()} == before
