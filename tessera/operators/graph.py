@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import materialize, scratch_path, shuffle_partitions
+from tessera.session import materialize, partitions_for, scratch_path
 
 INFINITY = float("inf")
 
@@ -61,7 +61,7 @@ def _prepared_edges(edges: DataFrame, buckets: int) -> tuple[DataFrame, str]:
     """Edges written once as a table bucketed on ``(src, bucket)`` in the shared
     folder: every round's join then shuffles only the frontier."""
     spark = edges.sparkSession
-    parts = shuffle_partitions(spark)
+    parts = partitions_for(edges)
     path = scratch_path(spark, "edges")
     name = "tessera_edges_" + uuid.uuid4().hex[:12]
     e = edges.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"),

@@ -100,6 +100,36 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def partitions_for(df: DataFrame, target_bytes: int = 256 << 20) -> int:
+    """Partition count for an explicit repartition of ``df``: about
+    ``target_bytes`` per partition from Catalyst's size estimate, never fewer
+    than ``spark.sql.shuffle.partitions`` (AQE does not resize explicit
+    counts, so a fixed setting would make huge partitions at scale)."""
+    base = shuffle_partitions(df.sparkSession)
+    size = input_bytes(df)
+    if not size or size <= 0:
+        return base
+    return max(base, -(-size // target_bytes))
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes the plan reads: the sum of its leaves' sizes (file sizes for
+    scans). The plan-level estimate is not used because without cost-based
+    statistics a join's estimate is the product of its inputs' sizes."""
+    try:
+        unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2 ** 63 - 1)))
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+        total = 0
+        while leaves.hasNext():
+            size = int(str(leaves.next().stats().sizeInBytes()))
+            if size >= unknown:  # a leaf without statistics (e.g. an RDD)
+                return None
+            total += size
+        return total
+    except Exception:  # not available (e.g. Spark Connect)
+        return None
+
+
 def proven_max_rows(df: DataFrame) -> int | None:
     """Upper bound on the rows of ``df`` that Catalyst can prove from the plan
     (a ``limit``, a global aggregate, a local relation), or None."""
@@ -118,7 +148,7 @@ def spread_small_input(df: DataFrame, max_bytes: int = 1 << 30) -> DataFrame:
     and lets every core work; large inputs are already split across many
     tasks by the scan and are left untouched (no extra shuffle at scale).
     """
-    size = estimated_bytes(df)
+    size = input_bytes(df)
     if size is None or size > max_bytes:
         return df
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -125,3 +125,13 @@ def test_als_reindexes_wide_ids(spark):
     assert all(r["user"] == 4 + shift and r["item"] >= shift for r in b)
     for x, y in zip(a, b):
         assert abs(x["score"] - y["score"]) < 1e-4
+
+
+def test_row_numbers_with_offsets_as_a_table(spark, monkeypatch):
+    """Past the literal limit the per-partition offsets join as a table; the
+    numbering is the same."""
+    df = spark.createDataFrame([(i % 97, i) for i in range(3000)], "a int, b int")
+    want = [tuple(r) for r in splits.global_row_number(df, ["a", "b"], partitions=9).orderBy("rn").collect()]
+    monkeypatch.setattr(splits, "MAX_LITERAL_OFFSETS", 2)
+    got = [tuple(r) for r in splits.global_row_number(df, ["a", "b"], partitions=9).orderBy("rn").collect()]
+    assert got == want and [r[2] for r in got] == list(range(1, 3001))
