@@ -135,3 +135,18 @@ def test_row_numbers_with_offsets_as_a_table(spark, monkeypatch):
     monkeypatch.setattr(splits, "MAX_LITERAL_OFFSETS", 2)
     got = [tuple(r) for r in splits.global_row_number(df, ["a", "b"], partitions=9).orderBy("rn").collect()]
     assert got == want and [r[2] for r in got] == list(range(1, 3001))
+
+
+def test_partition_count_follows_bytes_read(spark, tmpdir_path):
+    from tessera.session import input_bytes, partitions_for, shuffle_partitions
+
+    path = os.path.join(tmpdir_path, "t")
+    spark.range(20000).selectExpr("id", "id * 2 AS v").write.parquet(path)
+    df = spark.read.parquet(path)
+    size = input_bytes(df)
+    base = shuffle_partitions(spark)
+    assert size and partitions_for(df, target_bytes=max(1, size // (base * 3))) >= base * 3
+    assert partitions_for(df) == base  # a small input never goes below the setting
+    joined = df.join(spark.read.parquet(path).withColumnRenamed("v", "w"), "id")
+    assert input_bytes(joined) == 2 * size  # read bytes add up; no join product
+    assert partitions_for(spark.createDataFrame([(1,)], "a int")) == base  # no statistics
