@@ -17,6 +17,7 @@ import math
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.hashing import weighted_bucket
 from tessera.operators.ranking import lookup_names
@@ -149,10 +150,15 @@ def als_recommend(ratings: DataFrame, titles: DataFrame, user_id: int, k: int =
     checkpoint_root(ratings.sparkSession)
     base = ratings.select(F.col(user).cast("long").alias("user"), F.col(item).cast("long").alias("item"),
                           F.col(rating).cast("float").alias("rating"))
-    rng = base.agg(F.min("user").alias("u0"), F.max("user").alias("u1"),
-                   F.min("item").alias("i0"), F.max("item").alias("i1")).first()
-    bounds = [v for v in rng if v is not None]
-    fits = all(INT32[0] <= v <= INT32[1] for v in bounds)
+    narrow = (T.ByteType, T.ShortType, T.IntegerType)
+    types = {f.name: f.dataType for f in ratings.schema.fields}
+    if isinstance(types.get(user), narrow) and isinstance(types.get(item), narrow):
+        fits = True  # the schema proves the ids fit: no range job
+    else:
+        rng = base.agg(F.min("user").alias("u0"), F.max("user").alias("u1"),
+                       F.min("item").alias("i0"), F.max("item").alias("i1")).first()
+        bounds = [v for v in rng if v is not None]
+        fits = all(INT32[0] <= v <= INT32[1] for v in bounds)
     target = int(user_id)
     items = None
     if fits:

@@ -121,7 +121,9 @@ def test_als_reindexes_wide_ids(spark):
                          k=5, rank=3, max_iter=5, blocks=2).collect()
     b = ml.als_recommend(spark.createDataFrame(wide, "user long, item long, rating double"), wide_titles,
                          4 + shift, k=5, rank=3, max_iter=5, blocks=2).collect()
-    assert [r["title"] for r in a] == [r["title"] for r in b] and len(a) == 5
+    c = ml.als_recommend(spark.createDataFrame(small, "user int, item int, rating double"), titles, 4,
+                         k=5, rank=3, max_iter=5, blocks=2).collect()
+    assert [r["title"] for r in a] == [r["title"] for r in b] == [r["title"] for r in c] and len(a) == 5
     assert all(r["user"] == 4 + shift and r["item"] >= shift for r in b)
     for x, y in zip(a, b):
         assert abs(x["score"] - y["score"]) < 1e-4
