@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import html, language, mixing, oracle, pii, quality
+from tessera.llm import html, language, lm, mixing, oracle, packing, pii, quality
 from tessera.llm.common import crc_fold, table
 
 
@@ -34,6 +34,23 @@ def q_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("held_out", held)
 
 
+def tokenizer_json(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        return f.read()
+
+
+def q_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf, "documents"), tokenizer_json())
+
+
+def q_lm(spark: SparkSession, sf: str) -> DataFrame:
+    held = crc_fold(F.col("doc_id"), 10) == 0
+    out = lm.score_documents(table(spark, sf, "documents").select("doc_id", "text"), ~held)
+    return out.withColumn("held_out", held)
+
+
 def q_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf, "documents"))
 
@@ -42,7 +59,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_compression_quality": q_quality,
     "op4_source_mixing": q_mixing,
     "op5_html_main_text": q_html,
+    "op6_cutting_stock_packing": q_packing,
     "op7_language_id": q_language,
+    "op9_ppm_score": q_lm,
     "op10_pii": q_pii,
 }
 
