@@ -120,7 +120,7 @@ def window_hashes(h: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     n = len(h) - k + 1
     if n <= 0:
         return h[:0]
-    acc = np.full(n, np.uint64(seed * 2 + 1) * _ODD[k % 13], dtype=np.uint64)
+    acc = np.full(n, np.uint64((seed * 2 + 1) * int(_ODD[k % 13]) % (1 << 64)))
     for j in range(k):
         acc += h[j:j + n] * (_ODD[(j + seed) % 13] + np.uint64(2 * (j // 13) + 4 * seed))
     return mix(acc)
