@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import html, language, lm, mixing, oracle, packing, pii, quality, substring_dedup
+from tessera.llm import html, jaccard_join, language, lm, mixing, oracle, packing, pii, quality, substring_dedup
 from tessera.llm.common import crc_fold, table
 
 
@@ -22,6 +22,10 @@ def q_substring(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf, "documents"))
 
 
+def q_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf, "documents"))
+
+
 def q_mixing(spark: SparkSession, sf: str) -> DataFrame:
     out = mixing.mix_sources(table(spark, sf, "documents"))
     return out.withColumns({c: F.round(c, 9) for c in ("share", "weight")})
@@ -62,6 +66,7 @@ def q_pii(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_compression_quality": q_quality,
     "op2_substring_dedup": q_substring,
+    "op3_ngram_jaccard_join": q_jaccard,
     "op4_source_mixing": q_mixing,
     "op5_html_main_text": q_html,
     "op6_cutting_stock_packing": q_packing,
