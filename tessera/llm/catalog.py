@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import html, jaccard_join, language, lm, mixing, oracle, packing, pii, quality, substring_dedup
+from tessera.llm import ann, html, jaccard_join, language, lm, mixing, oracle, packing, pii, quality, substring_dedup
 from tessera.llm.common import crc_fold, table
 
 
@@ -53,6 +53,10 @@ def q_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"), tokenizer_json())
 
 
+def q_ann(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf, "embeddings"), k=20, query_every=20)
+
+
 def q_lm(spark: SparkSession, sf: str) -> DataFrame:
     held = crc_fold(F.col("doc_id"), 10) == 0
     out = lm.score_documents(table(spark, sf, "documents").select("doc_id", "text"), ~held)
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_html_main_text": q_html,
     "op6_cutting_stock_packing": q_packing,
     "op7_language_id": q_language,
+    "op8_hnsw_neighbours": q_ann,
     "op9_ppm_score": q_lm,
     "op10_pii": q_pii,
 }
