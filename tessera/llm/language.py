@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,34 +65,61 @@ def fit_dictionaries(train: DataFrame, params: LanguageParams = LanguageParams()
     return {k: "\n".join(t for _, t in sorted(v)).encode()[:params.dict_bytes] for k, v in sorted(by.items())}
 
 
+class Classifier:
+    """Prediction of one text at a time, inside a task."""
+
+    def __init__(self, dictionaries: dict[str, bytes], params: LanguageParams) -> None:
+        self.langs, self.params = sorted(dictionaries), params
+        self.press = []
+        for k in self.langs:
+            d = zstandard.ZstdCompressionDict(dictionaries[k], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d.precompute_compress(level=params.level)
+            self.press.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_dict_id=False))
+
+    def __call__(self, text: str | None) -> tuple[str, float, float, bool]:
+        """Language, score, margin and whether the text is accepted."""
+        if not self.press or text is None or not any(map(str.isalpha, text)):
+            return "und", 0.0, 0.0, False
+        data, step = text.lower().encode(), self.params.chunk_bytes
+        chunks = [data[a:a + step] for a in range(0, len(data), step)]
+        sizes = [sum(len(p.compress(c)) for c in chunks) for p in self.press]
+        order = sorted(range(len(sizes)), key=sizes.__getitem__)
+        best = sizes[order[0]]
+        margin = (sizes[order[1]] - best) / sizes[order[1]] if len(sizes) > 1 else 1.0
+        return (self.langs[order[0]], min(1.0, margin / self.params.full_margin), margin,
+                margin >= self.params.min_margin)
+
+
 def identify_language(docs: DataFrame, dictionaries: dict[str, bytes],
                       params: LanguageParams = LanguageParams()) -> DataFrame:
     """``doc_id, lang_pred, score, margin, accepted`` for each row of ``docs``
     (``doc_id``, ``text``). ``score`` in 0..1 is the margin against
     ``full_margin``, at most 1. One narrow pass, no shuffle."""
-    langs = sorted(dictionaries)
-    full = params.full_margin
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = []
-        for k in langs:
-            d = zstandard.ZstdCompressionDict(dictionaries[k], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=params.level)
-            press.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_dict_id=False))
+        predict = Classifier(dictionaries, params)
         for part in slices(batches):
-            rows = []
-            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                if not press or text is None or not any(map(str.isalpha, text)):
-                    rows.append((doc_id, "und", 0.0, 0.0, False))
-                    continue
-                data = text.lower().encode()
-                chunks = [data[a:a + params.chunk_bytes] for a in range(0, len(data), params.chunk_bytes)]
-                sizes = [sum(len(p.compress(c)) for c in chunks) for p in press]
-                order = sorted(range(len(sizes)), key=sizes.__getitem__)
-                best = sizes[order[0]]
-                margin = (sizes[order[1]] - best) / sizes[order[1]] if len(sizes) > 1 else 1.0
-                rows.append((doc_id, langs[order[0]], min(1.0, margin / full), margin,
-                             margin >= params.min_margin))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), OUT)], schema=OUT)
+            found = [predict(t) for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).cast(pa.int64()), *(pa.array(c, t.type) for c, t in zip(zip(*found), list(OUT)[1:]))],
+                schema=OUT)
 
     return docs.select("doc_id", "text").mapInArrow(classify, SCHEMA)
+
+
+def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes],
+                    params: LanguageParams = LanguageParams()) -> DataFrame:
+    """The rows of ``docs`` whose language is accepted, all columns unchanged
+    but for ``lang``, which is filled in where it is null."""
+    text, lang = docs.columns.index("text"), docs.columns.index("lang")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predict = Classifier(dictionaries, params)
+        for part in slices(batches):
+            found = [predict(t) for t in part.column(text).to_pylist()]
+            named = pc.coalesce(part.column(lang), pa.array([f[0] for f in found], part.column(lang).type))
+            full = pa.RecordBatch.from_arrays([named if i == lang else c for i, c in enumerate(part.columns)],
+                                              schema=part.schema)
+            yield full.filter(pa.array([f[3] for f in found], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
