@@ -206,7 +206,8 @@ def score_documents(docs: DataFrame, train: Column) -> DataFrame:
                 common = heavy_h[at] == h
             k = len(texts)
             known = np.bincount(doc[common], heavy_c[at[common]] > 0, k).astype(np.int64)
-            logs = np.bincount(doc[common], heavy_log[at[common]], k) if len(heavy_h) else np.zeros(k)
+            logs = np.zeros(k)
+            np.add.at(logs, doc[common], heavy_log[at[common]] if len(heavy_h) else 0.0)
             rid = part.column(0).to_numpy()
             bucket = pa.array((rid % n_buckets).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
