@@ -13,7 +13,8 @@ negative code length. With each text begins a new context of two zero bytes.
 
 **Words.** The baseline needs the count of each word in the training documents.
 Word counts travel as packed postings (see ``common``) to hash buckets. There
-the words of a document meet their counts, and only sums per document return.
+the words of a document meet their counts, and one row per slice of documents
+takes the sums back.
 Words that make up more than one part in ``2**HEAVY_BITS`` of all words, at
 most that many, are counted first and scored where the text is, so that no
 bucket has to hold a posting of every document for a frequent word.
@@ -169,9 +170,9 @@ def heavy_words(counts: DataFrame, all_words: int) -> tuple[np.ndarray, np.ndarr
     return h[order], c[order]
 
 
-PARTS = "bucket int, rid long, doc_id long, n_tokens long, n_known long, word_sum double, score double, data binary"
 SUMS = "rid long, doc_id long, n_tokens long, n_known long, word_sum double, score double"
 SUM_NAMES = ["rid", "doc_id", "n_tokens", "n_known", "word_sum", "score"]
+PARTS = f"bucket int, first long, {SUMS}, data binary"
 
 
 def score_documents(docs: DataFrame, train: Column) -> DataFrame:
@@ -209,10 +210,11 @@ def score_documents(docs: DataFrame, train: Column) -> DataFrame:
             logs = np.zeros(k)
             np.add.at(logs, doc[common], heavy_log[at[common]] if len(heavy_h) else 0.0)
             rid = part.column(0).to_numpy()
-            bucket = pa.array((rid % n_buckets).astype(np.int32))
+            first = int(rid[0])  # names the slice
             yield pa.RecordBatch.from_arrays(
-                [bucket, pa.array(rid), part.column(1), pa.array(per + 1), pa.array(known), pa.array(logs),
-                 pa.array(spent), pa.nulls(k, pa.binary())], names=["bucket", *SUM_NAMES, "data"])
+                [pa.array(np.full(k, first % n_buckets, np.int32)), pa.array(np.full(k, first)), pa.array(rid),
+                 part.column(1), pa.array(per + 1), pa.array(known), pa.array(logs), pa.array(spent),
+                 pa.nulls(k, pa.binary())], names=["bucket", "first", *SUM_NAMES, "data"])
             h, doc = h[~common], doc[~common]
             order = np.lexsort((doc, h))
             h, doc = h[order], doc[order]
@@ -221,40 +223,56 @@ def score_documents(docs: DataFrame, train: Column) -> DataFrame:
                 continue
             n_here = np.diff(np.append(at, len(h)))
             is_train = np.asarray(part.column(3))[doc[at]]
-            first = int(rid[0])
             rows = list(_bucket_rows(h[at], [rid[doc[at]] - first, n_here * 2 + is_train], n_buckets))
             m = len(rows)
-            empty = [pa.nulls(m, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+            empty = [pa.nulls(m, t) for t in (*[pa.int64()] * 4, pa.float64(), pa.float64())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), pa.array([first] * m, pa.int64()), *empty,
-                 pa.array([r[1] for r in rows], pa.binary())], names=["bucket", *SUM_NAMES, "data"])
+                 pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "first", *SUM_NAMES, "data"])
 
     def meet(group: pa.Table) -> pa.Table:
-        own = group.filter(pc.is_null(group.column("data"))).select(SUM_NAMES)
+        """Words meet their counts; one row per slice takes the sums back."""
+        group = group.select(["first", *SUM_NAMES, "data"])
+        own = group.filter(pc.is_null(group.column("data")))
         sent = group.filter(pc.is_valid(group.column("data")))
         if not sent.num_rows:
             return own
         lists = [unpack(d, 2) for d in sent.column("data").to_pylist()]
-        h = np.concatenate([x[0] for x in lists])
-        rid = np.concatenate([x[1].astype(np.int64) + f for x, f in zip(lists, sent.column("rid").to_pylist())])
-        times = np.concatenate([x[2].astype(np.int64) for x in lists])
+        h, doc, times = (np.concatenate([x[i] for x in lists]) for i in range(3))
+        times = times.astype(np.int64)
         order = np.argsort(h, kind="stable")
-        h, rid, times = h[order], rid[order], times[order]
-        at = group_starts(h)
-        c = np.repeat(np.add.reduceat((times >> 1) * (times & 1), at), np.diff(np.append(at, len(h))))
-        ids, back = np.unique(rid, return_inverse=True)
+        at = group_starts(h[order])
+        used = ((times >> 1) * (times & 1))[order]
+        c = np.empty(len(h), dtype=np.int64)
+        c[order] = np.repeat(np.add.reduceat(used, at), np.diff(np.append(at, len(h))))
         times >>= 1
-        m = len(ids)
-        part = pa.table([pa.array(ids), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
-                         pa.array(np.bincount(back, times * (c > 0), m).astype(np.int64)),
-                         pa.array(np.bincount(back, times * np.log10(c + 0.1), m)), pa.nulls(m, pa.float64())],
-                        names=SUM_NAMES)
-        return pa.concat_tables([own.cast(part.schema), part])
+        logs, known, ends, back = times * np.log10(c + 0.1), times * (c > 0), np.cumsum([len(x[0]) for x in lists]), []
+        for x, e in zip(lists, ends):
+            where = slice(e - len(x[0]), e)
+            ids, inside = np.unique(doc[where].astype(np.int64), return_inverse=True)
+            back.append(ids.tobytes() + np.bincount(inside, known[where], len(ids)).tobytes()
+                        + np.bincount(inside, logs[where], len(ids)).tobytes())
+        n_sent = len(back)
+        empty = [pa.nulls(n_sent, t) for t in (*[pa.int64()] * 4, pa.float64(), pa.float64())]
+        return pa.concat_tables([own, pa.table([sent.column("first"), *empty, pa.array(back, pa.binary())],
+                                               names=own.column_names)])
+
+    def total(group: pa.Table) -> pa.Table:
+        own = group.filter(pc.is_null(group.column("data"))).select(SUM_NAMES).combine_chunks()
+        place = own.column("rid").to_numpy() - group.column("first")[0].as_py()
+        order = np.argsort(place)
+        known, logs = own.column("n_known").to_numpy().astype(np.float64), own.column("word_sum").to_numpy().copy()
+        for data in group.filter(pc.is_valid(group.column("data"))).column("data").to_pylist():
+            ids, more_known, more = np.frombuffer(data, dtype=np.int64).reshape(3, -1)
+            at = order[np.searchsorted(place, ids, sorter=order)]
+            known[at] += more_known.view(np.float64)
+            logs[at] += more.view(np.float64)
+        return own.set_column(3, "n_known", pa.array(known.astype(np.int64))).set_column(4, "word_sum", pa.array(logs))
 
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text",
                        F.coalesce(train, F.lit(False)).alias("is_train"))
-    sums = rows.mapInArrow(post, PARTS).groupBy("bucket").applyInArrow(meet, SUMS)
-    per_doc = sums.groupBy("rid").agg(F.max("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in SUM_NAMES[2:]])
+    per_doc = rows.mapInArrow(post, PARTS).groupBy("bucket").applyInArrow(meet, f"first long, {SUMS}, data binary") \
+        .groupBy("first").applyInArrow(total, SUMS)
     end_log, floor = float(np.log10(n_train + 0.1)), float(np.log10(n + 0.1 * (v + 1)))
     return per_doc.select(
         "doc_id", "n_tokens", (F.col("n_known") + F.lit(int(n_train > 0))).alias("n_known"),
