@@ -43,9 +43,9 @@ from pyspark.sql import functions as F
 from tessera.llm.common import (bucket_ranges, buckets_for, cut, encoded, group_starts, narrow, pack, slices, unpack,
                                 window_hashes, word_hashes)
 
-ROWS = "bucket int, doc_id long, base long, data binary"
-ROW_NAMES = ["bucket", "doc_id", "base", "data"]
-PLACES = "doc_id long, data binary"
+ROWS = "bucket int, base long, settled boolean, data binary"
+ROW_NAMES = ["bucket", "base", "settled", "data"]
+FOUND = "base long, data binary"
 OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                  ("kept_sha256", pa.string())])
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -67,40 +67,54 @@ class CoverParams:
         return self.window - self.period + 1
 
 
-def _places(doc: np.ndarray, pos: np.ndarray) -> list[tuple[int, bytes]]:
-    """``(doc, packed positions)`` for each document."""
-    order = np.lexsort((pos, doc))
-    doc, pos = doc[order], pos[order].astype("<u4")
-    at = group_starts(doc)
-    return [(int(doc[a]), pos[a:b].tobytes()) for a, b in zip(at, [*at[1:], len(doc)])]
+def _packed_places(doc: np.ndarray, pos: np.ndarray) -> bytes:
+    """Places as documents (counted from the slice's smallest id) and positions."""
+    order = np.argsort(doc, kind="stable")
+    return pack(doc[order].astype(np.uint64), narrow(pos[order]))
 
 
 def _rows(doc: np.ndarray, pos: np.ndarray, n_buckets: int, postings: list[tuple[int, bytes]],
           base: int) -> pa.RecordBatch:
-    """Settled places (with a document) and postings (without) as one batch."""
-    settled = _places(doc, pos)
-    k, m = len(settled), len(postings)
+    """What a slice knows by itself (one row) and its postings, one per bucket."""
+    n = len(postings) + 1
     return pa.RecordBatch.from_arrays(
-        [pa.array([d % n_buckets for d, _ in settled] + [b for b, _ in postings], pa.int32()),
-         pa.array([d for d, _ in settled] + [None] * m, pa.int64()), pa.array([None] * k + [base] * m, pa.int64()),
-         pa.array([p for _, p in settled] + [p for _, p in postings], pa.binary())], names=ROW_NAMES)
+        [pa.array([base % n_buckets, *(b for b, _ in postings)], pa.int32()), pa.array([base] * n, pa.int64()),
+         pa.array([True] + [False] * (n - 1)), pa.array([_packed_places(doc, pos), *(p for _, p in postings)],
+                                                        pa.binary())], names=ROW_NAMES)
 
 
-def _reported(own: pa.Table, doc: np.ndarray, pos: np.ndarray) -> pa.Table:
-    found = _places(doc, pos)
-    return pa.table([pa.concat_arrays([*own.column("doc_id").chunks, pa.array([d for d, _ in found], pa.int64())]),
-                     pa.concat_arrays([*own.column("data").chunks, pa.array([p for _, p in found], pa.binary())])],
-                    names=["doc_id", "data"])
+def _split(group: pa.Table, n_cols: int) -> tuple[pa.Table, pa.Table, list[list[np.ndarray]]]:
+    """Rows that only pass through, the others, and these unpacked."""
+    own, sent = group.filter(group.column("settled")), group.filter(pc.invert(group.column("settled")))
+    return own.select(["base", "data"]), sent, [unpack(d, n_cols) for d in sent.column("data").to_pylist()]
 
 
-def _lists(group: pa.Table, n_cols: int) -> tuple[pa.Table, list[list[np.ndarray]]]:
-    sent = group.filter(pc.is_null(group.column("doc_id")))
-    lists = []
-    for data, base in zip(sent.column("data").to_pylist(), sent.column("base").to_pylist()):
-        cols = unpack(data, n_cols)
-        cols[-2] = cols[-2].astype(np.int64) + base
-        lists.append(cols)
-    return group.filter(pc.is_valid(group.column("doc_id"))), lists
+def _answered(own: pa.Table, sent: pa.Table, lists: list, hit: np.ndarray, doc_col: int, pos_col: int,
+              shift: int = 0) -> pa.Table:
+    """``own`` and one row per slice with the places of its postings in ``hit``."""
+    ends, back = np.cumsum([len(x[0]) for x in lists]), []
+    for x, e in zip(lists, ends):
+        use = hit[e - len(x[0]):e]
+        back.append(_packed_places(x[doc_col][use], x[pos_col][use].astype(np.int64) - shift))
+    return pa.concat_tables([own, pa.table([sent.column("base"), pa.array(back, pa.binary())], names=["base", "data"])])
+
+
+def places_by_document(found: DataFrame) -> DataFrame:
+    """``(doc_id, places)`` from ``(base, packed places)``: all positions of a
+    document as 32-bit integers, a slice's documents in one group."""
+
+    def gather(group: pa.Table) -> pa.Table:
+        lists = [unpack(d, 1) for d in group.column("data").to_pylist()]
+        doc, pos = (np.concatenate([x[i] for x in lists]) for i in range(2))
+        order = np.argsort(doc, kind="stable")
+        doc, pos = doc[order].astype(np.int64) + group.column("base")[0].as_py(), pos[order].astype("<u4")
+        at = group_starts(doc)
+        return pa.table([pa.array(doc[at]), pa.array([pos[a:b].tobytes() for a, b in zip(at, [*at[1:], len(doc)])],
+                                                     pa.binary())], names=["doc_id", "places"])
+
+    by_slice = found.groupBy("base").applyInArrow(gather, "doc_id long, places binary")
+    # A document repeated in several slices has its places from each.
+    return by_slice.groupBy("doc_id").agg(F.collect_list("places").alias("places"))
 
 
 def _parsed(part: pa.RecordBatch):
@@ -112,7 +126,7 @@ def _parsed(part: pa.RecordBatch):
 
 
 def shared_anchors(docs: DataFrame, params: CoverParams, n_buckets: int) -> DataFrame:
-    """``(doc_id, packed positions)`` of anchors found in two or more documents."""
+    """``(base, packed places)`` of anchors found in two or more documents."""
     at_cover = np.zeros(params.period, dtype=bool)
     at_cover[list(params.cover)] = True
     size = params.anchor
@@ -141,31 +155,32 @@ def shared_anchors(docs: DataFrame, params: CoverParams, n_buckets: int) -> Data
             keys = keys[send]
             postings = [(b, pack(keys[lo:hi], *(narrow(c[lo:hi]) for c in cols)))
                         for b, lo, hi in bucket_ranges(keys, n_buckets)]
-            yield _rows(doc[many], pos[many], n_buckets, postings, base)
+            yield _rows(doc[many] - base, pos[many], n_buckets, postings, base)
 
     def meet(group: pa.Table) -> pa.Table:
-        own, lists = _lists(group, 2)
+        own, sent, lists = _split(group, 2)
         if not lists:
-            return own.select(["doc_id", "data"])
+            return own
+        base = np.repeat(sent.column("base").to_numpy(), [len(x[0]) for x in lists])
         keys, doc, place = (np.concatenate([x[i] for x in lists]) for i in range(3))
-        place = place.astype(np.int64)
         order = np.argsort(keys, kind="stable")
-        keys, doc, place = keys[order], doc[order], place[order]
-        at = group_starts(keys)
+        at = group_starts(keys[order])
         size_of = np.diff(np.append(at, len(keys)))
-        settled = place == 0  # stands for two or more documents
+        settled = (place == 0)[order]  # stands for two or more documents
+        doc = (doc.astype(np.int64) + base)[order]
         low = np.minimum.reduceat(np.where(settled, np.iinfo(np.int64).max, doc), at)
         high = np.maximum.reduceat(np.where(settled, np.iinfo(np.int64).min, doc), at)
-        shared = np.repeat(np.logical_or.reduceat(settled, at) | (low != high), size_of) & ~settled
-        return _reported(own, doc[shared], place[shared] - 1)
+        hit = np.empty(len(keys), dtype=bool)
+        hit[order] = np.repeat(np.logical_or.reduceat(settled, at) | (low != high), size_of) & ~settled
+        return _answered(own, sent, lists, hit, 1, 2, shift=1)
 
     return docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(post, ROWS) \
-        .groupBy("bucket").applyInArrow(meet, PLACES)
+        .groupBy("bucket").applyInArrow(meet, FOUND)
 
 
 def repeated_windows(docs: DataFrame, anchors: DataFrame, params: CoverParams, n_buckets: int) -> DataFrame:
-    """``(doc_id, packed starts)`` of windows that also start in a document
-    with a smaller id; ``anchors`` as ``shared_anchors`` gives them."""
+    """``(base, packed starts)`` of windows that also start in a document with
+    a smaller id; ``anchors`` as ``shared_anchors`` gives them."""
     size, reach = params.window, params.window - params.anchor
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,22 +212,24 @@ def repeated_windows(docs: DataFrame, anchors: DataFrame, params: CoverParams, n
             keys, cols = keys[~later], [more[~later], doc[~later] - base, pos[~later]]
             postings = [(b, pack(keys[lo:hi], cols[0][lo:hi], narrow(cols[1][lo:hi]), narrow(cols[2][lo:hi])))
                         for b, lo, hi in bucket_ranges(keys, n_buckets)]
-            yield _rows(doc[later], pos[later], n_buckets, postings, base)
+            yield _rows(doc[later] - base, pos[later], n_buckets, postings, base)
 
     def meet(group: pa.Table) -> pa.Table:
-        own, lists = _lists(group, 3)
+        own, sent, lists = _split(group, 3)
         if not lists:
-            return own.select(["doc_id", "data"])
-        keys, more, doc, pos = (np.concatenate([x[i] for x in lists]) for i in range(4))
+            return own
+        base = np.repeat(sent.column("base").to_numpy(), [len(x[0]) for x in lists])
+        keys, more, doc = (np.concatenate([x[i] for x in lists]) for i in range(3))
+        doc = doc.astype(np.int64) + base
         order = np.lexsort((doc, more, keys))
-        keys, more, doc, pos = keys[order], more[order], doc[order], pos[order]
-        at = group_starts(keys, more)
-        later = doc > np.repeat(doc[at], np.diff(np.append(at, len(keys))))
-        return _reported(own, doc[later], pos[later].astype(np.int64))
+        at = group_starts(keys[order], more[order])
+        hit = np.empty(len(keys), dtype=bool)
+        hit[order] = doc[order] > np.repeat(doc[order][at], np.diff(np.append(at, len(keys))))
+        return _answered(own, sent, lists, hit, 2, 3)
 
-    held = anchors.groupBy("doc_id").agg(F.collect_list("data").alias("places"))
+    held = places_by_document(anchors)
     return docs.select("doc_id", "text").join(held, "doc_id").select("doc_id", "text", "places") \
-        .mapInArrow(post, ROWS).groupBy("bucket").applyInArrow(meet, PLACES)
+        .mapInArrow(post, ROWS).groupBy("bucket").applyInArrow(meet, FOUND)
 
 
 def remove_repeats(docs: DataFrame, params: CoverParams = CoverParams()) -> DataFrame:
@@ -240,6 +257,6 @@ def remove_repeats(docs: DataFrame, params: CoverParams = CoverParams()) -> Data
                 rows.append((doc_id, n, gone, hashlib.sha256(b" ".join(words)).hexdigest()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), OUT)], schema=OUT)
 
-    held = windows.groupBy("doc_id").agg(F.collect_list("data").alias("places"))
+    held = places_by_document(windows)
     return docs.select("doc_id", "text").join(held, "doc_id", "left").select("doc_id", "text", "places") \
         .mapInArrow(mask, RESULT)
