@@ -25,21 +25,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, conf: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     The lineage ends at the written files, so a lost executor costs only its
     running tasks, and the shuffle files behind the table are deleted as soon
-    as it is written instead of when the driver collects its garbage.
+    as it is written instead of when the driver collects its garbage. ``conf``
+    holds while it is written.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    conf = {CLEANUP: "true", **(conf or {})}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 

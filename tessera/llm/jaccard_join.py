@@ -87,11 +87,13 @@ def _sums(x: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 FACTS = ["rid", "doc_id", "n_shingles", "set_a", "set_b", "shared"]
 FACT_TYPES = "rid long, doc_id long, n_shingles long, set_a long, set_b long, shared long"
+SENT = ["first", *FACTS, "data"]
 
 
 def set_facts(docs: DataFrame, params: JoinParams, n_buckets: int) -> DataFrame:
     """One row per row of ``docs``: its id, set size, 128-bit set hash, and how
-    many of its runs occur in another row."""
+    many of its runs occur in another row. ``first`` names a slice of documents
+    by its first row; a bucket answers a slice in one row."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -108,9 +110,9 @@ def set_facts(docs: DataFrame, params: JoinParams, n_buckets: int) -> DataFrame:
             many = np.repeat(size_of > 1, size_of)
             here = np.bincount(by_row[many], minlength=k)
             yield pa.RecordBatch.from_arrays(
-                [pa.array((rid % n_buckets).astype(np.int32)), pa.array(rid), part.column(1), pa.array(counts),
-                 pa.array(hash_a), pa.array(hash_b), pa.array(here), pa.nulls(k, pa.binary())],
-                names=["bucket", *FACTS, "data"])
+                [pa.array(np.full(k, first % n_buckets, np.int32)), pa.array(np.full(k, first)), pa.array(rid),
+                 part.column(1), pa.array(counts), pa.array(hash_a), pa.array(hash_b), pa.array(here),
+                 pa.nulls(k, pa.binary())], names=["bucket", *SENT])
             send = ~many
             send[at] = True
             by_key, col = by_key[send], np.where(many, 0, rid[by_row] - first + 1)[send]
@@ -118,34 +120,48 @@ def set_facts(docs: DataFrame, params: JoinParams, n_buckets: int) -> DataFrame:
             m = len(rows)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), pa.array([first] * m, pa.int64()),
-                 *(pa.nulls(m, pa.int64()) for _ in FACTS[1:]), pa.array([r[1] for r in rows], pa.binary())],
-                names=["bucket", *FACTS, "data"])
+                 *(pa.nulls(m, pa.int64()) for _ in FACTS), pa.array([r[1] for r in rows], pa.binary())],
+                names=["bucket", *SENT])
 
     def meet(group: pa.Table) -> pa.Table:
-        own = group.filter(pc.is_null(group.column("data"))).select(FACTS)
+        own = group.filter(pc.is_null(group.column("data"))).select(SENT)
         sent = group.filter(pc.is_valid(group.column("data")))
         if not sent.num_rows:
             return own
         lists = [unpack(d, 1) for d in sent.column("data").to_pylist()]
         keys = np.concatenate([x[0] for x in lists])
-        # 0 stands for several rows of one slice; they know already.
-        rid = np.concatenate([np.where(x[1] == 0, -1, x[1].astype(np.int64) - 1 + f)
-                              for x, f in zip(lists, sent.column("rid").to_pylist())])
         order = np.argsort(keys, kind="stable")
-        keys, rid = keys[order], rid[order]
-        at = group_starts(keys)
+        at = group_starts(keys[order])
         size_of = np.diff(np.append(at, len(keys)))
-        rid = rid[np.repeat(size_of > 1, size_of) & (rid >= 0)]
-        ids, counts = np.unique(rid, return_counts=True)
-        none = [pa.nulls(len(ids), pa.int64()) for _ in range(4)]
-        return pa.concat_tables([own, pa.table([pa.array(ids), *none, pa.array(counts)], names=FACTS)])
+        shared = np.empty(len(keys), dtype=bool)
+        shared[order] = np.repeat(size_of > 1, size_of)
+        ends, back = np.cumsum([len(x[0]) for x in lists]), []
+        for (_, place), e in zip(lists, ends):
+            # 0 stands for several rows of the slice; they know already.
+            place = place[shared[e - len(place):e] & (place > 0)].astype(np.int64) - 1
+            back.append(np.concatenate(np.unique(place, return_counts=True)).tobytes())
+        none = [pa.nulls(len(back), pa.int64()) for _ in FACTS]
+        return pa.concat_tables([own, pa.table([sent.column("first"), *none, pa.array(back, pa.binary())], names=SENT)])
+
+    def total(group: pa.Table) -> pa.Table:
+        own = group.filter(pc.is_null(group.column("data"))).select(FACTS).combine_chunks()
+        place = own.column("rid").to_numpy() - group.column("first")[0].as_py()
+        order = np.argsort(place)
+        shared = own.column("shared").to_numpy().copy()
+        for data in group.filter(pc.is_valid(group.column("data"))).column("data").to_pylist():
+            rows, counts = np.frombuffer(data, dtype=np.int64).reshape(2, -1)
+            shared[order[np.searchsorted(place, rows, sorter=order)]] += counts
+        return own.set_column(len(FACTS) - 1, "shared", pa.array(shared))
 
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
-    sent = rows.mapInArrow(post, "bucket int, " + FACT_TYPES + ", data binary")
-    sums = sent.groupBy("bucket").applyInArrow(meet, FACT_TYPES).groupBy("rid")
-    return sums.agg(*[F.max(c).alias(c) for c in FACTS[1:5]], F.sum("shared").alias("shared"))
+    sent = rows.mapInArrow(post, f"bucket int, first long, {FACT_TYPES}, data binary")
+    met = sent.groupBy("bucket").applyInArrow(meet, f"first long, {FACT_TYPES}, data binary")
+    return met.groupBy("first").applyInArrow(total, FACT_TYPES)
 
 
+BLOOM = {"spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+         "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+         "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1t"}
 BLOCKS = "block long, ids binary, sizes binary, tokens binary"
 
 
@@ -387,8 +403,11 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams()) -> Da
                             & (100 * F.col("shared") >= params.percent * F.col("n_shingles")))
     classes = cut(can_link.groupBy(*key).agg(F.min("doc_id").alias("rep")), "set-classes")
 
-    chosen = docs.select("doc_id", "text").join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    blocks = cut(set_blocks(chosen, params), "set-blocks")
+    # Few texts are left to look at: a Bloom filter of their ids, of at most a
+    # few MB whatever the input, spares the others the shuffle to the semi join.
+    reps = classes.filter("n_shingles > 0").select(F.col("rep").alias("doc_id"))
+    chosen = docs.select("doc_id", "text").join(reps, "doc_id", "left_semi")
+    blocks = cut(set_blocks(chosen, params), "set-blocks", BLOOM)
     n_blocks = buckets_for(blocks)
     levels = cut(run_levels(blocks, n_blocks), "run-levels")
     groups = cut(connected_components(candidate_edges(blocks, levels, params, n_blocks)), "join-candidates")
@@ -404,7 +423,8 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams()) -> Da
                     names=["doc_id", "n", "tokens"])
 
     sets = blocks.select("ids", "sizes", "tokens").mapInArrow(unpacked, "doc_id long, n long, tokens binary")
-    joined = join_components(sets, groups, params)
+    # A document repeated under one id stands in the groups more than once.
+    joined = join_components(sets, groups, params).groupBy("doc_id").agg(F.min("comp").alias("comp"))
     named = classes.join(joined, classes["rep"] == joined["doc_id"], "left").select(
         *key, F.coalesce("comp", "rep").alias("component"))
     return facts.join(named, key, "left").select(
