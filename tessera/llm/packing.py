@@ -22,8 +22,10 @@ The pattern table sent to tasks is bounded by the number of bins.
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,7 +40,7 @@ from tessera.llm.common import cut, slices
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 OUT = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 400_000
 
 
 @dataclass(frozen=True)
@@ -51,56 +53,81 @@ class PackParams:
 
 # --- token ids ----------------------------------------------------------------
 
+def _byte_symbols() -> dict[int, int]:
+    """Byte-level vocabularies write each byte as one printable character: the
+    printable Latin-1 ones as themselves, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {**{b: b for b in plain}, **{b: 256 + k for k, b in enumerate(rest)}}
+
+
 class WordIds:
     """Token ids of texts, with the ids of each distinct chunk kept.
 
-    The vocabulary's tokenizer splits a normalised text into words, never
-    across white space, and encodes each word by itself, closing it with an
-    end-of-word token. So the chunks between white space can be looked up, and
-    many new chunks be encoded in one call and told apart by counting those
-    tokens. Texts for which that does not hold (special-token strings, letters
-    whose lower case depends on their place, control characters that only some
-    count as white space) go through the tokenizer whole.
+    The vocabulary's tokenizer folds case and composition, splits a text into
+    words, never across white space, and merges each word by itself. So the
+    chunks between white space can be looked up, and only the words of new
+    chunks go to the merge model. Texts for which the folding depends on more
+    than a chunk (special-token strings, letters whose lower case depends on
+    their place, control characters that only some count as white space) go
+    through the tokenizer whole.
     """
 
     WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     WHOLE = re.compile("<\\||[\u03a3\u0130\x1c-\x1f\x85\u180e]")
+    SYMBOLS = _byte_symbols()
 
     def __init__(self, tokenizer_json: str) -> None:
         self.tok = Tokenizer.from_str(tokenizer_json)
-        vocab = self.tok.get_vocab(with_added_tokens=False)
-        self.closes = np.zeros(max(vocab.values()) + 1, dtype=bool)
-        self.closes[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+        self.model = self.tok.model
         self.kept: dict[str, bytes] = {}
-
-    def _learn(self, chunks: list[str]) -> None:
-        groups = [chunks[a:a + 256] for a in range(0, len(chunks), 256)]
-        for group, enc in zip(groups, self.tok.encode_batch_fast([" ".join(g) for g in groups],
-                                                                 add_special_tokens=False)):
-            ids = np.array(enc.ids, dtype="<u4")
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            words = np.cumsum([len(self.WORDS.findall(c)) for c in group])
-            if len(ends) != words[-1]:  # the tokenizer splits some chunk otherwise: one by one
-                self.kept.update((c, self._ids(c)) for c in group)
-                continue
-            data, at = ids.tobytes(), 0
-            for c, end in zip(group, (np.concatenate([[0], ends])[words] * 4).tolist()):
-                self.kept[c] = data[at:end]
-                at = end
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
+        self.short: dict[str, bytes] = {}  # punctuation and other words of up to three letters
+
+    def _word(self, word: str) -> bytes:
+        if not (word.isascii() and word.isprintable()):  # those are their own symbols
+            word = word.encode().decode("latin-1").translate(self.SYMBOLS)
+        return self._pack([t.id for t in self.model.tokenize(word)])
+
+    @staticmethod
+    def _pack(ids: list[int]) -> bytes:
+        packed = array("I", ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        out = []
+        for word in self.WORDS.findall(chunk):
+            if len(word) > 3:
+                out.append(self._word(word))
+            else:
+                ids = self.short.get(word)
+                if ids is None:
+                    ids = self.short[word] = self._word(word)
+                out.append(ids)
+        return out[0] if len(out) == 1 else b"".join(out)
+
+    def _whole(self, text: str) -> bytes:
+        return self._pack(self.tok.encode(text, add_special_tokens=False).ids)
+
+    def text_ids(self, text: str) -> bytes:
+        """Ids of a text as little-endian 32-bit integers."""
+        if self.WHOLE.search(text):
+            return self._whole(text)
         if len(self.kept) > CACHE_CHUNKS:
             self.kept.clear()
-        chunks = [None if self.WHOLE.search(t) else unicodedata.normalize("NFC", t).lower().split() for t in texts]
-        new = set().union(*(c for c in chunks if c is not None)).difference(self.kept)
-        if new:
-            self._learn(list(new))
-        find = self.kept.__getitem__
-        return [self._ids(t) if c is None else b"".join(map(find, c)) for t, c in zip(texts, chunks)]
+            self.short.clear()
+        chunks = unicodedata.normalize("NFC", text).lower().split()
+        found = list(map(self.kept.get, chunks))
+        if None in found:
+            for i, ids in enumerate(found):
+                if ids is None:
+                    chunk = chunks[i]
+                    ids = self.kept.get(chunk)
+                    if ids is None:
+                        ids = self.kept[chunk] = self._chunk(chunk)
+                    found[i] = ids
+        return b"".join(found)
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_json: str, params: PackParams = PackParams()) -> DataFrame:
@@ -114,9 +141,8 @@ def tokenized_pieces(docs: DataFrame, tokenizer_json: str, params: PackParams =
         encoder = WordIds(shared.value)
         for part in slices(batches, limit=1 << 20):
             rows = []
-            texts = [t or "" for t in part.column(1).to_pylist()]
-            for doc_id, ids in zip(part.column(0).to_pylist(), encoder.batch(texts)):
-                data = memoryview(ids + end)
+            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                data = memoryview(encoder.text_ids(text or "") + end)
                 for a in range(0, len(data), step):
                     piece = data[a:a + step]
                     rows.append((doc_id, a // 4, len(piece) // 4, zlib.crc32(piece), len(data) // 4))
