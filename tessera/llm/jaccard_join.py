@@ -110,7 +110,7 @@ def set_facts(docs: DataFrame, params: JoinParams, n_buckets: int) -> DataFrame:
             many = np.repeat(size_of > 1, size_of)
             here = np.bincount(by_row[many], minlength=k)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(k, first % n_buckets, np.int32)), pa.array(np.full(k, first)), pa.array(rid),
+                [pa.array(np.full(k, (first + (first >> 33)) % n_buckets, np.int32)), pa.array(np.full(k, first)), pa.array(rid),
                  part.column(1), pa.array(counts), pa.array(hash_a), pa.array(hash_b), pa.array(here),
                  pa.nulls(k, pa.binary())], names=["bucket", *SENT])
             send = ~many

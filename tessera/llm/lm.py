@@ -212,7 +212,7 @@ def score_documents(docs: DataFrame, train: Column) -> DataFrame:
             rid = part.column(0).to_numpy()
             first = int(rid[0])  # names the slice
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(k, first % n_buckets, np.int32)), pa.array(np.full(k, first)), pa.array(rid),
+                [pa.array(np.full(k, (first + (first >> 33)) % n_buckets, np.int32)), pa.array(np.full(k, first)), pa.array(rid),
                  part.column(1), pa.array(per + 1), pa.array(known), pa.array(logs), pa.array(spent),
                  pa.nulls(k, pa.binary())], names=["bucket", "first", *SUM_NAMES, "data"])
             h, doc = h[~common], doc[~common]
