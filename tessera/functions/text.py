@@ -15,7 +15,7 @@ pass per line, linear in its length however long a delimiter run is.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Line terminators recognised by Hadoop's line reader (what a text scan uses).
@@ -38,6 +38,25 @@ def java_split(c, regex: str) -> Column:
     return F.when(c == "", F.array(F.lit(""))).otherwise(F.slice(parts, F.lit(1), last))
 
 
+def split_rows(lines: DataFrame, col: str, regex: str, out: str) -> DataFrame:
+    """One row per token of ``java_split``, for the delimiters of the word counts.
+
+    The trailing delimiters go before the split (lines of delimiters only have
+    no token), so a plain ``split`` is exploded: it is evaluated once and the
+    generator stays inside whole-stage codegen. Other delimiters take the
+    general expression.
+    """
+    c = F.col(col)
+    if regex == " ":
+        kept, body = F.rtrim(c) != "", F.rtrim(c)
+    elif regex == r"\W+":
+        # Only tried at the start of a run of non-word characters: linear in the line.
+        kept, body = c.rlike(r"\w"), F.regexp_replace(c, r"(?<!\W)\W++\z", "")
+    else:
+        return lines.select(F.explode(java_split(c, regex)).alias(out))
+    return lines.filter((c == "") | kept).select(F.explode(F.split(body, regex)).alias(out))
+
+
 def text_lines(c) -> Column:
     """Lines of a whole text, as a line-oriented text scan would return them.
 

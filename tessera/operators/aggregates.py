@@ -11,11 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def count_by(df: DataFrame, key: str, count_col: str = "count") -> DataFrame:
-    """``countByValue`` / ``groupBy(key).count()``, kept distributed."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias(count_col))
-
-
 def rating_histogram(ratings: DataFrame, rating_col: str = "rating", count_col: str = "count") -> DataFrame:
     """Number of ratings per rating value, ordered by the value's text form
     (the original program counts the raw string field)."""
@@ -34,11 +29,7 @@ def customer_spend(orders: DataFrame, key: str = "customer", amount: str = "amou
     total = F.sum(F.col(amount).cast("double"))
     if digits is not None:
         total = F.round(total, digits)
-    return df_sorted(orders.groupBy(key).agg(total.alias(out)), out, key)
-
-
-def df_sorted(df: DataFrame, *cols: str) -> DataFrame:
-    return df.orderBy(*cols)
+    return orders.groupBy(key).agg(total.alias(out)).orderBy(out, key)
 
 
 def avg_by_key(df: DataFrame, key: str = "age", value: str = "friends", exact: bool = False,
@@ -68,8 +59,3 @@ def extreme_by_key(readings: DataFrame, key: str = "station", value: str = "valu
         v = v.cast("double") * F.lit(0.1) * F.lit(9.0 / 5.0) + F.lit(32.0)
     fn = {"max": F.max, "min": F.min}[agg]
     return rows.groupBy(key).agg(fn(v).alias(out)).orderBy(key)
-
-
-def keyed_sum(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """``reduceByKey(_ + _)`` on a numeric column (64-bit result)."""
-    return df.groupBy(key).agg(F.sum(F.col(value).cast("long")).alias(out))

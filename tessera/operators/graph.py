@@ -3,31 +3,28 @@
 * degrees: in + out degree (parallel edges count), one hash aggregate;
 * breadth-first distances: a frontier loop on DataFrames. Each round joins
   only the newly reached vertices with the edges, removes already reached
-  vertices with an anti join, and cuts lineage by writing the new frontier to
-  the shared checkpoint folder. Every vertex is expanded exactly once.
+  vertices, and cuts lineage by writing the new frontier to the shared
+  checkpoint folder. Every vertex is expanded exactly once.
 
 With ``symmetric=True`` (every edge also present reversed, as in a
 co-appearance graph) a vertex next to the frontier of round r-1 was either
-unreached or reached in round r-2 or r-1, so the anti join only needs the last
-two frontiers: each round then shuffles frontier-sized data instead of the
+unreached or reached in round r-2 or r-1, so the new vertices are told from the
+last two frontiers: each round then shuffles frontier-sized data instead of the
 whole reached set.
 
-The edges are written once as a table bucketed by ``(src, bucket)``
-(bucket = hash of dst), so each round shuffles only the frontier, and the
-adjacency of a vertex holding a third of all edges is spread over
-``buckets`` tasks instead of one.
+The edges of a vertex with very many of them are dealt over chunks, in
+proportion to its degree, so a vertex that holds a third of all edges is many
+join keys of bounded size; other vertices are one key and are never copied.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tessera.session import materialize, partitions_for, scratch_path
+from tessera.session import delete_path, materialize
 
+LEVEL_SCHEMA = "id long, distance int"
 INFINITY = float("inf")
 
 
@@ -57,115 +54,124 @@ def degrees_top(edges: DataFrame, names: DataFrame, k: int = 10) -> DataFrame:
         "id", "name", "degree")
 
 
-def _prepared_edges(edges: DataFrame, buckets: int) -> tuple[DataFrame, str]:
-    """Edges written once as a table bucketed on ``(src, bucket)`` in the shared
-    folder: every round's join then shuffles only the frontier."""
-    spark = edges.sparkSession
-    parts = partitions_for(edges)
-    path = scratch_path(spark, "edges")
-    name = "tessera_edges_" + uuid.uuid4().hex[:12]
-    e = edges.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"),
-                     F.pmod(F.xxhash64("dst"), F.lit(buckets)).cast("int").alias("bucket"))
-    # Hash-partitioning on the bucket columns first makes each task write one
-    # file per bucket instead of one per (task, bucket).
-    (e.repartition(parts, "src", "bucket").write.bucketBy(parts, "src", "bucket")
-      .option("path", path).mode("overwrite").saveAsTable(name))
-    return spark.table(name), name
-
-
-def _expand(prepared: DataFrame, frontier: DataFrame, buckets: int) -> DataFrame:
+CHUNK_EDGES = 1_000_000  # edges of one vertex that one join key may hold
+
+
+def _prepared_edges(edges: DataFrame, chunk_edges: int) -> tuple[DataFrame, DataFrame]:
+    """``(edges, heavy)``: the edge table ``(src, chunk, dst)`` and, for each
+    vertex with more than ``chunk_edges`` edges, its number of chunks.
+
+    A light vertex has chunk 0 only, so it meets the frontier as it is. The
+    edges of a heavy one are dealt over ``ceil(degree / chunk_edges)`` chunks
+    by a hash of their end, and only its frontier row is copied to them.
+    """
+    plain = edges.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"))
+    heavy = plain.groupBy("src").agg(F.count(F.lit(1)).alias("d")).filter(F.col("d") > F.lit(chunk_edges)).select(
+        "src", F.ceil(F.col("d") / F.lit(chunk_edges)).cast("long").alias("chunks"))
+    heavy = materialize(heavy, "bfs-heavy")
+    chunk = F.pmod(F.xxhash64("dst"), F.coalesce("chunks", F.lit(1).cast("long"))).cast("int")
+    dealt = plain.join(heavy, "src", "left").select("src", chunk.alias("chunk"), "dst")
+    return materialize(dealt, "bfs-edges"), heavy
+
+
+def _expand(prepared: DataFrame, heavy: DataFrame, frontier: DataFrame) -> DataFrame:
     """Edges leaving the frontier, summed per destination: ``(id, mult)``."""
-    fr = frontier.select(F.col("id").alias("src"),
-                         F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"))
-    hop = prepared.join(fr, ["src", "bucket"])
+    fr = frontier.select(F.col("id").alias("src")).join(heavy, "src", "left").select(
+        "src", F.explode(F.sequence(F.lit(0), (F.coalesce("chunks", F.lit(1).cast("long")) - 1).cast("int"))).alias("chunk"))
+    hop = prepared.join(fr, ["src", "chunk"])
     return hop.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("mult"))
 
 
-def _frontier_rounds(spark: SparkSession, edges: DataFrame, root: int, max_rounds: int, buckets: int,
-                     target: int | None = None, symmetric: bool = False):
-    """Generator of (round, frontier_size, edges_out, hits, reached_df).
+class _Search:
+    """A frontier search. ``rounds`` yields ``(round, frontier, edges_out,
+    hits)`` and grows ``levels``, one written table of new vertices per round.
 
-    Per round: one job writes the newly reached vertices (expand, anti join
-    with the reached set) to the shared folder; ``edges_out``/``hits`` are
-    computed only when a target is given.
-    """
-    prepared, table_name = _prepared_edges(edges, buckets)
-    try:
-        yield from _rounds(spark, prepared, root, max_rounds, buckets, target, symmetric)
-    finally:
-        # The results read only the frontier files: the catalog entry can go
-        # (the bucketed files stay in the shared folder with the frontiers).
-        spark.sql(f"DROP TABLE IF EXISTS {table_name}")
-
-
-def _rounds(spark: SparkSession, prepared: DataFrame, root: int, max_rounds: int, buckets: int,
-            target: int | None, symmetric: bool):
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("distance", T.IntegerType())])
-    reached = spark.createDataFrame([(int(root), 0)], schema)
-    frontier = reached.select("id")
-    previous = None
-    frontier_size = 1
-    for rnd in range(1, max_rounds + 1):
-        if frontier_size == 0:
-            yield rnd, 0, 0, 0, reached
-            continue
-        cand = _expand(prepared, frontier, buckets)
-        if not symmetric:
-            known = reached.select("id")
-        else:  # only the last two frontiers can hold reached neighbours
-            known = frontier if previous is None else frontier.unionByName(previous)
-        fresh = None
-        if target is None:
-            out = hits = 0
-            new = materialize(cand.join(known, "id", "left_anti")
-                                  .select("id", F.lit(rnd).cast("int").alias("distance")), "bfs-frontier")
-        else:
-            seen = known.select("id", F.lit(True).alias("seen"))
-            flagged = materialize(cand.join(seen, "id", "left"), "bfs-candidates")
-            stats = flagged.agg(F.coalesce(F.sum("mult"), F.lit(0)).alias("out"),
-                                F.coalesce(F.sum(F.when(F.col("id") == F.lit(target), F.col("mult"))),
-                                           F.lit(0)).alias("hits"),
-                                F.count(F.when(F.col("seen").isNull(), F.lit(1))).alias("fresh")).first()
-            out, hits, fresh = int(stats["out"]), int(stats["hits"]), int(stats["fresh"])
-            new = flagged.filter(F.col("seen").isNull()).select("id", F.lit(rnd).cast("int").alias("distance"))
-        reached = reached.unionByName(new)
-        yield rnd, frontier_size, out, hits, reached
-        previous = frontier
-        frontier = new.select("id")
-        frontier_size = new.count() if fresh is None else fresh
-
-
-def bfs_distances(edges: DataFrame, root: int, max_rounds: int = 10, buckets: int = 8,
-                  symmetric: bool = False) -> DataFrame:
-    """Hop distance from ``root`` along directed edges for every vertex
-    reached within ``max_rounds`` hops: ``(id, distance)``.
-
-    Same result as a Pregel run with min-combined messages capped at
-    ``max_rounds`` supersteps; unreached vertices are absent.
+    Each round is one job: it writes the newly reached vertices, and an
+    observation on the written rows brings back their number and, when a
+    target is given, the edges out of the frontier and those that hit it.
+    ``finish`` writes what was reached as one table and deletes the rest.
     """
-    spark = edges.sparkSession
-    reached = None
-    for _, frontier, _, _, reached in _frontier_rounds(spark, edges, root, max_rounds, buckets,
-                                                       symmetric=symmetric):
+
+    def __init__(self, edges: DataFrame, root: int, max_rounds: int | None = None, target: int | None = None,
+                 symmetric: bool = False, chunk_edges: int = CHUNK_EDGES) -> None:
+        self.spark = edges.sparkSession
+        self.max_rounds, self.target, self.symmetric = max_rounds, target, symmetric
+        self.prepared, self.heavy = _prepared_edges(edges, chunk_edges)
+        self.levels = [self.spark.createDataFrame([(int(root), 0)], LEVEL_SCHEMA)]
+        self.scratch = [self.prepared, self.heavy]
+
+    def _known(self) -> DataFrame:
+        # With symmetric edges only the last two frontiers can hold reached neighbours.
+        levels = self.levels[-2:] if self.symmetric else self.levels
+        known = levels[0].select("id")
+        for level in levels[1:]:
+            known = known.unionByName(level.select("id"))
+        return known
+
+    def rounds(self):
+        size, rnd = 1, 0
+        while self.max_rounds is None or rnd < self.max_rounds:
+            rnd += 1
+            if size == 0:
+                yield rnd, 0, 0, 0
+                if self.max_rounds is None:
+                    return
+                continue
+            cand = _expand(self.prepared, self.heavy, self.levels[-1])
+            seen = self._known().select("id", F.lit(True).alias("seen"))
+            flagged = cand.join(seen, "id", "left")
+            stats = Observation()
+            metrics = [F.count(F.when(F.col("seen").isNull(), F.lit(1))).alias("fresh"),
+                       F.coalesce(F.sum("mult"), F.lit(0)).alias("out"),
+                       F.coalesce(F.sum(F.when(F.col("id") == F.lit(self.target), F.col("mult"))), F.lit(0)).alias("hits")]
+            new = materialize(flagged.observe(stats, *metrics).filter(F.col("seen").isNull())
+                              .select("id", F.lit(rnd).cast("int").alias("distance")), "bfs-frontier")
+            found = stats.get
+            self.levels.append(new)
+            self.scratch.append(new)
+            yield rnd, size, int(found["out"]), int(found["hits"])
+            size = int(found["fresh"])
+
+    def finish(self) -> DataFrame:
+        reached = self.levels[0]
+        for level in self.levels[1:]:
+            reached = reached.unionByName(level)
+        result = materialize(reached, "bfs-reached")
+        self.drop()
+        return result
+
+    def drop(self) -> None:
+        for table in self.scratch:
+            for path in {p.rsplit("/", 1)[0] for p in table.inputFiles()}:
+                delete_path(self.spark, path)
+
+
+def bfs_distances(edges: DataFrame, root: int, max_rounds: int | None = None, symmetric: bool = False,
+                  chunk_edges: int = CHUNK_EDGES) -> DataFrame:
+    """Hop distance from ``root`` along directed edges for every vertex that
+    can be reached: ``(id, distance)``. The search runs until a round reaches
+    nothing new; ``max_rounds`` ends it earlier (a Pregel run capped at so many
+    supersteps)."""
+    search = _Search(edges, root, max_rounds, symmetric=symmetric, chunk_edges=chunk_edges)
+    for _, frontier, _, _ in search.rounds():
         if frontier == 0:
             break
-    return reached
+    return search.finish()
 
 
-def bfs_distance_to(edges: DataFrame, root: int, target: int, max_rounds: int = 10,
-                    buckets: int = 8, symmetric: bool = False) -> DataFrame:
-    """``(id, distance)`` of ``target`` (no row when it is not reached within
-    ``max_rounds``). The search stops at the round that first reaches the
-    target: in a breadth-first search that distance is already final."""
+def bfs_distance_to(edges: DataFrame, root: int, target: int, max_rounds: int | None = None,
+                    symmetric: bool = False, chunk_edges: int = CHUNK_EDGES) -> DataFrame:
+    """``(id, distance)`` of ``target`` (no row when it is not reached). The
+    search stops at the round that first reaches the target: in a
+    breadth-first search that distance is already final."""
     spark = edges.sparkSession
     if root == target:
-        return spark.createDataFrame([(int(target), 0)], "id long, distance int")
-    reached = None
-    for _, frontier, _, hits, reached in _frontier_rounds(spark, edges, root, max_rounds, buckets, target,
-                                                          symmetric):
+        return spark.createDataFrame([(int(target), 0)], LEVEL_SCHEMA)
+    search = _Search(edges, root, max_rounds, target, symmetric, chunk_edges)
+    for _, frontier, _, hits in search.rounds():
         if hits > 0 or frontier == 0:
             break
-    return reached.filter(F.col("id") == F.lit(target))
+    return search.finish().filter(F.col("id") == F.lit(target))
 
 
 def with_unreached(distances: DataFrame, vertices: DataFrame) -> DataFrame:
@@ -177,9 +183,9 @@ def with_unreached(distances: DataFrame, vertices: DataFrame) -> DataFrame:
 
 
 def bfs_early_stop(edges: DataFrame, start: int, target: int, max_rounds: int = 10,
-                   buckets: int = 8, symmetric: bool = False) -> DataFrame:
+                   symmetric: bool = False, chunk_edges: int = CHUNK_EDGES) -> DataFrame:
     """Rounds of a search from ``start`` that stops at the first round whose
-    frontier touches ``target``.
+    frontier touches ``target``, after ``max_rounds`` at the latest.
 
     One row per round run: ``(round, frontier, edges_out, hits)`` where
     frontier = vertices expanded (first reached in the previous round),
@@ -187,12 +193,11 @@ def bfs_early_stop(edges: DataFrame, start: int, target: int, max_rounds: int =
     (multiplicity kept). The scalars are per-round aggregates; no vertex data
     reaches the driver.
     """
-    spark = edges.sparkSession
+    search = _Search(edges, start, max_rounds, target, symmetric, chunk_edges)
     rows = []
-    for rnd, frontier, out, hits, _ in _frontier_rounds(spark, edges, start, max_rounds, buckets, target,
-                                                        symmetric):
-        rows.append((rnd, frontier, out, hits))
-        if hits > 0:
+    for row in search.rounds():
+        rows.append(row)
+        if row[3] > 0:
             break
-    schema = "round int, frontier long, edges_out long, hits long"
-    return spark.createDataFrame(rows, schema)
+    search.drop()
+    return search.spark.createDataFrame(rows, "round int, frontier long, edges_out long, hits long")

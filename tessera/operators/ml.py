@@ -2,10 +2,10 @@
 
 * ``sgd_linear_regression``: least squares by full-batch gradient descent
   with an L2 updater, no intercept (the update rule of the classic MLlib
-  trainer). Each iteration is one distributed ``avg`` over the points; only
-  the scalar weight travels to the driver.
-* ``elastic_net``: exact one-aggregate optimum for one feature, else
-  ``pyspark.ml.regression.LinearRegression``.
+  trainer). For squared loss the gradient is ``A w - b`` with the second
+  moments ``A = avg(x x')`` and ``b = avg(x y)``, so one aggregate over the
+  points serves all iterations; only d * (d + 3) / 2 moments travel.
+* ``elastic_net``: ``pyspark.ml.regression.LinearRegression``.
 * ``als_recommend``: ``pyspark.ml.recommendation.ALS``; one user's items are
   scored by a dot product with the user's factor vector (no cross join).
 """
@@ -14,43 +14,50 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.hashing import weighted_bucket
 from tessera.operators.ranking import lookup_names
 from tessera.session import checkpoint_root
 
 
-def sgd_linear_regression(points: DataFrame, iterations: int = 100, step: float = 1.0, reg: float = 0.01,
-                          tol: float = 0.001, label: str = "label", feature: str = "feature") -> tuple[float, int]:
-    """Fit ``y ~ w * x`` (no intercept). Returns ``(w, iterations_run)``.
+def sgd_weights(points: DataFrame, features: list[str], iterations: int = 100, step: float = 1.0,
+                reg: float = 0.01, tol: float = 0.001, label: str = "label") -> tuple[list[float], int]:
+    """Fit ``y ~ w . x`` (no intercept) for a vector of features. Returns
+    ``(w, iterations_run)``.
 
-    Iteration t: ``w <- w * (1 - eta*reg) - eta * mean((w*x - y) * x)`` with
+    Iteration t: ``w <- w * (1 - eta*reg) - eta * mean((w.x - y) * x)`` with
     ``eta = step / sqrt(t)``; from the second iteration on, stop when
-    ``|w_t - w_(t-1)| < tol * max(|w_t|, 1)``.
+    ``|w_t - w_(t-1)| < tol * max(|w_t|, 1)`` (Euclidean norms).
     """
-    data = points.select(F.col(label).cast("double").alias("y"), F.col(feature).cast("double").alias("x"))
-    data = data.persist(StorageLevel.MEMORY_AND_DISK) if iterations > 1 else data
-    w, run = 0.0, 0
-    try:
-        for t in range(1, int(iterations) + 1):
-            g = data.agg(F.avg((F.lit(w) * F.col("x") - F.col("y")) * F.col("x"))).first()[0] or 0.0
-            eta = step / math.sqrt(t)
-            w_new = w * (1.0 - eta * reg) - eta * g
-            run = t
-            converged = t > 1 and abs(w_new - w) < tol * max(abs(w_new), 1.0)
-            w = w_new
-            if converged:
-                break
-    finally:
-        if iterations > 1:
-            data.unpersist()
+    x = [F.col(f).cast("double") for f in features]
+    y, d = F.col(label).cast("double"), len(features)
+    cells = {(i, j): F.avg(x[i] * x[j]) for i in range(d) for j in range(i, d)}
+    row = points.agg(*[c.alias(f"a{i}_{j}") for (i, j), c in cells.items()],
+                     *[F.avg(x[i] * y).alias(f"b{i}") for i in range(d)]).first()
+    moment = [[row[f"a{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(d)] for i in range(d)]
+    cross = [row[f"b{i}"] or 0.0 for i in range(d)]
+    w, run = [0.0] * d, 0
+    for t in range(1, int(iterations) + 1):
+        eta = step / math.sqrt(t)
+        gradient = [sum(a * v for a, v in zip(moment[i], w)) - cross[i] for i in range(d)]
+        new = [v * (1.0 - eta * reg) - eta * g for v, g in zip(w, gradient)]
+        run = t
+        moved = math.dist(new, w)
+        w = new
+        if t > 1 and moved < tol * max(math.hypot(*w), 1.0):
+            break
     return w, run
 
 
+def sgd_linear_regression(points: DataFrame, iterations: int = 100, step: float = 1.0, reg: float = 0.01,
+                          tol: float = 0.001, label: str = "label", feature: str = "feature") -> tuple[float, int]:
+    """``sgd_weights`` for one feature: ``(w, iterations_run)``."""
+    w, run = sgd_weights(points, [feature], iterations, step, reg, tol, label)
+    return w[0], run
+
+
 def predict_linear(points: DataFrame, w: float, label: str = "label", feature: str = "feature",
                    intercept: float = 0.0) -> DataFrame:
     """``(prediction, label, squared_error)`` for each point."""
@@ -64,58 +71,13 @@ def rmse(predictions: DataFrame) -> DataFrame:
     return predictions.agg(F.sqrt(F.avg("squared_error")).alias("rmse"), F.count(F.lit(1)).alias("n"))
 
 
-def hash_split(df: DataFrame, key_cols, weights=(0.5, 0.5), seed: int = 0, out: str = "split") -> DataFrame:
-    """Add the split index of each row: deterministic, partition-independent,
-    reproducible in SQL (see ``tessera.functions.hashing``)."""
-    return df.withColumn(out, weighted_bucket(key_cols, weights, seed))
-
-
-def elastic_net_1d(train: DataFrame, reg: float = 0.3, mixing: float = 0.8, label: str = "label",
-                   feature: str = "feature") -> tuple[float, float]:
-    """Exact ``(coefficient, intercept)`` of the elastic-net least squares that
-    ``pyspark.ml.regression.LinearRegression`` minimises (intercept fitted,
-    feature and label standardised by their population std, loss 1/(2n)), for
-    one feature. In standardised units the optimum is a soft threshold of the
-    correlation, ``w = S(corr, a*reg/sy) / (1 + (1-a)*reg/sy)``; one aggregate
-    over the training rows gives every moment, no iterations are needed.
-    """
-    m = train.agg(F.count(F.lit(1)).alias("n"), F.avg(feature).alias("mx"), F.avg(label).alias("my"),
-                  F.stddev_pop(feature).alias("sx"), F.stddev_pop(label).alias("sy"),
-                  F.covar_pop(feature, label).alias("cxy")).first()
-    n = int(m["n"] or 0)
-    if n == 0:
-        raise ValueError("no training rows")
-    mx, my = float(m["mx"]), float(m["my"])
-    sx, sy, cxy = (float(m[c]) if m[c] is not None else 0.0 for c in ("sx", "sy", "cxy"))
-    if sx == 0.0 or sy == 0.0 or math.isnan(sx) or math.isnan(sy):
-        w = 0.0  # constant feature or label: the library keeps the coefficient at 0
-    else:
-        corr = cxy / (sx * sy)
-        l1, l2 = mixing * reg / sy, (1.0 - mixing) * reg / sy
-        ws = math.copysign(max(abs(corr) - l1, 0.0), corr) / (1.0 + l2)
-        w = ws * sy / sx
-    return w, my - w * mx
-
-
 def elastic_net(train: DataFrame, test: DataFrame, reg: float = 0.3, mixing: float = 0.8, max_iter: int = 100,
                 tol: float = 1e-6, label: str = "label", features=("feature",)):
-    """Fit on ``train``, return ``(model, test predictions (prediction, label))``.
-
-    One feature: the exact optimum from one aggregate (``elastic_net_1d``);
-    ``model`` is ``(coefficient, intercept)``. Several features:
-    ``pyspark.ml.regression.LinearRegression`` (OWL-QN iterations).
-    """
-    features = list(features)
-    if len(features) == 1:
-        w, b = elastic_net_1d(train, reg, mixing, label, features[0])
-        pred = test.select((F.lit(w) * F.col(features[0]) + F.lit(b)).alias("prediction"),
-                           F.col(label).alias("label"))
-        return (w, b), pred
-
+    """Fit on ``train``, return ``(model, test predictions (prediction, label))``."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
 
-    assembler = VectorAssembler(inputCols=features, outputCol="features")
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     lr = LinearRegression(featuresCol="features", labelCol=label, regParam=reg, elasticNetParam=mixing,
                           maxIter=max_iter, tol=tol)
     model = lr.fit(assembler.transform(train))
@@ -135,15 +97,14 @@ def dense_ids(df: DataFrame, col: str, out: str) -> DataFrame:
     return ids.select(col, (F.col("_rn") - 1).cast("int").alias(out))
 
 
-def als_recommend(ratings: DataFrame, titles: DataFrame, user_id: int, k: int = 10, rank: int = 8,
-                  max_iter: int = 20, reg: float = 0.01, seed: int = 42, user: str = "user",
-                  item: str = "item", rating: str = "rating", blocks: int | None = None) -> DataFrame:
-    """Top-k items for one user from an ALS factorisation: ``(user, item, title, score)``.
+def fit_als(ratings: DataFrame, rank: int = 8, max_iter: int = 20, reg: float = 0.01, seed: int = 42,
+            user: str = "user", item: str = "item", rating: str = "rating", blocks: int | None = None):
+    """``(model, data, users, items)``: an ALS model, the ratings it was fitted
+    on, and the index tables when ids were re-indexed (else None).
 
-    Already rated items are not removed (as in the original). ALS factor
-    blocks are checkpointed to the shared folder every 10 iterations. ALS
-    takes 32-bit ids: when the keys do not fit, users and items are re-indexed
-    densely first (joins with the index tables; item ids are mapped back).
+    Factor blocks are checkpointed to the shared folder every 10 iterations.
+    ALS takes 32-bit ids: when the keys do not fit, users and items are
+    re-indexed densely first (joins with the index tables).
     """
     from pyspark.ml.recommendation import ALS
 
@@ -157,33 +118,53 @@ def als_recommend(ratings: DataFrame, titles: DataFrame, user_id: int, k: int =
     else:
         rng = base.agg(F.min("user").alias("u0"), F.max("user").alias("u1"),
                        F.min("item").alias("i0"), F.max("item").alias("i1")).first()
-        bounds = [v for v in rng if v is not None]
-        fits = all(INT32[0] <= v <= INT32[1] for v in bounds)
-    target = int(user_id)
-    items = None
+        fits = all(INT32[0] <= v <= INT32[1] for v in rng if v is not None)
+    users = items = None
     if fits:
         data = base.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"), "rating")
     else:
-        users = dense_ids(base, "user", "uid")
-        items = dense_ids(base, "item", "iid")
+        users, items = dense_ids(base, "user", "uid"), dense_ids(base, "item", "iid")
         data = base.join(users, "user").join(items, "item").select(
             F.col("uid").alias("user"), F.col("iid").alias("item"), "rating")
-        hit = users.filter(F.col("user") == F.lit(target)).select("uid").first()
-        target = int(hit["uid"]) if hit is not None else INT32[1]
     # One factor block per core: fewer, larger blocks cut the per-iteration
     # shuffle overhead; on a cluster this grows with the executors.
     blocks = blocks or max(1, ratings.sparkSession.sparkContext.defaultParallelism)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol="user", itemCol="item", ratingCol="rating",
               seed=seed, coldStartStrategy="drop", checkpointInterval=10, numUserBlocks=blocks,
               numItemBlocks=blocks)
-    model = als.fit(data)
-    item_factors = model.itemFactors
+    return als.fit(data), data, users, items
+
+
+def als_recommend(ratings: DataFrame, titles: DataFrame, user_id: int, k: int = 10, **fit) -> DataFrame:
+    """Top-k items for one user from an ALS factorisation: ``(user, item, title,
+    score)``. Already rated items are not removed (as in the original). ``fit``
+    as in ``fit_als``."""
+    model, _, users, items = fit_als(ratings, **fit)
+    return _recommend(model, users, items, titles, user_id, k)
+
+
+def _recommend(model, users, items, titles: DataFrame, user_id: int, k: int) -> DataFrame:
+    target, item_factors = int(user_id), model.itemFactors
     if items is not None:
+        hit = users.filter(F.col("user") == F.lit(target)).select("uid").first()
+        target = int(hit["uid"]) if hit is not None else INT32[1]
         item_factors = item_factors.join(items.select(F.col("iid").alias("id"), F.col("item").alias("_orig")), "id") \
                                    .select(F.col("_orig").alias("id"), "features")
     return recommend_for_user(model.userFactors, item_factors, titles, int(user_id), k, factor_id=target)
 
 
+def als_properties(ratings: DataFrame, titles: DataFrame, user_id: int, k: int = 10, **fit) -> DataFrame:
+    """One row of what must hold for any good factorisation: distinct items
+    recommended, how many have a title, and whether the training error is below
+    that of predicting the mean rating."""
+    model, data, users, items = fit_als(ratings, **fit)
+    top = _recommend(model, users, items, titles, user_id, k).agg(
+        F.count_distinct("item").alias("items"), F.count("title").alias("titled"))
+    error = model.transform(data).agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("rating"), 2))).alias("e"))
+    spread = data.agg(F.stddev_pop("rating").alias("s"))
+    return top.join(error).join(spread).select("items", "titled", (F.col("e") < F.col("s")).alias("better_than_mean"))
+
+
 def recommend_for_user(user_factors: DataFrame, item_factors: DataFrame, titles: DataFrame, user_id: int,
                        k: int = 10, factor_id: int | None = None) -> DataFrame:
     """Top-k items of one user by predicted rating: ``(user, item, title, score)``.

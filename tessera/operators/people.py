@@ -3,10 +3,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PEOPLE_VIEW = "people"
 AGE_RANGE_SQL = "SELECT * FROM {view} WHERE age >= {lo} AND age <= {hi}"
 
 
@@ -27,9 +28,12 @@ def count_by_age(people: DataFrame) -> DataFrame:
     return people.groupBy("age").count()
 
 
-def sql_age_range(spark: SparkSession, people: DataFrame, lo: int = 13, hi: int = 19,
-                  view: str = PEOPLE_VIEW) -> DataFrame:
-    """Register a temp view and run SQL text on it; the range predicate is
-    pushed into the scan below the view."""
+def sql_age_range(spark: SparkSession, people: DataFrame, lo: int = 13, hi: int = 19) -> DataFrame:
+    """SQL text over a temp view. The view has a name of its own and goes as
+    soon as the text is analysed, so no view of the caller is replaced."""
+    view = f"people_{uuid.uuid4().hex[:12]}"
     people.createOrReplaceTempView(view)
-    return spark.sql(AGE_RANGE_SQL.format(view=view, lo=int(lo), hi=int(hi)))
+    try:
+        return spark.sql(AGE_RANGE_SQL.format(view=view, lo=int(lo), hi=int(hi)))
+    finally:
+        spark.catalog.dropTempView(view)

@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import java_split
+from tessera.functions.text import split_rows
 
 # The seven helper words removed by the sorted word count.
 STOP_WORDS = ["the", "you", "a", "on", "in", "to", "of"]
@@ -26,7 +26,7 @@ def tokens(lines: DataFrame, regex: str = " ", col: str = "value", lower: bool =
     before lowercasing (so "The" survives and is then counted as "the"), which
     is what the original sorted word count does.
     """
-    words = lines.select(F.explode(java_split(F.col(col), regex)).alias("word"))
+    words = split_rows(lines, col, regex, "word")
     if stop_words is not None and case_sensitive_stop:
         words = words.filter(~F.col("word").isin(list(stop_words)))
     if lower:

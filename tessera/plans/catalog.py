@@ -27,11 +27,12 @@ PARAMS = {
     "rating_user": 10,          # original: user 10
     "bfs_root": 0,              # original: vertex 5306
     "bfs_target": 14,           # original: vertex 14
-    "bfs_rounds": 10,           # original: 10 supersteps / iterations
+    "stop_rounds": 10,          # original: 10 iterations of the search that stops early
     "station_entry_type": "error",  # original: PRCP
     "split_seed": 0,
     "kfolds": 5,
-    "leave_start": 1, "leave_stop": 10, "leave_max_test": 100000,  # original ua split
+    "leave_start": 1, "leave_stop": 10, "leave_max_test": 5000,  # original: 100000 rows of the ua split
+    "strong_score": 0.9, "strong_pairs": 5,
     "window": "5 minutes", "slide": "1 second", "top_k": 10,
 }
 SPLIT_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -116,6 +117,17 @@ def q_top10_item_names(spark: SparkSession, sf: str) -> DataFrame:
     return ranking.top_item_names(B.rating_lines(spark, sf), B.titles(spark, sf), 10)
 
 
+def q_top10_items_strict(spark: SparkSession, sf: str) -> DataFrame:
+    counts = ranking.item_popularity(B.rating_lines(spark, sf))
+    top = ranking.top_k(counts, 10, F.col("count").desc(), F.col("item").asc())
+    return ranking.lookup_names(top, B.titles(spark, sf), "item", "id", "title", "strict").select(
+        "item", "count", "title")
+
+
+def q_connection_totals(spark: SparkSession, sf: str) -> DataFrame:
+    return ranking.connection_totals(B.order_line_counts(spark, sf))
+
+
 def q_top_connected(spark: SparkSession, sf: str) -> DataFrame:
     totals = graph.out_connections(B.graph_edges(spark, sf))
     return ranking.most_connected(totals, B.vertex_names(spark, sf))
@@ -133,6 +145,12 @@ def q_item_similarity(spark: SparkSession, sf: str) -> DataFrame:
     return sims.select("item1", "item2", _rd("score").alias("score"), "n")
 
 
+def q_item_similarity_strong(spark: SparkSession, sf: str) -> DataFrame:
+    sims = similarity.item_similarity(B.rating_lines(spark, sf), min_score=PARAMS["strong_score"],
+                                      min_pairs=PARAMS["strong_pairs"])
+    return sims.select("item1", "item2", _rd("score").alias("score"), "n")
+
+
 def q_similar_to_item(spark: SparkSession, sf: str) -> DataFrame:
     return similarity.similar_to_item(B.rating_lines(spark, sf), B.titles(spark, sf), PARAMS["similar_item"],
                                       PARAMS["min_score"], PARAMS["min_pairs"], 10, digits=DIGITS)
@@ -145,6 +163,21 @@ def q_regression_sgd(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(round(w, DIGITS), run)], "weight double, iterations int")
 
 
+def q_regression_sgd_100(spark: SparkSession, sf: str) -> DataFrame:
+    w, run = ml.sgd_linear_regression(B.regression_points(spark, sf), iterations=100, step=0.3, reg=0.1, tol=1e-7)
+    return spark.createDataFrame([(round(w, DIGITS), run)], "weight double, iterations int")
+
+
+def q_regression_ridge_two(spark: SparkSession, sf: str) -> DataFrame:
+    points = B.regression_points(spark, sf, "l_discount")
+    model, pred = ml.elastic_net(points, points, reg=0.3, mixing=0.0, features=("feature", "l_discount"))
+    w = model.coefficients
+    return pred.agg(F.count(F.lit(1)).alias("n"), F.round(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("label"), 2))),
+                                                          DIGITS).alias("rmse")).select(
+        F.round(F.lit(float(w[0])), DIGITS).alias("w_quantity"), F.round(F.lit(float(w[1])), DIGITS).alias("w_discount"),
+        F.round(F.lit(float(model.intercept)), DIGITS).alias("intercept"), "n", "rmse")
+
+
 def q_regression_rmse(spark: SparkSession, sf: str) -> DataFrame:
     pts = B.regression_points(spark, sf)
     w, _ = ml.sgd_linear_regression(pts, iterations=1, step=1.0, reg=0.1)
@@ -152,22 +185,12 @@ def q_regression_rmse(spark: SparkSession, sf: str) -> DataFrame:
     return r.select(_rd("rmse").alias("rmse"), "n")
 
 
-def _split_points(spark: SparkSession, sf: str):
-    li = B.table(spark, sf, "lineitem").select(*SPLIT_KEYS, "l_quantity", "l_extendedprice")
-    m = li.agg(F.avg("l_quantity").alias("mx"), F.stddev_pop("l_quantity").alias("sx"),
-               F.avg("l_extendedprice").alias("my"), F.stddev_pop("l_extendedprice").alias("sy")).first()
-    pts = li.select(
-        *SPLIT_KEYS,
-        ((F.col("l_extendedprice") - F.lit(m["my"])) / F.lit(m["sy"])).alias("label"),
-        ((F.col("l_quantity") - F.lit(m["mx"])) / F.lit(m["sx"])).alias("feature"))
-    tagged = splits.random_split(pts, SPLIT_KEYS, (0.5, 0.5), PARAMS["split_seed"])
-    return tagged.filter(F.col("split") == 0), tagged.filter(F.col("split") == 1)
-
-
 def q_regression_elastic_net(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = _split_points(spark, sf)
-    _, pred = ml.elastic_net(train, test, reg=0.3, mixing=0.8, max_iter=100, tol=1e-6)
-    return pred.select(_rd("prediction").alias("prediction"), _rd("label").alias("label"))
+    tagged = splits.random_split(B.regression_points(spark, sf, *SPLIT_KEYS), SPLIT_KEYS, (0.5, 0.5),
+                                 PARAMS["split_seed"])
+    _, pred = ml.elastic_net(tagged.filter(F.col("split") == 0), tagged.filter(F.col("split") == 1),
+                             reg=0.3, mixing=0.8, max_iter=200, tol=1e-12)
+    return pred.select(_rd("prediction", 4).alias("prediction"), _rd("label").alias("label"))
 
 
 def q_als_recommend(spark: SparkSession, sf: str) -> DataFrame:
@@ -176,6 +199,18 @@ def q_als_recommend(spark: SparkSession, sf: str) -> DataFrame:
                             k=10, rank=8, max_iter=20)
 
 
+def q_als_properties(spark: SparkSession, sf: str) -> DataFrame:
+    ratings = similarity.user_item_ratings(B.rating_lines(spark, sf))
+    return ml.als_properties(ratings.withColumnRenamed("r", "rating"), B.titles(spark, sf), PARAMS["rating_user"],
+                             k=10, rank=8, max_iter=20)
+
+
+def q_recommend_from_factors(spark: SparkSession, sf: str) -> DataFrame:
+    factors = B.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
+    top = ml.recommend_for_user(factors, factors, B.titles(spark, sf), PARAMS["rating_user"], 10)
+    return top.select("user", "item", "title", _rd(F.col("score").cast("double"), 4).alias("score"))
+
+
 def q_user_ratings_named(spark: SparkSession, sf: str) -> DataFrame:
     return ml.user_ratings_named(B.rating_lines(spark, sf), B.titles(spark, sf), PARAMS["rating_user"])
 
@@ -186,26 +221,39 @@ def q_graph_degrees_top10(spark: SparkSession, sf: str) -> DataFrame:
     return graph.degrees_top(B.graph_edges(spark, sf), B.vertex_names(spark, sf), 10)
 
 
+def q_graph_build(spark: SparkSession, sf: str) -> DataFrame:
+    named = B.vertex_names(spark, sf).filter(F.col("id") % 5 != 0)  # the others are known by their edges only
+    return graph.graph_vertices(B.graph_edges(spark, sf), named)
+
+
 def q_bfs_distances(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.bfs_distances(B.graph_edges(spark, sf), PARAMS["bfs_root"], PARAMS["bfs_rounds"], symmetric=True)
+    return graph.bfs_distances(B.graph_edges(spark, sf), PARAMS["bfs_root"], symmetric=True)
 
 
 def q_bfs_vertex_probe(spark: SparkSession, sf: str) -> DataFrame:
-    hit = graph.bfs_distance_to(B.graph_edges(spark, sf), PARAMS["bfs_root"], PARAMS["bfs_target"],
-                                PARAMS["bfs_rounds"], symmetric=True)
+    hit = graph.bfs_distance_to(B.graph_edges(spark, sf), PARAMS["bfs_root"], PARAMS["bfs_target"], symmetric=True)
     return ranking.lookup_names(hit, B.vertex_names(spark, sf), "id", "id", "name", "left").select(
         "id", "name", "distance")
 
 
 def q_bfs_named_first100(spark: SparkSession, sf: str) -> DataFrame:
-    d = graph.bfs_distances(B.graph_edges(spark, sf), PARAMS["bfs_root"], PARAMS["bfs_rounds"], symmetric=True)
-    named = d.join(B.vertex_names(spark, sf), "id")
-    return named.orderBy("id", "name").limit(100).select("id", "name", "distance")
+    """Every vertex has a distance, unreached ones +infinity."""
+    vertices = graph.graph_vertices(B.graph_edges(spark, sf), B.vertex_names(spark, sf))
+    d = graph.bfs_distances(B.graph_edges(spark, sf), PARAMS["bfs_root"], symmetric=True)
+    first = ranking.top_k(graph.with_unreached(d, vertices), 100, F.col("id").asc())
+    return ranking.lookup_names(first, vertices, "id", "id", "name", "left").select("id", "name", "distance")
+
+
+def q_bfs_unreached(spark: SparkSession, sf: str) -> DataFrame:
+    """All vertices of the directed graph customer -> part: parts have no way on."""
+    directed = B.graph_edges(spark, sf).filter(F.col("src") % 2 == 0)
+    vertices = graph.graph_vertices(directed, B.vertex_names(spark, sf))
+    return graph.with_unreached(graph.bfs_distances(directed, 2 * PARAMS["rating_user"]), vertices)
 
 
 def q_bfs_early_stop(spark: SparkSession, sf: str) -> DataFrame:
     return graph.bfs_early_stop(B.graph_edges(spark, sf), PARAMS["bfs_root"], PARAMS["bfs_target"],
-                                PARAMS["bfs_rounds"], symmetric=True)
+                                PARAMS["stop_rounds"], symmetric=True)
 
 
 # --- splits -----------------------------------------------------------------------------
@@ -219,6 +267,13 @@ def q_kfold_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_leave_n_out_split(spark: SparkSession, sf: str) -> DataFrame:
+    rows = B.rating_lines(spark, sf, keep_order_cols=True)
+    out = splits.leave_n_out_split(rows, "user", B.LINE_ORDER, PARAMS["leave_start"], PARAMS["leave_stop"])
+    return out.select(*_SPLIT_OUT, "role")
+
+
+def q_leave_n_out_capped(spark: SparkSession, sf: str) -> DataFrame:
+    """The cap on the size of the test set is the feature here."""
     rows = B.rating_lines(spark, sf, keep_order_cols=True)
     out = splits.leave_n_out_split(rows, "user", B.LINE_ORDER, PARAMS["leave_start"], PARAMS["leave_stop"],
                                    PARAMS["leave_max_test"])
@@ -235,23 +290,32 @@ def q_random_split(spark: SparkSession, sf: str) -> DataFrame:
 def q_stream_top_lengths(spark: SparkSession, sf: str) -> DataFrame:
     stream = B.conversation_texts(spark, sf, stream=True)
     out = S.run_top_lengths_stream(spark, stream, k=PARAMS["top_k"])
-    return spark.read.parquet(out).select(F.col("batch").cast("long").alias("batch"), "rank", "length")
+    return spark.read.parquet(out).select("rank", "length")
+
+
+def _windows(top: DataFrame) -> DataFrame:
+    return top.select(F.unix_seconds("window_start").alias("window_start"), "hashtag", "count", "rank")
 
 
 def q_stream_hashtags_5m(spark: SparkSession, sf: str) -> DataFrame:
+    out = S.run_hashtag_stream(spark, B.hashtag_events(spark, sf, stream=True), window=PARAMS["window"],
+                               slide=PARAMS["slide"], k=PARAMS["top_k"], output_mode="complete")
+    return _windows(S.latest(spark, out))
+
+
+def q_hashtags_5m_batch(spark: SparkSession, sf: str) -> DataFrame:
     statuses = B.hashtag_events(spark, sf)
-    top = S.hashtag_top_windows(statuses, PARAMS["window"], PARAMS["slide"], PARAMS["top_k"])
-    return top.select(F.unix_seconds("window_start").alias("window_start"), "hashtag", "count", "rank")
+    return _windows(S.hashtag_top_windows(statuses, PARAMS["window"], PARAMS["slide"], PARAMS["top_k"]))
 
 
 def q_stream_popular_word(spark: SparkSession, sf: str) -> DataFrame:
     out = S.run_popular_words(spark, B.conversation_texts(spark, sf, stream=True), k=PARAMS["top_k"])
-    return spark.read.parquet(out).select("word", "count")
+    return S.latest(spark, out).select("word", "count")
 
 
 def q_stream_avg_length(spark: SparkSession, sf: str) -> DataFrame:
     out = S.run_avg_length(spark, B.conversation_texts(spark, sf, stream=True))
-    return spark.read.parquet(out).select(_rd("avg_length").alias("avg_length"), "n")
+    return S.latest(spark, out).select(_rd("avg_length").alias("avg_length"), "n")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -271,25 +335,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "item_popularity": q_item_popularity,
     "top10_items": q_top10_items,
     "top10_item_names": q_top10_item_names,
+    "top10_items_strict": q_top10_items_strict,
+    "connection_totals": q_connection_totals,
     "top_connected": q_top_connected,
     "top10_connected": q_top10_connected,
     "item_similarity": q_item_similarity,
+    "item_similarity_strong": q_item_similarity_strong,
     "similar_to_item": q_similar_to_item,
     "regression_sgd": q_regression_sgd,
+    "regression_sgd_100": q_regression_sgd_100,
+    "regression_ridge_two": q_regression_ridge_two,
     "regression_rmse": q_regression_rmse,
     "regression_elastic_net": q_regression_elastic_net,
     "als_recommend": q_als_recommend,
+    "als_properties": q_als_properties,
+    "recommend_from_factors": q_recommend_from_factors,
     "user_ratings_named": q_user_ratings_named,
     "graph_degrees_top10": q_graph_degrees_top10,
+    "graph_build": q_graph_build,
+    "bfs_unreached": q_bfs_unreached,
     "bfs_distances": q_bfs_distances,
     "bfs_vertex_probe": q_bfs_vertex_probe,
     "bfs_named_first100": q_bfs_named_first100,
     "bfs_early_stop": q_bfs_early_stop,
     "kfold_split": q_kfold_split,
     "leave_n_out_split": q_leave_n_out_split,
+    "leave_n_out_capped": q_leave_n_out_capped,
     "random_split": q_random_split,
     "stream_top_lengths": q_stream_top_lengths,
     "stream_hashtags_5m": q_stream_hashtags_5m,
+    "hashtags_5m_batch": q_hashtags_5m_batch,
     "stream_popular_word": q_stream_popular_word,
     "stream_avg_length": q_stream_avg_length,
 }

@@ -92,14 +92,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (file sizes for scans), or None."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # estimate unavailable (e.g. Spark Connect)
-        return None
-
-
 def partitions_for(df: DataFrame, target_bytes: int = 256 << 20) -> int:
     """Partition count for an explicit repartition of ``df``: about
     ``target_bytes`` per partition from Catalyst's size estimate, never fewer
@@ -126,7 +118,7 @@ def input_bytes(df: DataFrame) -> int | None:
                 return None
             total += size
         return total
-    except Exception:  # not available (e.g. Spark Connect)
+    except AttributeError:  # Spark Connect: no JVM plan to ask
         return None
 
 
@@ -136,19 +128,22 @@ def proven_max_rows(df: DataFrame) -> int | None:
     try:
         bound = df._jdf.queryExecution().optimizedPlan().maxRows()
         return int(bound.get()) if bound.isDefined() else None
-    except Exception:  # not available (e.g. Spark Connect)
+    except AttributeError:  # Spark Connect: no JVM plan to ask
         return None
 
 
-def spread_small_input(df: DataFrame, max_bytes: int = 1 << 30) -> DataFrame:
-    """Spread a small input over all cores before CPU-heavy row work.
+def _filesystem(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
-    A small file may hold a single row group, which one task reads and then
-    tokenises alone. Below ``max_bytes`` a round-robin repartition is cheap
-    and lets every core work; large inputs are already split across many
-    tasks by the scan and are left untouched (no extra shuffle at scale).
-    """
-    size = input_bytes(df)
-    if size is None or size > max_bytes:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+def is_directory(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder, asked of the file system it lies in."""
+    fs, target = _filesystem(spark, path)
+    return fs.exists(target) and fs.getFileStatus(target).isDirectory()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch file or folder (nothing happens if it is not there)."""
+    fs, target = _filesystem(spark, path)
+    fs.delete(target, True)

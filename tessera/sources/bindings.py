@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import text_lines
-from tessera.session import spread_small_input
+from tessera.session import is_directory
 
 # Lineitem order used wherever "file order" matters (splits). The key pair is
 # not unique, so every remaining column breaks ties.
@@ -69,7 +69,7 @@ def station_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def book_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document, whole texts: ``value STRING``."""
-    d = spread_small_input(table(spark, sf_dir, "documents").select("text"))
+    d = table(spark, sf_dir, "documents").select("text")
     return d.select(F.explode(text_lines(F.col("text"))).alias("value"))
 
 
@@ -77,9 +77,9 @@ def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer-part co-appearance graph, both directions, parallel edges kept.
 
     Vertex ids: customers 2*custkey, parts 2*partkey+1. One edge pair per
-    order's first line.
+    order line.
     """
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") == 1).select("l_orderkey", "l_partkey")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     pairs = li.join(orders, li.l_orderkey == orders.o_orderkey).select(
         (F.col("o_custkey") * 2).alias("c"), (F.col("l_partkey") * 2 + 1).alias("p"))
@@ -95,26 +95,42 @@ def vertex_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.unionByName(p)
 
 
-def regression_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(label, feature)``: standardised extended price against standardised quantity.
+def order_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, connections)``, one row per order: its customer's vertex and the
+    number of parts on the order (the per-line counts of an adjacency file)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lines = li.join(orders, li.l_orderkey == orders.o_orderkey)
+    return lines.groupBy((F.col("o_custkey") * 2).alias("id"), "o_orderkey").agg(
+        F.count(F.lit(1)).alias("connections")).select("id", "connections")
+
+
+def regression_points(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """``(label, feature)`` and the columns ``keep``: standardised extended price
+    against standardised quantity.
 
-    The two population moments come back as one aggregate row (a scalar, not
+    The population moments come back as one aggregate row (a scalar, not
     data), then every row is scaled JVM-side.
     """
-    li = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
+    li = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", *keep)
     m = li.agg(F.avg("l_quantity").alias("mx"), F.stddev_pop("l_quantity").alias("sx"),
                F.avg("l_extendedprice").alias("my"), F.stddev_pop("l_extendedprice").alias("sy")).first()
     return li.select(
+        *keep,
         ((F.col("l_extendedprice") - F.lit(m["my"])) / F.lit(m["sy"])).alias("label"),
         ((F.col("l_quantity") - F.lit(m["mx"])) / F.lit(m["sx"])).alias("feature"),
     )
 
 
 def _table_stream(spark: SparkSession, sf_dir: str, name: str, schema) -> DataFrame:
-    """A file stream over one table of the folder (new files matching the
-    table's name are picked up as they arrive)."""
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-                 .parquet(sf_dir.rstrip("/")))
+    """A file stream over one table of the folder: the part files of a table
+    that is a folder, or the single file of that name. New files are picked up
+    as they arrive."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    reader = spark.readStream.schema(schema)
+    if is_directory(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir.rstrip("/"))
 
 
 def hashtag_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:

@@ -9,15 +9,16 @@
   window is final (append mode emits each window exactly once).
 
 The counting is two-staged: hashtags are first counted per 1-second bucket,
-then the windows covering each bucket are counted. The streaming form chains
-two event-time aggregations; the batch form (``hashtag_window_counts``) turns
-the buckets into entry/exit deltas and running sums, so no status or bucket
-is copied into its ``window/slide`` windows. Both give the same counts.
+then the windows covering each bucket are counted. In append mode the stream
+chains two event-time aggregations. In complete mode the buckets are the state
+and each micro-batch turns them into windows as the batch form does: entry and
+exit deltas and running sums, so no status or bucket is copied into its
+``window/slide`` windows. All forms give the same counts.
 
 Sinks write parquet to a folder under the shared checkpoint folder; the
 streaming checkpoint (offsets, state) lives there too, so a restarted query
-resumes where it stopped. Append-mode outputs go to one folder per epoch,
-overwritten on replay, so a batch re-run after a failure is not duplicated.
+resumes where it stopped. Outputs go to one folder per epoch, overwritten on
+replay, so a batch re-run after a failure is not duplicated.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import hashtags
 from tessera.sources.sinks import write_epoch
-from tessera.session import scratch_path, shuffle_partitions
+from tessera.session import is_directory, scratch_path, shuffle_partitions
 
 
 def _seconds(duration: str) -> int:
@@ -40,10 +41,23 @@ def tags_of(statuses: DataFrame, ts: str = "ts", text: str = "text") -> DataFram
     return statuses.select(F.col(ts).alias("ts"), F.explode(hashtags(F.col(text))).alias("hashtag"))
 
 
+def bucket_counts(statuses: DataFrame, slide: str = "1 second", ts: str = "ts", text: str = "text") -> DataFrame:
+    """``(b, hashtag, c)``: occurrences per slide-long bucket ``b``. Works on
+    batch and streaming statuses."""
+    return (tags_of(statuses, ts, text).groupBy(F.window("ts", slide).alias("b"), "hashtag")
+            .agg(F.count(F.lit(1)).alias("c")))
+
+
 def hashtag_window_counts(statuses: DataFrame, window: str = "5 minutes", slide: str = "1 second",
                           ts: str = "ts", text: str = "text", chunk_windows: int = 12) -> DataFrame:
     """Batch form: ``(window_start, window_end, hashtag, count)`` for every
-    sliding window containing at least one occurrence.
+    sliding window containing at least one occurrence."""
+    return window_counts(bucket_counts(statuses, slide, ts, text), window, slide, chunk_windows)
+
+
+def window_counts(per_bucket: DataFrame, window: str = "5 minutes", slide: str = "1 second",
+                  chunk_windows: int = 12) -> DataFrame:
+    """Sliding-window counts from ``bucket_counts``.
 
     Positions are counted in slides. A bucket ``b`` with ``c`` occurrences lies
     in the windows starting at ``b - copies + 1 .. b``, so it adds ``+c`` at
@@ -61,9 +75,6 @@ def hashtag_window_counts(statuses: DataFrame, window: str = "5 minutes", slide:
         raise ValueError("window must be a multiple of the slide")
     copies = w // s
     span = copies * max(1, int(chunk_windows))  # chunk length in slides, >= copies
-    per_bucket = (tags_of(statuses, ts, text)
-                  .groupBy(F.window("ts", slide).alias("b"), "hashtag")
-                  .agg(F.count(F.lit(1)).alias("c")))
     bi = F.floor(F.unix_seconds(F.col("b.start")) / F.lit(s))
     first = F.col("bi") - F.lit(copies - 1)
     routed = per_bucket.select("hashtag", "c", bi.alias("bi")).select(
@@ -76,7 +87,7 @@ def hashtag_window_counts(statuses: DataFrame, window: str = "5 minutes", slide:
     ).select("hashtag", "chunk", "e.pos", "e.d")
     # The delta table is small but expands into the output next: an explicit
     # partition count keeps AQE from coalescing it into one task.
-    deltas = deltas.repartition(shuffle_partitions(statuses.sparkSession), "hashtag", "chunk")
+    deltas = deltas.repartition(shuffle_partitions(per_bucket.sparkSession), "hashtag", "chunk")
     order = Window.partitionBy("hashtag", "chunk").orderBy("pos")
     seg = deltas.select(
         "hashtag", "chunk", "pos",
@@ -105,48 +116,71 @@ def hashtag_top_windows(statuses: DataFrame, window: str = "5 minutes", slide: s
 
 
 def streaming_hashtag_counts(statuses: DataFrame, window: str = "5 minutes", slide: str = "1 second",
-                             watermark: str = "10 minutes", two_stage: bool = True) -> DataFrame:
-    """Streaming form of ``hashtag_window_counts``.
-
-    ``two_stage=True`` (append mode): two chained event-time aggregations,
-    1-second buckets then sliding windows over ``window_time`` of the
-    buckets; the watermark lets both stages drop finished state. Complete and
-    update modes do not allow chained stateful operators, so they count the
-    sliding windows directly.
-    """
-    tags = tags_of(statuses).withWatermark("ts", watermark)
-    if two_stage:
-        per_bucket = tags.groupBy(F.window("ts", slide).alias("b"), "hashtag").agg(F.count(F.lit(1)).alias("c"))
-        sliding = (per_bucket.groupBy(F.window(F.window_time("b"), window, slide).alias("w"), "hashtag")
-                             .agg(F.sum("c").alias("count")))
-    else:
-        sliding = tags.groupBy(F.window("ts", window, slide).alias("w"), "hashtag").agg(F.count(F.lit(1)).alias("count"))
+                             watermark: str = "10 minutes") -> DataFrame:
+    """Streaming form of ``hashtag_window_counts`` for append mode: two chained
+    event-time aggregations, 1-second buckets then sliding windows over
+    ``window_time`` of the buckets; the watermark lets both stages drop
+    finished state."""
+    per_bucket = bucket_counts(tags_with_watermark(statuses, watermark), slide)
+    sliding = (per_bucket.groupBy(F.window(F.window_time("b"), window, slide).alias("w"), "hashtag")
+                         .agg(F.sum("c").alias("count")))
     return sliding.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                           "hashtag", "count")
 
 
+def tags_with_watermark(statuses: DataFrame, watermark: str) -> DataFrame:
+    return statuses.withWatermark("ts", watermark)
+
+
+def _run(spark: SparkSession, result: DataFrame, sink, out_path: str, output_mode: str, schema: str,
+         available_now: bool, trigger_seconds: int, timeout: float | None) -> str:
+    """Start ``result`` with ``sink`` per micro-batch and wait. A stream without
+    any batch leaves an empty result, so the folder can always be read."""
+    writer = (result.writeStream.outputMode(output_mode).foreachBatch(sink)
+                    .option("checkpointLocation", out_path + "-checkpoint"))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
+        processingTime=f"{trigger_seconds} seconds")
+    query = writer.start()
+    if not query.awaitTermination(timeout) and timeout is not None:
+        query.stop()
+    if not is_directory(spark, out_path):
+        write_epoch(spark.createDataFrame([], schema), out_path, 0)
+    return out_path
+
+
+def latest(spark: SparkSession, out_path: str) -> DataFrame:
+    """The newest epoch of a complete-mode sink, without its ``batch`` column."""
+    rows = spark.read.parquet(out_path)
+    newest = rows.agg(F.max("batch")).first()[0]
+    return (rows if newest is None else rows.filter(F.col("batch") == F.lit(newest))).drop("batch")
+
+
+WINDOW_SCHEMA = "window_start timestamp, window_end timestamp, hashtag string, count long, rank int"
+
+
 def run_hashtag_stream(spark: SparkSession, statuses: DataFrame, out_path: str | None = None,
                        window: str = "5 minutes", slide: str = "1 second", watermark: str = "10 minutes",
                        k: int = 10, output_mode: str = "append", available_now: bool = True,
                        trigger_seconds: int = 1, timeout: float | None = None) -> str:
-    """Start the hashtag job; returns the sink folder (parquet)."""
+    """Start the hashtag job; returns the sink folder (parquet, one folder per
+    epoch).
+
+    ``append``: each window once, when the watermark has passed it.
+    ``complete``: the state holds the count of every bucket; each micro-batch
+    turns all of them into windows and writes the whole result as its epoch
+    (``latest`` reads the newest), so a reader never sees a half-written one.
+    """
     out_path = out_path or scratch_path(spark, "hashtags-out")
-    counts = streaming_hashtag_counts(statuses, window, slide, watermark, two_stage=output_mode == "append")
+    if output_mode == "complete":
+        counts = bucket_counts(statuses, slide)
+    else:
+        counts = streaming_hashtag_counts(statuses, window, slide, watermark)
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        top = top_per_window(batch, k)
-        if output_mode == "complete":  # the whole result each time: replace it
-            top.withColumn("batch", F.lit(epoch)).write.mode("overwrite").parquet(out_path)
-        else:  # final windows of this epoch only: one idempotent folder per epoch
-            write_epoch(top, out_path, epoch)
+        windows = window_counts(batch, window, slide) if output_mode == "complete" else batch
+        write_epoch(top_per_window(windows, k), out_path, epoch)
 
-    writer = (counts.writeStream.outputMode(output_mode).foreachBatch(sink)
-                    .option("checkpointLocation", out_path + "-checkpoint"))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-        processingTime=f"{trigger_seconds} seconds")
-    query = writer.start()
-    query.awaitTermination(timeout)
-    return out_path
+    return _run(spark, counts, sink, out_path, output_mode, WINDOW_SCHEMA, available_now, trigger_seconds, timeout)
 
 
 def run_top_lengths_stream(spark: SparkSession, statuses: DataFrame, out_path: str | None = None, k: int = 10,
@@ -162,12 +196,8 @@ def run_top_lengths_stream(spark: SparkSession, statuses: DataFrame, out_path: s
         ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(F.col("length").desc())))
         write_epoch(ranked.select("rank", "length"), out_path, epoch)
 
-    writer = lengths.writeStream.foreachBatch(sink).option("checkpointLocation", out_path + "-checkpoint")
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-        processingTime=f"{trigger_seconds} seconds")
-    query = writer.start()
-    query.awaitTermination(timeout)
-    return out_path
+    return _run(spark, lengths, sink, out_path, "append", "rank int, length int", available_now, trigger_seconds,
+                timeout)
 
 
 WHITESPACE = "[ \t\n\r\f]+"
@@ -189,21 +219,15 @@ def run_running_aggregate(spark: SparkSession, result: DataFrame, out_path: str
                           k: int | None = None, order=None, available_now: bool = True, trigger_seconds: int = 1,
                           timeout: float | None = None, name: str = "running") -> str:
     """Run a stateful running aggregation in complete mode; each micro-batch
-    replaces the sink with the current result (optionally its top k).
-    Returns the sink folder."""
+    writes the current result (optionally its top k) as its epoch. Returns the
+    sink folder; ``latest`` reads the newest epoch."""
     out_path = out_path or scratch_path(spark, name + "-out")
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        cur = batch.orderBy(*order).limit(k) if k else batch
-        cur.withColumn("batch", F.lit(epoch).cast("long")).write.mode("overwrite").parquet(out_path)
+        write_epoch(batch.orderBy(*order).limit(k) if k else batch, out_path, epoch)
 
-    writer = (result.writeStream.outputMode("complete").foreachBatch(sink)
-                    .option("checkpointLocation", out_path + "-checkpoint"))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-        processingTime=f"{trigger_seconds} seconds")
-    query = writer.start()
-    query.awaitTermination(timeout)
-    return out_path
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in result.schema.fields)
+    return _run(spark, result, sink, out_path, "complete", schema, available_now, trigger_seconds, timeout)
 
 
 def run_popular_words(spark: SparkSession, statuses: DataFrame, k: int = 10, **kw) -> str:

@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from conftest import REFERENCE_DATA, rows, write_lines
+from conftest import rows, write_lines
 from tessera.operators import aggregates, people
 from tessera.sources import readers
 
@@ -53,15 +53,17 @@ def test_people_queries(spark):
     assert sorted(r["id"] for r in people.sql_age_range(spark, p, 13, 19).collect()) == [0, 1]
 
 
-def test_people_reader_on_bundled_file(spark):
-    path = os.path.join(REFERENCE_DATA, "fakefriends.csv")
-    if not os.path.exists(path):
-        pytest.skip("bundled people file not present")
+def test_people_reader_inline(spark, tmpdir_path):
+    import random
+
+    rnd = random.Random(1)
+    made = [(i, rnd.choice(["Ann", "Bob", "Cy"]), rnd.randint(10, 69), rnd.randint(0, 500)) for i in range(200)]
+    path = write_lines(tmpdir_path, "people.csv", [",".join(map(str, r)) for r in made])
     p = readers.read_people(spark, path)
-    assert p.count() == 500
-    assert people.sql_age_range(spark, p).count() == 19
-    assert people.under_age(p).count() == 24
-    assert p.select("name").distinct().count() == 30
+    assert rows(p, "id", "name", "age") == sorted(r[:3] for r in made)
+    assert people.sql_age_range(spark, p).count() == sum(13 <= r[2] <= 19 for r in made)
+    assert people.under_age(p).count() == sum(r[2] < 21 for r in made)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("people")]
 
 
 def test_csv_readers_inline(spark, tmpdir_path):

@@ -100,10 +100,40 @@ def test_symmetric_bfs_matches_brute_force(spark):
                 == rows(graph.bfs_early_stop(df, 0, target, 10)))
 
 
-def test_bfs_leaves_no_catalog_table(spark):
+def test_bfs_runs_until_nothing_is_new(spark):
+    e = [(i, i + 1) for i in range(25)] + [(50, 51)]
+    df = spark.createDataFrame(e, "src long, dst long")
+    assert dict(rows(graph.bfs_distances(df, 0))) == {i: i for i in range(26)}
+    assert rows(graph.bfs_distance_to(df, 0, 25)) == [(25, 25)]
+    assert rows(graph.bfs_distance_to(df, 0, 51)) == []
+
+
+def test_hub_edges_are_dealt_over_chunks(spark):
+    """A hub with a third of the edges: no join key holds more than about the
+    chunk size, light vertices keep one key, and the distances are right."""
+    import random
+
+    rnd = random.Random(8)
+    e = [(0, k) for k in range(1, 600)] + [(rnd.randrange(1, 600), rnd.randrange(1, 700)) for _ in range(1200)]
+    df = spark.createDataFrame(e, "src long, dst long")
+    prepared, heavy = graph._prepared_edges(df, 50)
+    largest = max(r["count"] for r in prepared.groupBy("src", "chunk").count().collect())
+    assert largest <= 100 and rows(heavy) == [(0, 12)]
+    assert prepared.count() == len(e)
+    assert dict(rows(graph.bfs_distances(df, 0, chunk_edges=50))) == brute_bfs(e, 0, 10**6)
+    assert dict(rows(graph.bfs_distances(df, 5, chunk_edges=50))) == brute_bfs(e, 5, 10**6)
+
+
+def test_bfs_leaves_no_scratch_tables(spark):
+    import os
+
+    from tessera.session import checkpoint_root
+
     df = spark.createDataFrame(_edges(), "src long, dst long")
-    before = {t.name for t in spark.catalog.listTables()}
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
     d = graph.bfs_distances(df, 0, 3)
     p = graph.bfs_distance_to(df, 0, 2, 10)
     assert dict(rows(d)) == brute_bfs(_edges(), 0, 3) and rows(p) == [(2, 2)]
-    assert {t.name for t in spark.catalog.listTables()} == before
+    left = {n for n in os.listdir(root) if n not in before and not n.startswith("bfs-reached")}
+    assert not [n for n in left if os.listdir(os.path.join(root, n)) and n.startswith(("bfs-edges", "bfs-frontier"))]

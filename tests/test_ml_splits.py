@@ -1,34 +1,59 @@
+import math
 import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import REFERENCE_DATA, rows
+from conftest import rows
 from tessera.operators import ml, splits
-from tessera.sources import readers
 
 
-def _points(spark):
-    path = os.path.join(REFERENCE_DATA, "regression.txt")
-    if not os.path.exists(path):
-        pytest.skip("bundled regression points not present")
-    return readers.read_labeled_points(spark, path)
-
-
-@pytest.mark.parametrize("iters,step,reg,want", [
-    (1, 1.0, 0.1, 0.10024136639602943),
-    (100, 1.0, 0.01, 0.10066852907328923),
-    (100, 2.0, 0.01, 0.10073103047720411),
-    (100, 0.5, 0.01, 0.10188046240656362),
-    (100, 0.1, 0.01, 0.1858145809332145),
-    (100, 1.0, 0.05, 0.11057945309877877),
-])
-def test_sgd_rmse_goldens(spark, iters, step, reg, want):
-    pts = _points(spark)
-    w, _ = ml.sgd_linear_regression(pts, iterations=iters, step=step, reg=reg)
-    got = ml.rmse(ml.predict_linear(pts, w)).first()["rmse"]
-    assert got == pytest.approx(want, rel=1e-9)
+def _points(seed, n=300, d=1):
+    rnd = random.Random(seed)
+    out = []
+    for _ in range(n):
+        x = [rnd.gauss(0.0, 1.0) for _ in range(d)]
+        out.append((sum((k + 1) * -0.4 * v for k, v in enumerate(x)) + rnd.gauss(0.0, 0.3), *x))
+    return out
+
+
+def _train(points, iterations, step, reg, tol=0.001):
+    """Independent trainer: the gradient is summed over the points every time."""
+    d = len(points[0]) - 1
+    w = [0.0] * d
+    for t in range(1, iterations + 1):
+        g = [0.0] * d
+        for y, *x in points:
+            e = sum(a * b for a, b in zip(w, x)) - y
+            g = [v + e * c / len(points) for v, c in zip(g, x)]
+        eta = step / math.sqrt(t)
+        new = [v * (1 - eta * reg) - eta * c for v, c in zip(w, g)]
+        move = math.sqrt(sum((a - b) ** 2 for a, b in zip(new, w)))
+        w = new
+        if t > 1 and move < tol * max(math.sqrt(sum(v * v for v in w)), 1.0):
+            break
+    return w, t
+
+
+@pytest.mark.parametrize("iters,step,reg", [(1, 1.0, 0.1), (100, 1.0, 0.01), (100, 2.0, 0.01), (100, 0.5, 0.01),
+                                            (100, 0.1, 0.01), (100, 1.0, 0.05)])
+def test_sgd_equals_an_independent_trainer(spark, iters, step, reg):
+    made = _points(3)
+    pts = spark.createDataFrame(made, "label double, feature double")
+    w, run = ml.sgd_linear_regression(pts, iterations=iters, step=step, reg=reg)
+    want, want_run = _train(made, iters, step, reg)
+    assert run == want_run and w == pytest.approx(want[0], rel=1e-9)
+    error = math.sqrt(sum((want[0] * x - y) ** 2 for y, x in made) / len(made))
+    assert ml.rmse(ml.predict_linear(pts, w)).first()["rmse"] == pytest.approx(error, rel=1e-9)
+
+
+def test_sgd_with_a_vector_of_features(spark):
+    made = _points(4, d=3)
+    pts = spark.createDataFrame(made, "label double, a double, b double, c double")
+    w, run = ml.sgd_weights(pts, ["a", "b", "c"], iterations=60, step=0.4, reg=0.02, tol=1e-6)
+    want, want_run = _train(made, 60, 0.4, 0.02, 1e-6)
+    assert run == want_run and w == pytest.approx(want, rel=1e-9)
 
 
 def test_sgd_one_step_is_mean_xy(spark):
@@ -37,31 +62,30 @@ def test_sgd_one_step_is_mean_xy(spark):
     assert n == 1 and w == pytest.approx((2.0 - 3.0 + 0.25) / 3)
 
 
-def test_elastic_net_on_bundled_points(spark):
-    pts = _points(spark)
-    (w, b), pred = ml.elastic_net(pts, pts)
-    assert w == pytest.approx(-0.71225129381527, rel=1e-6)
-    assert pred.count() == 1000 and pred.columns == ["prediction", "label"]
+def _soft_threshold(made, reg, mixing):
+    """Closed form of the one-feature optimum in standardised units."""
+    n = len(made)
+    mx, my = sum(x for x, _ in made) / n, sum(y for _, y in made) / n
+    sx = math.sqrt(sum((x - mx) ** 2 for x, _ in made) / n)
+    sy = math.sqrt(sum((y - my) ** 2 for _, y in made) / n)
+    corr = sum((x - mx) * (y - my) for x, y in made) / n / (sx * sy)
+    w = math.copysign(max(abs(corr) - mixing * reg / sy, 0.0), corr) / (1 + (1 - mixing) * reg / sy) * sy / sx
+    return w, my - w * mx
 
 
 @pytest.mark.parametrize("reg,mix", [(0.3, 0.8), (0.05, 0.5), (0.01, 0.0), (2.0, 1.0)])
-def test_elastic_net_closed_form_equals_library(spark, reg, mix):
-    """The one-aggregate optimum equals pyspark.ml's iterative fit."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
+def test_elastic_net_equals_closed_form(spark, reg, mix):
     rnd = random.Random(9)
-    rows_ = []
+    made = []
     for _ in range(400):
         x = rnd.gauss(3.0, 2.0)
-        rows_.append((x, -0.8 * x + 5.0 + rnd.gauss(0.0, 1.5)))
-    df = spark.createDataFrame(rows_, "feature double, label double")
-    w, b = ml.elastic_net_1d(df, reg, mix)
-    lr = LinearRegression(featuresCol="features", labelCol="label", regParam=reg, elasticNetParam=mix,
-                          maxIter=200, tol=1e-10)
-    model = lr.fit(VectorAssembler(inputCols=["feature"], outputCol="features").transform(df))
-    assert w == pytest.approx(model.coefficients[0], rel=1e-6, abs=1e-9)
-    assert b == pytest.approx(model.intercept, rel=1e-6, abs=1e-9)
+        made.append((x, -0.8 * x + 5.0 + rnd.gauss(0.0, 1.5)))
+    df = spark.createDataFrame(made, "feature double, label double")
+    model, pred = ml.elastic_net(df, df, reg, mix, max_iter=200, tol=1e-10)
+    w, b = _soft_threshold(made, reg, mix)
+    assert model.coefficients[0] == pytest.approx(w, rel=1e-6, abs=1e-9)
+    assert model.intercept == pytest.approx(b, rel=1e-6, abs=1e-9)
+    assert pred.count() == 400 and pred.columns == ["prediction", "label"]
 
 
 def test_global_row_number_and_kfold(spark):
@@ -94,6 +118,20 @@ def test_leave_n_out_split_positions_and_cap(spark):
     assert t.count() == 15 and dict(rows(t.groupBy("user").count())) == {0: 10, 1: 5}
 
 
+def test_leave_n_out_long_prefixes_and_repeated_rows(spark, monkeypatch):
+    """The salted first cut of long prefixes gives the same split, and no step
+    shuffles whole rows on all their columns."""
+    data = [(0, k % 400, k) for k in range(900)] + [(u, p, 0) for u in (1, 2) for p in (5, 5, 7)]
+    df = spark.createDataFrame(data, "user int, pos int, extra int")
+    want = rows(splits.leave_n_out_split(df, "user", ["pos", "extra"], 3, 40))
+    monkeypatch.setattr(splits, "GROUP_LIMIT", 10)
+    out = splits.leave_n_out_split(df, "user", ["pos", "extra"], 3, 40)
+    assert rows(out) == want and len(want) == len(data)
+    assert sum(r[3] == "test" for r in want) == 38 + 2
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(user" not in plan or "extra" not in plan.split("hashpartitioning(user", 1)[1].split(")")[0]
+
+
 def test_random_split_deterministic(spark):
     df = spark.range(2000).withColumnRenamed("id", "k")
     a = splits.random_split(df, ["k"], (0.3, 0.7), seed=1)

@@ -69,7 +69,7 @@ def test_streaming_equals_batch(spark, tmpdir_path):
     stream = spark.readStream.schema("ts timestamp, text string").parquet(src)
     out = jobs.run_hashtag_stream(spark, stream, window="5 minutes", slide="1 minute", watermark="1 hour",
                                   k=10, output_mode="complete")
-    streamed = rows(spark.read.parquet(out).select(F.unix_seconds("window_start"), "hashtag", "count", "rank"))
+    streamed = rows(jobs.latest(spark, out).select(F.unix_seconds("window_start"), "hashtag", "count", "rank"))
     batch = rows(jobs.hashtag_top_windows(spark.read.parquet(src), "5 minutes", "1 minute", 10)
                  .select(F.unix_seconds("window_start"), "hashtag", "count", "rank"))
     assert streamed == batch
@@ -81,11 +81,61 @@ def test_streaming_append_emits_only_final_windows(spark, tmpdir_path):
     stream = spark.readStream.schema("ts timestamp, text string").parquet(src)
     out = jobs.run_hashtag_stream(spark, stream, window="5 minutes", slide="1 minute", watermark="1 minute",
                                   k=10, output_mode="append")
-    batch = set(rows(jobs.hashtag_top_windows(spark.read.parquet(src), "5 minutes", "1 minute", 10)
-                     .select(F.unix_seconds("window_start"), "hashtag", "count", "rank")))
-    if os.path.exists(out):
-        streamed = set(rows(spark.read.parquet(out).select(F.unix_seconds("window_start"), "hashtag", "count", "rank")))
-        assert streamed <= batch
+    batch = rows(jobs.hashtag_top_windows(spark.read.parquet(src), "5 minutes", "1 minute", 10)
+                 .select(F.unix_seconds("window_start"), "hashtag", "count", "rank"))
+    streamed = rows(spark.read.parquet(out).select(F.unix_seconds("window_start"), "hashtag", "count", "rank"))
+    # The last status is at second 900 and the watermark a minute behind it:
+    # the windows that end by second 840 are final, the later ones are held back.
+    start = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp())
+    assert streamed == [r for r in batch if r[0] + 300 <= start + 840] and streamed
+    assert [r for r in batch if r[1] == "#c"] and not [r for r in streamed if r[1] == "#c"]
+
+
+def test_stream_restarts_where_it_stopped(spark, tmpdir_path):
+    """A second run over the same checkpoint reads only the new file."""
+    src, out = os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "out")
+    schema = "text string"
+    spark.createDataFrame([("abc",), ("a",)], schema).coalesce(1).write.parquet(src)
+    jobs.run_top_lengths_stream(spark, spark.readStream.schema(schema).parquet(src), out_path=out, k=5)
+    spark.createDataFrame([("abcdef",)], schema).coalesce(1).write.mode("append").parquet(src)
+    jobs.run_top_lengths_stream(spark, spark.readStream.schema(schema).parquet(src), out_path=out, k=5)
+    assert rows(spark.read.parquet(out), "batch", "rank", "length") == [(0, 1, 3), (0, 2, 1), (1, 1, 6)]
+
+
+def test_processing_time_trigger(spark, tmpdir_path):
+    src, out = os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "out")
+    spark.createDataFrame([("abc",), ("a",)], "text string").coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema("text string").parquet(src)
+    jobs.run_top_lengths_stream(spark, stream, out_path=out, k=5, available_now=False, trigger_seconds=1, timeout=15)
+    assert rows(spark.read.parquet(out), "rank", "length") == [(1, 3), (2, 1)]
+
+
+def test_streams_over_tables_of_several_files(spark, tmpdir_path):
+    """A table stored as a folder of part files streams as the batch reads it."""
+    from tessera.sources import bindings
+
+    texts = [(c, 0, "user", "w " * (c + 1)) for c in range(12)]
+    spark.createDataFrame(texts, "conv_id long, turn long, role string, text string").repartition(3).write.parquet(
+        os.path.join(tmpdir_path, "conversations.parquet"))
+    base = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([(base + dt.timedelta(seconds=k), f"t{k % 3}") for k in range(40)],
+                          "ts timestamp, event_type string").repartition(4).write.parquet(
+        os.path.join(tmpdir_path, "events.parquet"))
+    out = jobs.run_popular_words(spark, bindings.conversation_texts(spark, tmpdir_path, stream=True))
+    assert rows(jobs.latest(spark, out), "word", "count") == [("w", sum(c + 1 for c in range(12)))]
+    top = jobs.run_hashtag_stream(spark, bindings.hashtag_events(spark, tmpdir_path, stream=True),
+                                  output_mode="complete")
+    batch = jobs.hashtag_top_windows(bindings.hashtag_events(spark, tmpdir_path))
+    assert rows(jobs.latest(spark, top), "window_start", "hashtag", "count", "rank") == rows(
+        batch, "window_start", "hashtag", "count", "rank")
+
+
+def test_stream_without_data_leaves_an_empty_result(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    stream = spark.readStream.schema("ts timestamp, text string").parquet(src)
+    assert jobs.latest(spark, jobs.run_hashtag_stream(spark, stream, output_mode="complete")).count() == 0
+    assert spark.read.parquet(jobs.run_top_lengths_stream(spark, stream)).count() == 0
 
 
 def test_top_lengths_stream(spark, tmpdir_path):

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tessera.functions.text import java_split, text_lines
+from tessera.functions.text import java_split, split_rows, text_lines
 from tessera.operators import wordcount
 
 
@@ -20,6 +20,21 @@ def test_java_split_regex_ascii_word(spark):
     assert got == [["Hello", "world"], [], ["", "a"], ["na", "ve"]]
 
 
+def test_split_rows_equal_java_split(spark):
+    """The word-count delimiters against the general rule, and their plan."""
+    import random
+
+    rnd = random.Random(3)
+    values = ["", " ", "   ", " a ", "...", ", a", "a,", "x" * 50 + " " * 400, "!" * 500 + "b" + "!" * 500] + [
+        "".join(rnd.choice("ab ,.é") for _ in range(rnd.randint(0, 12))) for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    for regex in (" ", r"\W+", ","):
+        got = rows(split_rows(df, "value", regex, "word"))
+        assert got == rows(df.select(F.explode(java_split(F.col("value"), regex)).alias("word")))
+    plan = wordcount.word_count_regex(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1
+
+
 def test_text_lines(spark):
     df = spark.createDataFrame([(0, "a\nb\n"), (1, "a\r\nb"), (2, ""), (3, "\n"), (4, "a\n\nb\n\n")], "i int, t string")
     got = [r["l"] for r in df.select("i", text_lines("t").alias("l")).orderBy("i").collect()]
