@@ -18,7 +18,7 @@ from tessera.session import input_bytes, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-SLICE_BYTES = 4 << 20  # texts are handled in slices of about this size
+SLICE_BYTES = 2 << 20  # texts are handled in slices of about this size
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +47,7 @@ def cut(df: DataFrame, name: str, conf: dict[str, str] | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
-def buckets_for(df: DataFrame, per_bucket: int = 16 << 20) -> int:
+def buckets_for(df: DataFrame, per_bucket: int = 4 << 20) -> int:
     """Hash buckets (a power of two, 8 at least) for data that follows the
     size of what ``df`` reads: about ``per_bucket`` input bytes each."""
     size = input_bytes(df) or 0
