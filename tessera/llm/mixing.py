@@ -10,9 +10,9 @@ sources; only sums come to the driver.
 
 The weights are realised against a token budget (by default the smallest that
 uses every document at least once, so no text is lost): source ``i`` gets
-``round(w_i * budget)`` tokens, that is whole epochs plus a rest. Each source
-is dealt into blocks of about ``block_tokens`` tokens by a hash of the document
-id; the rest takes whole blocks of the source in permuted order and, in the one
+``round(w_i * budget)`` tokens, that is whole epochs plus a rest. Documents
+are dealt into slots by a hash of their id, and a source's slots make blocks of
+about ``block_tokens`` tokens; the rest takes whole blocks of the source in permuted order and, in the one
 block where it ends, documents in permuted order. A hot source has many blocks,
 so no task holds a source; the order of all draws is a permutation of blocks
 within the epoch and of documents within the block.
@@ -60,8 +60,8 @@ def _hex(*parts: Column) -> Column:
     return F.md5(F.concat_ws("/", *parts).cast("binary"))
 
 
-def _block(doc_id: Column, n_blocks: Column, params: MixParams) -> Column:
-    return F.conv(F.substring(_hex(F.lit(params.seed), doc_id.cast("string")), 1, 8), 16, 10).cast("long") % n_blocks
+def _slot(doc_id: Column, n_slots: int, params: MixParams) -> Column:
+    return F.conv(F.substring(_hex(F.lit(params.seed), doc_id.cast("string")), 1, 8), 16, 10).cast("long") % n_slots
 
 
 def _order(epoch: Column, doc_id: Column, params: MixParams) -> Column:
@@ -122,14 +122,19 @@ def exponent(shares: DataFrame, params: MixParams) -> tuple[float, float]:
     return a, sums([a])[0][0]
 
 
-def mixing_plan(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
-    """The plan per block: ``skey, block, n_blocks, share, weight, budget,
-    full_epochs, part`` with ``part`` of the last, partial epoch: ``all``,
-    ``none`` or the greatest order key that is still drawn."""
-    counted = docs.select("doc_id", source_key().alias("skey"), tokens().alias("n"))
-    counted = cut(counted, "mix-tokens")  # read four times below, and much smaller than the texts
+def mixing_plan(docs: DataFrame, params: MixParams = MixParams()) -> tuple[DataFrame, int]:
+    """The plan and its number of slots. A row per source and slot: ``skey, slot,
+    block, share, weight, budget, full_epochs, part`` with ``part`` of the last,
+    partial epoch: ``all``, ``none`` or the greatest order key still drawn.
+
+    A document's slot depends on its id only, so every join is on source and
+    slot and no task gets a whole source; a source's blocks are slots put
+    together, as many as its tokens ask for.
+    """
+    counted = cut(docs.select("doc_id", source_key().alias("skey"), tokens().alias("n")), "mix-tokens")
     sources = counted.groupBy("skey").agg(F.sum("n").alias("t"))
     total = sources.agg(F.sum("t")).first()[0] or 0
+    n_slots = max(1, -(-total // params.block_tokens))
     shares = cut(sources.filter("t > 0").select("skey", "t", (F.col("t") / F.lit(float(total or 1))).alias("p")),
                  "mix-sources")
     if total:
@@ -146,45 +151,44 @@ def mixing_plan(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     weighted = weighted.withColumn("budget", F.round(F.col("weight") * F.lit(float(budget))).cast("long"))
     weighted = weighted.withColumn("full_epochs", F.when(F.col("t") > 0, F.expr("budget div t")).otherwise(1)) \
         .withColumn("rest", F.when(F.col("t") > 0, F.expr("budget % t")).otherwise(0))
-    placed = counted.join(weighted.select("skey", "n_blocks", "full_epochs", "rest"), "skey").withColumn(
-        "block", _block(F.col("doc_id"), F.col("n_blocks"), params))
-    blocks = placed.groupBy("skey", "block", "full_epochs", "rest").agg(F.sum("n").alias("bt"))
+    placed = counted.withColumn("slot", _slot(F.col("doc_id"), n_slots, params))
+    slots = placed.groupBy("skey", "slot").agg(F.sum("n").alias("n")).join(weighted, "skey").withColumn(
+        "block", F.col("slot") % F.col("n_blocks"))
+    slots = cut(slots.drop("n_blocks", "t"), "mix-slots")
+    blocks = slots.groupBy("skey", "block", "full_epochs", "rest").agg(F.sum("n").alias("bt"))
     turn = _hex(F.lit(params.seed), F.lit("block"), F.col("full_epochs").cast("string"), F.col("block").cast("string"))
     before = Window.partitionBy("skey").orderBy("turn", "block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("turn", turn).withColumn("left", F.col("rest") - F.coalesce(
         F.sum("bt").over(before), F.lit(0)))
     blocks = blocks.withColumn("state", F.when(F.col("left") <= 0, "none").when(F.col("left") >= F.col("bt"), "all")
-                               .otherwise("cut"))
+                               .otherwise("cut")).select("skey", "block", "left", "state")
     # In the block where the rest ends: documents in permuted order until it is used up.
-    ends = blocks.filter("state = 'cut'").select("skey", "block", "left")
-    docs_in = placed.join(ends, ["skey", "block"]).groupBy("skey", "block", "left", "full_epochs", "doc_id").agg(
+    ends = slots.join(blocks.filter("state = 'cut'"), ["skey", "block"]).select(
+        "skey", "slot", "block", "left", "full_epochs")
+    docs_in = placed.join(ends, ["skey", "slot"]).groupBy("skey", "block", "left", "full_epochs", "doc_id").agg(
         F.sum("n").alias("n")).withColumn("o", _order(F.col("full_epochs"), F.col("doc_id"), params))
     run = Window.partitionBy("skey", "block").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
     last = docs_in.withColumn("used", F.coalesce(F.sum("n").over(run), F.lit(0))).filter("used < left").groupBy(
         "skey", "block").agg(F.max("o").alias("last"))
-    plan = blocks.join(last, ["skey", "block"], "left").join(
-        weighted.select("skey", "n_blocks", "share", "weight", "budget"), "skey")
-    return cut(plan.select("skey", "block", "n_blocks", "share", "weight", "budget", "full_epochs",
+    plan = slots.join(blocks, ["skey", "block"]).join(last, ["skey", "block"], "left")
+    return cut(plan.select("skey", "slot", "block", "share", "weight", "budget", "full_epochs",
                            F.when(F.col("state") == "cut", F.col("last")).otherwise(F.col("state")).alias("part")),
-               "mix-plan")
+               "mix-plan"), n_slots
 
 
-def _copies(docs: DataFrame, plan: DataFrame, params: MixParams) -> DataFrame:
+def _copies(docs: DataFrame, plan: DataFrame, n_slots: int, params: MixParams) -> DataFrame:
     """``docs`` with the plan's columns and ``copies``, the times it is drawn."""
-    sizes = plan.select("skey", "n_blocks").distinct()
-    keyed = docs.withColumn("skey", source_key()).join(sizes, "skey").withColumn(
-        "block", _block(F.col("doc_id"), F.col("n_blocks"), params)).drop("n_blocks")
+    keyed = docs.withColumn("skey", source_key()).withColumn("slot", _slot(F.col("doc_id"), n_slots, params))
     last = F.when(F.col("part") == "all", 1).when(F.col("part") == "none", 0).otherwise(
         (_order(F.col("full_epochs"), F.col("doc_id"), params) <= F.col("part")).cast("int"))
-    return keyed.join(plan.drop("n_blocks"), ["skey", "block"]).withColumn(
-        "copies", F.col("full_epochs") + last)
+    return keyed.join(plan, ["skey", "slot"]).withColumn("copies", F.col("full_epochs") + last)
 
 
 def mix_sources(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     """One row per row of ``docs`` (``doc_id``, ``text``, ``source``): its
     tokens, the source's share, weight and budget, and how often it is drawn."""
     rows = docs.select("doc_id", "source", tokens().alias("n_tokens"))
-    drawn = _copies(rows, mixing_plan(docs, params), params)
+    drawn = _copies(rows, *mixing_plan(docs, params), params)
     return drawn.select("doc_id", "source", "n_tokens", "share", "weight", "budget", "full_epochs", "block",
                         F.col("copies").cast("long").alias("copies"))
 
@@ -193,8 +197,9 @@ def draw_mixture(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     """``docs`` with each row repeated as often as it is drawn; the columns of
     ``docs`` only. Names that begin with ``_mix`` are used inside."""
     cols = docs.columns
-    plan = mixing_plan(docs, params).select("skey", "block", "n_blocks", "full_epochs", "part")
+    plan, n_slots = mixing_plan(docs, params)
+    plan = plan.select("skey", "slot", "full_epochs", "part")
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_mix_row"), "doc_id", "source")
-    drawn = _copies(inner, plan, params).filter("copies > 0")
+    drawn = _copies(inner, plan, n_slots, params).filter("copies > 0")
     return drawn.select("_mix_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_mix_n")) \
         .select(*[F.col("_mix_row").getField(c).alias(c) for c in cols])

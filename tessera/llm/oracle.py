@@ -112,7 +112,8 @@ plan AS (
                                           / (SELECT s FROM z) ELSE 0 END AS weight FROM src))),
 placed AS (
   SELECT tok.*, share, weight, budget, full_epochs, rest,
-         ('0x' || substr(md5('{seed}/' || doc_id), 1, 8))::BIGINT % n_blocks AS block,
+         ('0x' || substr(md5('{seed}/' || doc_id), 1, 8))::BIGINT
+           % (SELECT greatest(1, ceil(sum(t) / {params.block_tokens}.0))::BIGINT FROM src) % n_blocks AS block,
          md5('{seed}/' || full_epochs || '/' || doc_id) AS o
   FROM tok JOIN plan USING (skey)),
 blocks AS (
