@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 from tessera.llm.common import slices
 
 # (bytes from, least ratio, greatest ratio) of a whole text of that length or more.
-BANDS = ((0, 0.0, 9.9), (128, 0.8, 2.6), (256, 1.0, 2.4), (512, 1.2, 2.4), (1024, 1.35, 2.5), (2048, 1.5, 2.6),
-         (4096, 1.6, 2.75), (8192, 1.65, 2.9), (16384, 1.7, 3.0), (32768, 1.7, 3.2), (131072, 1.7, 3.5))
+BANDS = ((0, 0.0, 9.9), (128, 0.8, 2.2), (256, 1.0, 2.1), (512, 1.2, 2.15), (1024, 1.35, 2.25), (2048, 1.5, 2.35),
+         (4096, 1.6, 2.45), (8192, 1.65, 2.6), (16384, 1.7, 2.8), (32768, 1.7, 3.0), (131072, 1.7, 3.4))
 SYMBOLS = b"#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 

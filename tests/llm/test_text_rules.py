@@ -58,8 +58,8 @@ def test_quality_base_statistics(spark):
 
 def test_quality_bands(spark):
     rng = random.Random(3)
-    syllables = ["ta", "ri", "mon", "e", "lu", "ska", "per", "in", "o", "ded"]
-    prose = " ".join("".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(4000))
+    syllables = [a + b + c for a in "tmlskpdr" for b in "aeiou" for c in ("", "n", "s", "r")]
+    prose = " ".join("".join(rng.choices(syllables, k=rng.randint(1, 3))) for _ in range(4000))
     line = " ".join("".join(rng.choices(syllables, k=3)) for _ in range(120))
     noise = " ".join("".join(chr(rng.randint(33, 126)) for _ in range(9)) for _ in range(3000))
     half = prose[:14000] + "\n" + (line + "\n") * 40
