@@ -43,6 +43,8 @@ class Kind:
     apart: str = ""  # characters that must not touch the span on either side
 
 
+# In one piece, or in groups of four with a shorter last one.
+ACCOUNT = r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)"
 KINDS = (
     Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
          r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", 0.9, "mail|contact|write to"),
@@ -52,7 +54,7 @@ KINDS = (
          "card|visa|mastercard|amex|credit|debit|payment"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]", 0.6,
          "phone|tel|call|mobile|cell|fax|whatsapp"),
-    Kind("iban", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", 0.8,
+    Kind("iban", ACCOUNT, ACCOUNT, 0.8,
          "iban|account|bank|konto|cuenta|compte", False, "[A-Za-z0-9]"),
     Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", 0.4,
          "ssn|social security|taxpayer", False, "[0-9-]"),
@@ -140,23 +142,23 @@ def _located(text: Column, hits: Column, kind: Kind) -> Column:
     return F.when(F.size(hits) > 0, spans).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
-def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with one added column ``pii_spans``: an array of ``(kind,
-    start, end, value, score)`` by kind as in ``KINDS``, then start. Names that
-    begin with ``_pii`` are used inside."""
+def find_pii(docs: DataFrame, text: str = "text", out_col: str = "pii_spans") -> DataFrame:
+    """``docs`` with one added column ``out_col``: an array of ``(kind, start,
+    end, value, score)`` by kind as in ``KINDS``, then start. Names that begin
+    with ``_pii`` are used inside."""
     out = docs.withColumn("_pii_text", F.coalesce(F.col(text), F.lit("")))
     out = out.withColumns({f"_pii_{k.name}": F.regexp_extract_all("_pii_text", F.lit(k.pattern), F.lit(0))
                            for k in KINDS})
     spans = F.concat(*[_located(F.col("_pii_text"), F.col(f"_pii_{k.name}"), k) for k in KINDS])
-    return out.withColumn("pii_spans", spans).drop("_pii_text", *[f"_pii_{k.name}" for k in KINDS])
+    return out.withColumn(out_col, spans).drop("_pii_text", *[f"_pii_{k.name}" for k in KINDS])
 
 
 def mask_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in angle
     brackets (``<EMAIL>``); overlapping spans become one, named by the first.
     A null text stays null. Columns and their order do not change."""
-    found = find_pii(docs, text)
-    ordered = F.array_sort(F.col("pii_spans"), lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"])
+    found = find_pii(docs, text, "_pii_spans")
+    ordered = F.array_sort(F.col("_pii_spans"), lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"])
                            .otherwise(b["end"] - a["end"]))
     body = F.col(text)
     init = F.struct(F.lit(0).cast("int").alias("at"), F.array().cast("array<string>").alias("parts"))
@@ -170,7 +172,7 @@ def mask_pii(docs: DataFrame, text: str = "text") -> DataFrame:
 
     masked = F.aggregate(ordered, init, step, lambda acc: F.concat(
         F.array_join(acc["parts"], ""), F.substring(body, acc["at"] + 1, F.length(body))))
-    return found.withColumn(text, F.when(body.isNull() | (F.size("pii_spans") == 0), body).otherwise(masked)).select(
+    return found.withColumn(text, F.when(body.isNull() | (F.size("_pii_spans") == 0), body).otherwise(masked)).select(
         *[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -196,6 +196,7 @@ def test_pii_scores_and_mask(spark):
     assert [round(s.score, 2) for s in spans[4]][0] == 0.9  # "card" stands before it
     masked = pii.mask_pii(docs)
     assert masked.columns == docs.columns
+    assert {r.pii_spans for r in masked.collect()} == {r.pii_spans for r in docs.collect()}  # a column of that name
     text = {r.doc_id: r.text for r in masked.collect()}
     assert text[1] == "<EMAIL><EMAIL> <IP>.<IP> 999.1.1.1 and <IP>"
     assert text[2] is None and text[3] == ""
