@@ -40,7 +40,7 @@ from tessera.llm.common import cut, slices
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 OUT = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 200_000
 
 
 @dataclass(frozen=True)
