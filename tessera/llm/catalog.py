@@ -57,9 +57,12 @@ def q_ann(spark: SparkSession, sf: str) -> DataFrame:
     return ann.nearest_neighbours(table(spark, sf, "embeddings"), k=20, query_every=20)
 
 
+PPM_ORDER = 5
+
+
 def q_lm(spark: SparkSession, sf: str) -> DataFrame:
     held = crc_fold(F.col("doc_id"), 10) == 0
-    out = lm.score_documents(table(spark, sf, "documents").select("doc_id", "text"), ~held)
+    out = lm.score_documents(table(spark, sf, "documents").select("doc_id", "text"), ~held, PPM_ORDER)
     return out.withColumn("held_out", held)
 
 

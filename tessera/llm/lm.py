@@ -1,15 +1,21 @@
 """Language-model scores: prediction by partial matching, and a word baseline.
 
-**Partial matching.** The model is a trie of byte contexts up to ``ORDER``
+**Partial matching.** The model is a trie of byte contexts up to ``order``
 bytes, trained on the training documents. A byte that was seen after the
 longest context costs ``c / (T + U)`` (its count, all counts, distinct
 symbols); otherwise an escape ``U / (T + U)`` is paid and the next shorter
 context decides, with the symbols of the longer context excluded from its
-counts; below order 0 the bytes never seen share what is left evenly. Because
-the trie is complete to order 2, it holds at most 256**3 counts whatever the
-corpus, which bounds what is broadcast; the counts are sums over every training
-document. A text's score is the sum of its bytes' log10 probabilities, the
-negative code length. With each text begins a new context of two zero bytes.
+counts; below order 0 the bytes never seen share what is left evenly. The
+counts are sums over every training document. A text's score is the sum of its
+bytes' log10 probabilities, the negative code length. With each text begins a
+new context of ``order`` zero bytes.
+
+The trie to order 2 holds at most 256**3 counts whatever the corpus, which
+bounds what is broadcast. The part above it grows with the corpus and stays
+partitioned: a slice of documents sends its distinct grams (context and byte)
+with their training counts to hash buckets of the last three context bytes, so
+a bucket holds the whole trie above each of its three-byte contexts. It answers
+with one cost per gram sent, and the slice adds them up over its texts.
 
 **Words.** The baseline needs the count of each word in the training documents.
 Word counts travel as packed postings (see ``common``) to hash buckets. There
@@ -26,6 +32,7 @@ an empty table gives none; without training rows all counts are 0.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,10 +41,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import (bucket_ranges, buckets_for, cut, encoded, group_starts, narrow, pack, slices, unpack,
-                                word_hashes)
+from tessera.llm.common import (bucket_ranges, buckets_for, cut, encoded, group_starts, mix, narrow, pack, planes,
+                                slices, unpack, unplanes, word_hashes)
 
-ORDER = 2
+ORDER = 2  # of the broadcast trie, and the default
+MAX_ORDER = 7  # a gram is a 64-bit key
 HEAVY_BITS = 17
 GRAMS = "gram int, n long"
 
@@ -106,6 +114,94 @@ def trie_costs(gram: np.ndarray, n: np.ndarray) -> np.ndarray:
     return table.reshape(-1)
 
 
+def context_keys(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(keys, starts, inside)`` as ``byte_grams``, for contexts of ``order``
+    bytes. The key has the nearest byte of the context on top and the byte
+    itself at the bottom, so sorted keys hold every context's branch together."""
+    buf = np.frombuffer(b"".join(b"\0" * order + t for t in texts), dtype=np.uint8).astype(np.uint64)
+    keys = np.zeros(len(buf), dtype=np.uint64)
+    for k in range(1, order + 1):
+        keys[k:] |= buf[:-k] << np.uint64(8 * (order + 1 - k))
+    keys |= buf
+    starts = np.cumsum([0, *(len(t) + order for t in texts)])[:-1]
+    inside = np.ones(len(buf), dtype=bool)
+    for k in range(order):
+        inside[starts + k] = False
+    return keys, starts, inside
+
+
+def by_bucket(keys: np.ndarray, order: int, n_buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Order of sorted ``keys`` by bucket, and ``(bucket, from, to)`` therein.
+    The bucket is a hash of the last three bytes of the context."""
+    h = mix((keys >> np.uint64(8 * (order - 2))) + np.uint64(1))
+    place = np.argsort(h, kind="stable")
+    return place, list(bucket_ranges(h[place], n_buckets))
+
+
+class LowTrie:
+    """The broadcast part of the model: costs, counts and sums to order 2."""
+
+    def __init__(self, gram: np.ndarray, n: np.ndarray) -> None:
+        order = np.argsort(gram)
+        self.gram, self.n = gram[order].astype(np.int64), n[order].astype(np.int64)
+        self.costs = trie_costs(gram, n)
+        self.total = np.bincount(self.gram >> 8, self.n, 1 << 16)
+        self.distinct = np.bincount(self.gram >> 8, minlength=1 << 16)
+
+    def counts(self, code: np.ndarray) -> np.ndarray:
+        if not len(self.gram):
+            return np.zeros(len(code), np.int64)
+        at = np.minimum(np.searchsorted(self.gram, code), len(self.gram) - 1)
+        return np.where(self.gram[at] == code, self.n[at], 0)
+
+
+_low: dict[str, LowTrie] = {}  # of the last model, as a worker serves many buckets
+
+
+def low_trie(name: str, gram: np.ndarray, n: np.ndarray) -> LowTrie:
+    if name not in _low:
+        _low.clear()
+        _low[name] = LowTrie(gram, n)
+    return _low[name]
+
+
+def _logs(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    return np.log10(part / np.maximum(whole, 1), where=part > 0, out=np.zeros(len(part)))
+
+
+def gram_costs(keys: np.ndarray, n: np.ndarray, order: int, low: LowTrie) -> np.ndarray:
+    """log10 probability of the byte of each of the sorted, distinct ``keys``
+    after its context, where ``n`` are their training counts. The keys must
+    hold all of the model above each three-byte context they have.
+
+    Counts of a context include those of any longer one, so what is excluded
+    from a context are just the symbols of the next longer one. ``free`` is the
+    cost where the search begins at the order reached, ``left`` the cost after
+    an escape from the next longer context."""
+    at = keys.astype(np.int64)
+    code = ((at >> (8 * (order - 1))) & 255) << 16 | ((at >> (8 * order)) & 255) << 8 | at & 255
+    free = low.costs[code].astype(np.float64)
+    total, distinct, count = low.total[code >> 8], low.distinct[code >> 8], low.counts(code)
+    # what is below order 2, when order 2 was left by an escape
+    left = free - _logs(distinct, total + distinct)
+    for k in range(3, order + 1):
+        gram, inside = np.unique((keys >> np.uint64(8 * (order + 1 - k))) << np.uint64(8) | keys & np.uint64(255),
+                                 return_inverse=True)
+        own = np.bincount(inside, n, len(gram))
+        starts = group_starts(gram >> np.uint64(8))
+        context = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(gram))))
+        shorter = np.zeros(len(gram))
+        shorter[inside] = count  # of the same symbol after the next shorter context
+        sums = [np.add.reduceat(x, starts)[context][inside] for x in (own, own > 0, np.where(own > 0, shorter, 0.0))]
+        own_total, own_distinct, excluded = (x.astype(np.float64) for x in sums)
+        rest, kinds = total - excluded, distinct - own_distinct  # of the shorter context, without this one's symbols
+        left = np.where(count > 0, _logs(count, rest + kinds), _logs(kinds, rest + kinds) + left)
+        total, distinct, count = own_total, own_distinct, own[inside]
+        free = np.where(total == 0, free, np.where(count > 0, _logs(count, total + distinct),
+                                                   _logs(distinct, total + distinct) + left))
+    return free
+
+
 # --- words ------------------------------------------------------------------------
 
 COUNTS = "bucket int, words long, distinct_words long, all_words long, data binary"
@@ -172,13 +268,16 @@ def heavy_words(counts: DataFrame, all_words: int) -> tuple[np.ndarray, np.ndarr
 
 SUMS = "rid long, doc_id long, n_tokens long, n_known long, word_sum double, score double"
 SUM_NAMES = ["rid", "doc_id", "n_tokens", "n_known", "word_sum", "score"]
-PARTS = f"bucket int, first long, {SUMS}, data binary"
+SENT = "text binary, data binary, grams binary"  # own rows have the text, sent rows data or grams
+SENT_NAMES = ["text", "data", "grams"]
 
 
-def score_documents(docs: DataFrame, train: Column) -> DataFrame:
+def score_documents(docs: DataFrame, train: Column, order: int = ORDER) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` for each
     row of ``docs`` (``doc_id``, ``text``), learned from the rows where
-    ``train`` holds."""
+    ``train`` holds. ``order`` is the bytes of the longest context."""
+    if not ORDER <= order <= MAX_ORDER:
+        raise ValueError(f"order must be from {ORDER} to {MAX_ORDER}")
     sc = docs.sparkSession.sparkContext
     n_buckets = buckets_for(docs)
     trie = train_trie(docs.filter(train))
@@ -187,17 +286,33 @@ def score_documents(docs: DataFrame, train: Column) -> DataFrame:
     words, distinct, all_words = (int(x or 0) for x in total)
     n_train = docs.filter(train).count()  # one end token each
     heavy = heavy_words(counts, all_words)
-    model = sc.broadcast((*trie, *heavy))
+    model = sc.broadcast(((uuid.uuid4().hex, *trie), heavy))
     n, v = words + n_train, distinct + (n_train > 0)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram, times, heavy_h, heavy_c = model.value
-        costs = trie_costs(gram, times)
+        trie, (heavy_h, heavy_c) = model.value
+        costs = low_trie(*trie).costs
         heavy_log = np.log10(heavy_c + 0.1)
         for part in slices(batches):
             texts = encoded(part)
-            codes, starts, inside = byte_grams(texts)
-            spent = np.add.reduceat(np.where(inside, costs[codes], np.float32(0)).astype(np.float64), starts)
+            is_train = np.asarray(part.column(3))
+            sent: dict[int, list] = {}  # bucket -> packed words, packed grams
+            if order == ORDER:
+                codes, starts, inside = byte_grams(texts)
+                spent = np.add.reduceat(np.where(inside, costs[codes], np.float32(0)).astype(np.float64), starts)
+            else:
+                spent = np.zeros(len(texts))  # the slice adds up its answers
+                keys, starts, inside = context_keys(texts, order)
+                learned = inside & np.repeat(is_train, np.diff(np.append(starts, len(keys))))
+                learned, n_learned = np.unique(keys[learned], return_counts=True)
+                keys = np.unique(keys[inside])
+                count = np.zeros(len(keys), np.int64)
+                count[np.searchsorted(keys, learned)] = n_learned
+                place, ranges = by_bucket(keys, order, n_buckets)
+                keys, count = keys[place], count[place]
+                for b, lo, hi in ranges:
+                    inner = np.argsort(keys[lo:hi])
+                    sent[b] = [None, pack(keys[lo:hi][inner], narrow(count[lo:hi][inner]))]
             h, per = word_hashes([t.lower() for t in texts])
             doc = np.repeat(np.arange(len(texts)), per)
             at = np.searchsorted(heavy_h, h)
@@ -214,30 +329,25 @@ def score_documents(docs: DataFrame, train: Column) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(k, (first + (first >> 33)) % n_buckets, np.int32)), pa.array(np.full(k, first)), pa.array(rid),
                  part.column(1), pa.array(per + 1), pa.array(known), pa.array(logs), pa.array(spent),
-                 pa.nulls(k, pa.binary())], names=["bucket", "first", *SUM_NAMES, "data"])
+                 pa.array(texts, pa.binary()) if order > ORDER else pa.array([b""] * k, pa.binary()),
+                 *[pa.nulls(k, pa.binary())] * 2], names=["bucket", "first", *SUM_NAMES, *SENT_NAMES])
             h, doc = h[~common], doc[~common]
-            order = np.lexsort((doc, h))
-            h, doc = h[order], doc[order]
+            by_word = np.lexsort((doc, h))
+            h, doc = h[by_word], doc[by_word]
             at = group_starts(h, doc)
-            if not len(at):
-                continue
             n_here = np.diff(np.append(at, len(h)))
-            is_train = np.asarray(part.column(3))[doc[at]]
-            rows = list(_bucket_rows(h[at], [rid[doc[at]] - first, n_here * 2 + is_train], n_buckets))
-            m = len(rows)
-            empty = [pa.nulls(m, t) for t in (*[pa.int64()] * 4, pa.float64(), pa.float64())]
+            words = _bucket_rows(h[at], [rid[doc[at]] - first, n_here * 2 + is_train[doc[at]]], n_buckets)
+            for b, data in words if len(at) else ():
+                sent.setdefault(b, [None, None])[0] = data
+            m = len(sent)
+            empty = [pa.nulls(m, t) for t in (*[pa.int64()] * 4, pa.float64(), pa.float64(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), pa.array([first] * m, pa.int64()), *empty,
-                 pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "first", *SUM_NAMES, "data"])
+                [pa.array(list(sent), pa.int32()), pa.array([first] * m, pa.int64()), *empty,
+                 *(pa.array([x[i] for x in sent.values()], pa.binary()) for i in range(2))],
+                names=["bucket", "first", *SUM_NAMES, *SENT_NAMES])
 
-    def meet(group: pa.Table) -> pa.Table:
-        """Words meet their counts; one row per slice takes the sums back."""
-        group = group.select(["first", *SUM_NAMES, "data"])
-        own = group.filter(pc.is_null(group.column("data")))
-        sent = group.filter(pc.is_valid(group.column("data")))
-        if not sent.num_rows:
-            return own
-        lists = [unpack(d, 2) for d in sent.column("data").to_pylist()]
+    def add_words(sent: list[bytes]) -> list[bytes]:
+        lists = [unpack(d, 2) for d in sent]
         h, doc, times = (np.concatenate([x[i] for x in lists]) for i in range(3))
         times = times.astype(np.int64)
         order = np.argsort(h, kind="stable")
@@ -252,26 +362,63 @@ def score_documents(docs: DataFrame, train: Column) -> DataFrame:
             ids, inside = np.unique(doc[where].astype(np.int64), return_inverse=True)
             back.append(ids.tobytes() + np.bincount(inside, known[where], len(ids)).tobytes()
                         + np.bincount(inside, logs[where], len(ids)).tobytes())
-        n_sent = len(back)
-        empty = [pa.nulls(n_sent, t) for t in (*[pa.int64()] * 4, pa.float64(), pa.float64())]
-        return pa.concat_tables([own, pa.table([sent.column("first"), *empty, pa.array(back, pa.binary())],
-                                               names=own.column_names)])
+        return back
+
+    def cost_grams(sent: list[bytes]) -> list[bytes]:
+        lists = [unpack(d, 1) for d in sent]
+        keys, inside = np.unique(np.concatenate([x[0] for x in lists]), return_inverse=True)
+        n = np.bincount(inside, np.concatenate([x[1] for x in lists]), len(keys))
+        costs = gram_costs(keys, n, order, low_trie(*model.value[0])).astype(np.float32)[inside]
+        ends = np.cumsum([len(x[0]) for x in lists])
+        return [planes(costs[e - len(x[0]):e]) for x, e in zip(lists, ends)]
+
+    def meet(group: pa.Table) -> pa.Table:
+        """Words and grams meet their counts; one row per slice takes the sums
+        and costs back."""
+        group = group.select(["bucket", "first", *SUM_NAMES, *SENT_NAMES])
+        own = group.filter(pc.is_valid(group.column("text")))
+        sent = group.filter(pc.is_null(group.column("text")))
+        if not sent.num_rows:
+            return own
+        back = {}
+        for name, answer in (("data", add_words), ("grams", cost_grams)):
+            asked = sent.column(name).to_pylist()
+            given = iter(answer([x for x in asked if x is not None]) if any(x is not None for x in asked) else ())
+            back[name] = pa.array([None if x is None else next(given) for x in asked], pa.binary())
+        for name, column in back.items():
+            sent = sent.set_column(sent.schema.get_field_index(name), name, column)
+        return pa.concat_tables([own, sent])
 
     def total(group: pa.Table) -> pa.Table:
-        own = group.filter(pc.is_null(group.column("data"))).select(SUM_NAMES).combine_chunks()
+        is_own = pc.is_valid(group.column("text"))
+        own, sent = group.filter(is_own).combine_chunks(), group.filter(pc.invert(is_own))
+        texts, own = own.column("text").to_pylist(), own.select(SUM_NAMES)
         place = own.column("rid").to_numpy() - group.column("first")[0].as_py()
-        order = np.argsort(place)
+        by_place = np.argsort(place)
         known, logs = own.column("n_known").to_numpy().astype(np.float64), own.column("word_sum").to_numpy().copy()
-        for data in group.filter(pc.is_valid(group.column("data"))).column("data").to_pylist():
+        for data in sent.column("data").drop_null().to_pylist():
             ids, more_known, more = np.frombuffer(data, dtype=np.int64).reshape(3, -1)
-            at = order[np.searchsorted(place, ids, sorter=order)]
+            at = by_place[np.searchsorted(place, ids, sorter=by_place)]
             known[at] += more_known.view(np.float64)
             logs[at] += more.view(np.float64)
-        return own.set_column(3, "n_known", pa.array(known.astype(np.int64))).set_column(4, "word_sum", pa.array(logs))
+        own = own.set_column(3, "n_known", pa.array(known.astype(np.int64))).set_column(4, "word_sum", pa.array(logs))
+        if order == ORDER:
+            return own
+        answers = dict(zip(sent.column("bucket").to_pylist(), sent.column("grams").to_pylist()))
+        keys, starts, inside = context_keys(texts, order)
+        spent = np.zeros(len(keys))
+        keys, back = np.unique(keys[inside], return_inverse=True)
+        costs = np.empty(len(keys))
+        rank, ranges = by_bucket(keys, order, n_buckets)
+        for b, lo, hi in ranges:
+            costs[np.sort(rank[lo:hi])] = unplanes(memoryview(answers[b]), hi - lo, "<f4")[0]
+        spent[inside] = costs[back]
+        return own.set_column(5, "score", pa.array(np.add.reduceat(spent, starts)))
 
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text",
                        F.coalesce(train, F.lit(False)).alias("is_train"))
-    per_doc = rows.mapInArrow(post, PARTS).groupBy("bucket").applyInArrow(meet, f"first long, {SUMS}, data binary") \
+    parts = f"bucket int, first long, {SUMS}, {SENT}"
+    per_doc = rows.mapInArrow(post, parts).groupBy("bucket").applyInArrow(meet, parts) \
         .groupBy("first").applyInArrow(total, SUMS)
     end_log, floor = float(np.log10(n_train + 0.1)), float(np.log10(n + 0.1 * (v + 1)))
     return per_doc.select(

@@ -194,6 +194,75 @@ def test_scores_match_brute_force(spark):
         assert r.score == pytest.approx(ppm(by[r.doc_id]), rel=1e-4, abs=1e-4)
 
 
+def brute_ppm_of(texts, order):
+    counts = [defaultdict(Counter) for _ in range(order + 1)]
+    for x in texts:
+        y = b"\0" * order + x
+        for i in range(order, len(y)):
+            for k in range(order + 1):
+                counts[k][y[i - k:i]][y[i]] += 1
+
+    def log10(context, symbol):
+        out, p = set(), 1.0
+        for k in range(order, -1, -1):
+            seen = {s: c for s, c in counts[k].get(context[order - k:], {}).items() if s not in out}
+            total, distinct = sum(seen.values()), len(seen)
+            if total:
+                if symbol in seen:
+                    return math.log10(p * seen[symbol] / (total + distinct))
+                p *= distinct / (total + distinct)
+            out |= set(seen)
+        return math.log10(p / (256 - len(out)))
+
+    return lambda x: sum(log10((b"\0" * order + x)[i:i + order], x[i]) for i in range(len(x)))
+
+
+@pytest.mark.parametrize("order", [3, 5, 7])
+def test_long_contexts_match_brute_force(spark, monkeypatch, order):
+    monkeypatch.setattr(lm, "buckets_for", lambda df: 16)
+    table = [r for r in rows(4, 20) if r[0] is not None and (r[1] is None or len(r[1]) < 3000)]
+    table += [(40_000, "\0\0a \U0001f600\xff", "", ""), (40_001, "\0\0a \U0001f600\xfe", "", "")]
+    table = list(dict.fromkeys(table)) + [table[0]]
+    got = lm.score_documents(documents(spark, table), crc_fold(F.col("doc_id"), 4) != 0, order).collect()
+    ppm = brute_ppm_of([(t or "").encode() for i, t, *_ in table if zlib.crc32(str(i).encode()) % 4], order)
+    by = {i: (t or "").encode() for i, t, *_ in table}
+    assert len(got) == len(table)
+    for r in got:
+        assert r.score == pytest.approx(ppm(by[r.doc_id]), rel=1e-5, abs=1e-4)
+
+
+def test_long_contexts_are_a_distribution():
+    keys, _, inside = lm.context_keys([b"abracadabra", b"banana \xc3\xa9", b""], 5)
+    trained, n = np.unique(keys[inside], return_counts=True)
+    codes, _, real = lm.byte_grams([b"abracadabra", b"banana \xc3\xa9", b""])
+    low = lm.LowTrie(*np.unique(codes[real], return_counts=True))
+    for context in (b"abrac", b"zzabr", b"xxxan", b"\0\0\0\0\0", b"qqqqq"):
+        top = int.from_bytes(context[::-1], "big") << 8
+        asked = np.array([top | s for s in range(256)], dtype=np.uint64)
+        every = np.unique(np.concatenate([trained, asked]))
+        count = np.zeros(len(every))
+        count[np.searchsorted(every, trained)] = n
+        costs = lm.gram_costs(every, count, 5, low)[np.searchsorted(every, asked)]
+        assert (10.0 ** costs).sum() == pytest.approx(1.0, abs=1e-4)
+
+
+def test_the_query_scores_long_contexts(spark, monkeypatch):
+    """The query's score is that of its long order: a learned passage costs less than by trigrams."""
+    words = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu") for b in ("ra", "so", "ti", "ve")]
+    rng = random.Random(5)
+    train = [(k, " ".join(rng.choices(words, k=60)), "", "") for k in range(60)]
+    passage = " ".join(rng.sample(words, 16))
+    same = [k for k in range(100, 200) if zlib.crc32(str(k).encode()) % 10 == 0][:1]
+    table = train + [(k, passage, "", "") for k in range(60, 100) if zlib.crc32(str(k).encode()) % 10] + [
+        (same[0], passage, "", "")]
+    monkeypatch.setattr(catalog, "table", lambda *a: documents(spark, table, extra=False))
+    got = {r.doc_id: r for r in catalog.QUERIES["op9_ppm_score"](spark, "").collect()}
+    used = [t.encode() for i, t, *_ in table if zlib.crc32(str(i).encode()) % 10]
+    assert got[same[0]].held_out
+    assert got[same[0]].score == pytest.approx(brute_ppm_of(used, catalog.PPM_ORDER)(passage.encode()), rel=1e-5)
+    assert got[same[0]].score > 0.9 * brute_ppm(used)(passage.encode())
+
+
 def test_ppm_is_a_distribution():
     codes, _, inside = lm.byte_grams([b"abracadabra", b"banana \xc3\xa9", b""])
     gram, n = np.unique(codes[inside], return_counts=True)
