@@ -38,14 +38,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import (bucket_ranges, buckets_for, cut, encoded, group_starts, mix, narrow, pack, planes,
-                                slices, unpack, unplanes, word_hashes)
+from tessera.llm.common import (SLICE_BYTES, bucket_ranges, buckets_for, cut, encoded, group_starts, mix, narrow, pack,
+                                planes, slices, unpack, unplanes, word_hashes)
 
 ORDER = 2  # of the broadcast trie, and the default
 MAX_ORDER = 7  # a gram is a 64-bit key
+LONG_SLICE = 4 << 20  # bytes of a slice that sends grams: fewer distinct ones per byte
+RUN_BYTES = 1 << 20  # keys are made for so many bytes at a time
 HEAVY_BITS = 17
 GRAMS = "gram int, n long"
 
@@ -118,11 +121,10 @@ def context_keys(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray
     """``(keys, starts, inside)`` as ``byte_grams``, for contexts of ``order``
     bytes. The key has the nearest byte of the context on top and the byte
     itself at the bottom, so sorted keys hold every context's branch together."""
-    buf = np.frombuffer(b"".join(b"\0" * order + t for t in texts), dtype=np.uint8).astype(np.uint64)
-    keys = np.zeros(len(buf), dtype=np.uint64)
+    buf = np.frombuffer(b"".join(b"\0" * order + t for t in texts), dtype=np.uint8)
+    keys = buf.astype(np.uint64)
     for k in range(1, order + 1):
-        keys[k:] |= buf[:-k] << np.uint64(8 * (order + 1 - k))
-    keys |= buf
+        keys[k:] |= buf[:-k].astype(np.uint64) << np.uint64(8 * (order + 1 - k))
     starts = np.cumsum([0, *(len(t) + order for t in texts)])[:-1]
     inside = np.ones(len(buf), dtype=bool)
     for k in range(order):
@@ -130,6 +132,34 @@ def context_keys(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray
     return keys, starts, inside
 
 
+def text_runs(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about ``RUN_BYTES`` (one text at least)."""
+    a = size = 0
+    for b, t in enumerate(texts):
+        if b > a and size + len(t) > RUN_BYTES:
+            yield a, b
+            a, size = b, 0
+        size += len(t)
+    yield a, len(texts)
+
+
+def distinct_keys(texts: list[bytes], is_train: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of ``texts``, sorted, with their training counts."""
+    every, learned, times = [], [], []
+    for a, b in text_runs(texts):
+        keys, starts, inside = context_keys(texts[a:b], order)
+        of_train = inside & np.repeat(is_train[a:b], np.diff(np.append(starts, len(keys))))
+        every.append(np.unique(keys[inside]))
+        found, n = np.unique(keys[of_train], return_counts=True)
+        learned.append(found)
+        times.append(n)
+    keys = np.unique(np.concatenate(every))
+    count = np.zeros(len(keys), np.int64)
+    for found, n in zip(learned, times):
+        count[np.searchsorted(keys, found)] += n
+    return keys, count
+
+
 def by_bucket(keys: np.ndarray, order: int, n_buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """Order of sorted ``keys`` by bucket, and ``(bucket, from, to)`` therein.
     The bucket is a hash of the last three bytes of the context."""
@@ -268,10 +298,22 @@ def heavy_words(counts: DataFrame, all_words: int) -> tuple[np.ndarray, np.ndarr
 
 SUMS = "rid long, doc_id long, n_tokens long, n_known long, word_sum double, score double"
 SUM_NAMES = ["rid", "doc_id", "n_tokens", "n_known", "word_sum", "score"]
-SENT = "text binary, data binary, grams binary"  # own rows have the text, sent rows data or grams
+SENT = "text binary, data binary, grams binary"  # own rows have text (the slice's first one all), sent rows the others
 SENT_NAMES = ["text", "data", "grams"]
 
 
+def squeezed(texts: list[bytes]) -> bytes:
+    head = np.array([len(texts), *map(len, texts)], dtype=np.int64).tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(texts))
+
+
+def unsqueezed(data: bytes) -> list[bytes]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    k = int(np.frombuffer(raw, np.int64, 1)[0])
+    ends = np.cumsum(np.frombuffer(raw, np.int64, k, 8)) + 8 * (k + 1)
+    return [raw[a:b] for a, b in zip([8 * (k + 1), *ends[:-1]], ends)]
+
+
 def score_documents(docs: DataFrame, train: Column, order: int = ORDER) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` for each
     row of ``docs`` (``doc_id``, ``text``), learned from the rows where
@@ -293,7 +335,7 @@ def score_documents(docs: DataFrame, train: Column, order: int = ORDER) -> DataF
         trie, (heavy_h, heavy_c) = model.value
         costs = low_trie(*trie).costs
         heavy_log = np.log10(heavy_c + 0.1)
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE_BYTES if order == ORDER else LONG_SLICE):
             texts = encoded(part)
             is_train = np.asarray(part.column(3))
             sent: dict[int, list] = {}  # bucket -> packed words, packed grams
@@ -302,12 +344,7 @@ def score_documents(docs: DataFrame, train: Column, order: int = ORDER) -> DataF
                 spent = np.add.reduceat(np.where(inside, costs[codes], np.float32(0)).astype(np.float64), starts)
             else:
                 spent = np.zeros(len(texts))  # the slice adds up its answers
-                keys, starts, inside = context_keys(texts, order)
-                learned = inside & np.repeat(is_train, np.diff(np.append(starts, len(keys))))
-                learned, n_learned = np.unique(keys[learned], return_counts=True)
-                keys = np.unique(keys[inside])
-                count = np.zeros(len(keys), np.int64)
-                count[np.searchsorted(keys, learned)] = n_learned
+                keys, count = distinct_keys(texts, is_train, order)
                 place, ranges = by_bucket(keys, order, n_buckets)
                 keys, count = keys[place], count[place]
                 for b, lo, hi in ranges:
@@ -329,7 +366,7 @@ def score_documents(docs: DataFrame, train: Column, order: int = ORDER) -> DataF
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(k, (first + (first >> 33)) % n_buckets, np.int32)), pa.array(np.full(k, first)), pa.array(rid),
                  part.column(1), pa.array(per + 1), pa.array(known), pa.array(logs), pa.array(spent),
-                 pa.array(texts, pa.binary()) if order > ORDER else pa.array([b""] * k, pa.binary()),
+                 pa.array([b"" if order == ORDER else squeezed(texts), *[b""] * (k - 1)], pa.binary()),
                  *[pa.nulls(k, pa.binary())] * 2], names=["bucket", "first", *SUM_NAMES, *SENT_NAMES])
             h, doc = h[~common], doc[~common]
             by_word = np.lexsort((doc, h))
@@ -392,7 +429,7 @@ def score_documents(docs: DataFrame, train: Column, order: int = ORDER) -> DataF
     def total(group: pa.Table) -> pa.Table:
         is_own = pc.is_valid(group.column("text"))
         own, sent = group.filter(is_own).combine_chunks(), group.filter(pc.invert(is_own))
-        texts, own = own.column("text").to_pylist(), own.select(SUM_NAMES)
+        packed, own = max(own.column("text").to_pylist(), key=len), own.select(SUM_NAMES)
         place = own.column("rid").to_numpy() - group.column("first")[0].as_py()
         by_place = np.argsort(place)
         known, logs = own.column("n_known").to_numpy().astype(np.float64), own.column("word_sum").to_numpy().copy()
@@ -405,15 +442,19 @@ def score_documents(docs: DataFrame, train: Column, order: int = ORDER) -> DataF
         if order == ORDER:
             return own
         answers = dict(zip(sent.column("bucket").to_pylist(), sent.column("grams").to_pylist()))
-        keys, starts, inside = context_keys(texts, order)
-        spent = np.zeros(len(keys))
-        keys, back = np.unique(keys[inside], return_inverse=True)
+        texts = unsqueezed(packed)
+        keys, _ = distinct_keys(texts, np.zeros(len(texts), dtype=bool), order)
         costs = np.empty(len(keys))
         rank, ranges = by_bucket(keys, order, n_buckets)
         for b, lo, hi in ranges:
             costs[np.sort(rank[lo:hi])] = unplanes(memoryview(answers[b]), hi - lo, "<f4")[0]
-        spent[inside] = costs[back]
-        return own.set_column(5, "score", pa.array(np.add.reduceat(spent, starts)))
+        score = np.empty(len(texts))
+        for a, b in text_runs(texts):
+            wanted, starts, inside = context_keys(texts[a:b], order)
+            spent = np.zeros(len(wanted))
+            spent[inside] = costs[np.searchsorted(keys, wanted[inside])]
+            score[by_place[a:b]] = np.add.reduceat(spent, starts)
+        return own.set_column(5, "score", pa.array(score))
 
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text",
                        F.coalesce(train, F.lit(False)).alias("is_train"))
