@@ -40,6 +40,7 @@ OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.stri
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("head script style noscript template form button select option textarea iframe object svg "
                     "canvas audio video map nav footer aside menu dialog".split())
+METADATA = frozenset("base basefont bgsound link meta noframes noscript script style template title head".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt "
                    "ruby s samp small span strike strong sub sup time tt u var wbr".split())
 SECTIONS = frozenset("body article main section div td center fieldset blockquote".split())
@@ -82,6 +83,8 @@ class _Lines(HTMLParser):
                 self.tags = 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        while self.stack[-1][0] == "head" and tag not in METADATA:  # </head> may be left out
+            self.end("head")
         _, dropped, region, article = self.stack[-1]
         if not dropped:
             self.tags += 1
@@ -122,6 +125,8 @@ class _Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        while self.stack[-1][0] == "head" and data.strip():
+            self.end("head")
         if not self.stack[-1][1]:
             self.parts.append(data)
 

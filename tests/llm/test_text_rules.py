@@ -247,6 +247,21 @@ def test_html_main_text(spark):
     assert html.extract_main_text(df.limit(0)).count() == 0
 
 
+LONG = "<p>" + "A long paragraph of the story. " * 5 + "</p>"
+
+
+def main_text(source):
+    return html.main_lines(html.page_lines(source))
+
+
+def test_html_head_left_open():
+    want = [("A long paragraph of the story. " * 5).strip()]
+    for start in ("<html><head><title>T</title><body>", "<head><meta charset=x><script>1<2</script>", "<head><head><title>T</title><body>",
+                  "<head><title>T</title><noscript><p>no</p></noscript><body>", "<head><title>T</title></head><body>"):
+        assert main_text(start + LONG) == want, start
+    assert main_text("<head><title>T</title>text at once" + LONG)[-1:] == want
+
+
 def test_html_smoothing_keeps_constant_and_sums_to_one():
     assert html.smoothed([3.0] * 7, 1.0) == pytest.approx([3.0] * 7)
     assert html.smoothed([0, 0, 0, 1.0, 0, 0, 0], 1.0)[3] == max(html.smoothed([0, 0, 0, 1.0, 0, 0, 0], 1.0))
