@@ -5,9 +5,13 @@ itself and near one when it is noise. The ratio of clean prose grows with the
 length of the text, so the limits go by length. Each text is judged twice:
 
 * the whole document against the band of its length;
-* fixed chunks of ``chunk_bytes`` bytes, each compressed alone against the
-  band of a chunk, so a repeated or random part of a long text is seen; the
-  document fails when more than ``max_bad_chunks`` of its chunks fail.
+* fixed chunks of ``part_bytes`` and again of ``chunk_bytes`` bytes (noise shows
+  in short ones, a repeated long line only in long ones), each compressed alone against the
+  band of a chunk, so a repeated or random part of a text is seen; the last
+  chunk reaches back from the end, so every byte is judged. A text up to
+  ``part_bytes`` is one chunk, one up to ``chunk_bytes`` has no long chunk
+  besides itself. The document fails when more than ``max_bad_chunks`` of its
+  chunks of one size fail.
 
 Texts below ``min_bytes`` are too short for a ratio to mean anything and pass
 this test (the word count rule of the base statistics sees to them).
@@ -43,10 +47,11 @@ SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lin
 @dataclass(frozen=True)
 class CompressionBands:
     """Limits of the method: ``bands`` by length, ``level`` of the compressor,
-    ``chunk_bytes`` per chunk and the share of bad chunks that is accepted."""
+    ``part_bytes`` and ``chunk_bytes`` per chunk and the share of bad chunks that is accepted."""
     bands: tuple = BANDS
     level: int = 3
     min_bytes: int = 128
+    part_bytes: int = 512
     chunk_bytes: int = 4096
     max_bad_chunks: float = 0.2
 
@@ -55,6 +60,12 @@ class CompressionBands:
         return low <= ratio <= high
 
 
+def chunks(data: bytes, size: int) -> list[bytes]:
+    """``data`` in chunks of ``size`` bytes, the last one overlapping to the end."""
+    last = max(0, len(data) - size)
+    return [data[a:a + size] for a in (*range(0, last, size), last)] if data else []
+
+
 def repeated_words(words: list[bytes]) -> int:
     """Words inside three-word windows that occur at least twice in ``words``."""
     windows = list(zip(words, words[1:], words[2:]))
@@ -95,13 +106,14 @@ def compression_quality(docs: DataFrame, limits: CompressionBands = CompressionB
                 stats = base_stats(text, data)
                 size = len(data)
                 ratio = size / len(press.compress(data)) if size else 1.0
-                n_chunks = size // limits.chunk_bytes  # the whole-text band covers a short rest
-                bad = sum(not limits.within(limits.chunk_bytes, limits.chunk_bytes / len(press.compress(
-                    data[k * limits.chunk_bytes:(k + 1) * limits.chunk_bytes]))) for k in range(n_chunks))
+                sets = [chunks(data, limits.part_bytes)]
+                if size > limits.chunk_bytes:
+                    sets.append(chunks(data, limits.chunk_bytes))
+                bad = [sum(not limits.within(len(c), len(c) / len(press.compress(c))) for c in cuts) for cuts in sets]
                 failed = stats[0] < 50 or 100 * stats[4] > 50 * stats[0]
                 fine = size < limits.min_bytes or (limits.within(size, ratio) and
-                                                   bad <= limits.max_bad_chunks * n_chunks)
-                rows.append((doc_id, *stats, failed, not failed and fine, ratio, n_chunks, bad))
+                                                   all(b <= limits.max_bad_chunks * len(c) for b, c in zip(bad, sets)))
+                rows.append((doc_id, *stats, failed, not failed and fine, ratio, sum(map(len, sets)), sum(bad)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), OUT)], schema=OUT)
 
     return docs.select("doc_id", "text").mapInArrow(judge, SCHEMA)

@@ -73,6 +73,20 @@ def test_quality_bands(spark):
     assert all(r.kept != r.base_failed for r in only_base)
 
 
+def test_quality_judges_every_byte(spark):
+    assert quality.chunks(b"", 4) == [] and quality.chunks(b"abc", 4) == [b"abc"] and quality.chunks(b"abcd", 4) == [b"abcd"]
+    assert quality.chunks(b"abcdefghij", 4) == [b"abcd", b"efgh", b"ghij"]
+    rng = random.Random(6)
+    syllables = [a + b + c for a in "tmlskpdr" for b in "aeiou" for c in ("", "n", "s", "r")]
+    prose = " ".join("".join(rng.choices(syllables, k=rng.randint(1, 3))) for _ in range(4000))
+    noise = "".join(chr(rng.randint(33, 126)) for _ in range(4000))
+    table = [(1, prose[:3000], "", ""), (2, prose[:1800] + noise[:1200], "", ""), (3, prose[:8191], "", ""),
+             (4, prose[:4915] + noise[:3276], "", "")]
+    got = {r.doc_id: r for r in quality.compression_quality(documents(spark, table)).collect()}
+    assert {k: r.kept for k, r in got.items()} == {1: True, 2: False, 3: True, 4: False}
+    assert {k: r.n_chunks for k, r in got.items()} == {1: 6, 2: 6, 3: 18, 4: 18}
+
+
 # --- language ----------------------------------------------------------------------------
 
 WORDS = {"aa": "the of and that with from this have river stone".split(),
