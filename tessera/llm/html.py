@@ -12,9 +12,11 @@ the neighbouring lines; lines above the spread (standard deviation) of the
 smoothed ratios are content. Lines are then clustered by the sectioning
 element they share: a region is kept whole when enough of its text lies on
 content lines, so a short paragraph inside the article stays and a long one in
-a link list goes. If the page marks an ``article`` or ``main`` element, only
-regions inside it stand for election. The region with the most content text
-is always kept.
+a link list goes. An ``article``, or a ``main`` without one, is one region, so its
+tables, quotes and short blocks stay. If the page marks such an element, only
+regions inside an ``article`` or ``main`` stand for election. The region with
+the most content text is always kept, and with it what lies inside it unless
+it is the body.
 
 Defined results: null or empty html, and pages without any eligible line, give
 the empty text. Repeated rows give equal rows; other columns are not read.
@@ -43,7 +45,7 @@ DROPPED = frozenset("head script style noscript template form button select opti
 METADATA = frozenset("base basefont bgsound link meta noframes noscript script style template title head".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt "
                    "ruby s samp small span strike strong sub sup time tt u var wbr".split())
-SECTIONS = frozenset("body article main section div td center fieldset blockquote".split())
+SECTIONS = frozenset("body article main section div td center fieldset".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr "
                      "main menu nav ol p pre section table ul".split())
 MARKED = re.compile(
@@ -71,7 +73,8 @@ class _Lines(HTMLParser):
         self.stack: list[tuple[str, bool, int, bool]] = [("", False, 0, False)]  # tag, dropped, region, article
         self.parts: list[str] = []
         self.tags = 0
-        self.regions = 0
+        self.parents = [0]  # of each region, and its element
+        self.kinds = [""]
 
     def flush(self) -> None:
         if self.parts:
@@ -105,8 +108,9 @@ class _Lines(HTMLParser):
                 k in ("class", "id", "role") and v and MARKED.search(v) for k, v in attrs if tag not in ("html", "body"))
             article = article or tag in ("article", "main")
             if tag in SECTIONS:
-                self.regions += 1
-                region = self.regions
+                self.parents.append(region)
+                self.kinds.append(tag)
+                region = len(self.kinds) - 1
         self.stack.append((tag, dropped, region, article))
 
     def handle_endtag(self, tag: str) -> None:
@@ -131,7 +135,23 @@ class _Lines(HTMLParser):
             self.parts.append(data)
 
 
-def page_lines(html: str) -> list[tuple[str, int, int, bool]]:
+def containers(parents: list[int], kinds: list[str]) -> list[int]:
+    """For each region the outermost article around it, or else the outermost
+    main if that holds no article, or else itself."""
+    with_article = set()
+    for r in range(len(kinds) - 1, 0, -1):  # inner regions come later
+        if kinds[r] == "article" or r in with_article:
+            with_article.add(parents[r])
+    out = [0]
+    for r in range(1, len(kinds)):
+        up = out[parents[r]]
+        whole = kinds[up] == "article" or (kinds[up] == "main" and up not in with_article)
+        out.append(up if whole else r)
+    return out
+
+
+def page_lines(html: str) -> tuple[list[tuple[str, int, int, bool]], list[int]]:
+    """The lines and, for each region, the region around it (0 and body have none)."""
     parser = _Lines()
     try:
         parser.feed(html)
@@ -139,7 +159,9 @@ def page_lines(html: str) -> list[tuple[str, int, int, bool]]:
     except AssertionError:  # the parser's own check for a malformed "<![" section
         return page_lines(html.replace("<![", "<! ["))
     parser.flush()
-    return parser.lines
+    within = containers(parser.parents, parser.kinds)
+    around = [0 if parser.kinds[p] == "body" else p for p in parser.parents]
+    return [(text, tags, within[region], article) for text, tags, region, article in parser.lines], around
 
 
 def smoothed(ratios: list[float], sigma: float) -> list[float]:
@@ -154,7 +176,8 @@ def smoothed(ratios: list[float], sigma: float) -> list[float]:
     return out
 
 
-def main_lines(lines: list[tuple[str, int, int, bool]], params: RatioParams = RatioParams()) -> list[str]:
+def main_lines(lines: list[tuple[str, int, int, bool]], around: list[int],
+               params: RatioParams = RatioParams()) -> list[str]:
     """The texts of the lines that belong to content regions, in page order."""
     if not lines:
         return []
@@ -170,6 +193,11 @@ def main_lines(lines: list[tuple[str, int, int, bool]], params: RatioParams = Ra
             content[region] = content.get(region, 0) + len(text) * (value >= limit)
     best = max(content, key=lambda r: (content[r], size[r], -r))
     kept = {r for r in size if content[r] >= params.region_share * size[r]} | {best}
+    inside = {best} - {0}
+    for r in range(best + 1, len(around)):
+        if around[r] in inside:
+            inside.add(r)
+    kept |= inside
     return [t for t, _, region, article in lines if region in kept and (article or not elect)]
 
 
@@ -181,8 +209,8 @@ def extract_main_text(pages: DataFrame, params: RatioParams = RatioParams()) ->
         for part in slices(batches, "html"):
             rows = []
             for page_id, url, html in zip(*(part.column(i).to_pylist() for i in range(3))):
-                lines = page_lines(html or "")
-                kept = main_lines(lines, params)
+                lines, around = page_lines(html or "")
+                kept = main_lines(lines, around, params)
                 text = "\n".join(kept)
                 rows.append((page_id, url, text, len(text), len(lines), len(kept)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), OUT)], schema=OUT)

@@ -265,7 +265,7 @@ LONG = "<p>" + "A long paragraph of the story. " * 5 + "</p>"
 
 
 def main_text(source):
-    return html.main_lines(html.page_lines(source))
+    return html.main_lines(*html.page_lines(source))
 
 
 def test_html_head_left_open():
@@ -276,6 +276,16 @@ def test_html_head_left_open():
     assert main_text("<head><title>T</title>text at once" + LONG)[-1:] == want
 
 
+@pytest.mark.parametrize("box", ["<article>%s</article>", "<main>%s</main>", "<div id='text'>%s</div>",
+                                 "<main><div><a href='/'>x</a></div><article><div>%s</div></article></main>"])
+def test_html_keeps_tables_quotes_and_short_blocks(box):
+    table = "<table>" + "".join("<tr>" + f"<td>cell {r} a</td><td>cell {r} b</td><td>cell {r} c</td></tr>" for r in range(4)) + "</table>"
+    rest = table + "<blockquote>" + "<p>Verse.</p>" * 6 + "</blockquote><div>" + "<div>Word.</div>" * 6 + "</div>"
+    story = "<p>" + "x" * 300 + "</p>"
+    got = main_text(page(NAV + box % (story * 6 + rest + story * 6)))
+    assert len(got) == 12 + 12 + 6 + 6 and got[:6] == got[-6:] == ["x" * 300] * 6
+
+
 def test_html_smoothing_keeps_constant_and_sums_to_one():
     assert html.smoothed([3.0] * 7, 1.0) == pytest.approx([3.0] * 7)
     assert html.smoothed([0, 0, 0, 1.0, 0, 0, 0], 1.0)[3] == max(html.smoothed([0, 0, 0, 1.0, 0, 0, 0], 1.0))
