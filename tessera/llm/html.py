@@ -5,7 +5,10 @@ block (paragraph, heading, list item ...), each with its text, the tags met in
 it and the sectioning element it lies in. Elements that never hold article
 text are left out as they stream by: scripts, styles, forms, menus, headers
 and footers of the page, and elements whose class, id or role names an advert,
-notice, sidebar, comment section and the like.
+notice, sidebar, comment section and the like. A name can mislead, and some
+pages are one large form: a form, or an element named after a part of the
+layout, is left out once the page has been read, and not if it holds most of
+the page's content (text in articles, if that is most of it) or a ``main`` element.
 
 The ratio of text length to tags of each line is smoothed with a Gaussian over
 the neighbouring lines; lines above the spread (standard deviation) of the
@@ -40,7 +43,7 @@ OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.stri
                  ("n_lines", pa.int64()), ("n_kept_lines", pa.int64())])
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset("head script style noscript template form button select option textarea iframe object svg "
+DROPPED = frozenset("head script style noscript template button select option textarea iframe object svg "
                     "canvas audio video map nav footer aside menu dialog".split())
 METADATA = frozenset("base basefont bgsound link meta noframes noscript script style template title head".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt "
@@ -48,10 +51,40 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 SECTIONS = frozenset("body article main section div td center fieldset".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr "
                      "main menu nav ol p pre section table ul".split())
-MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|notices?|popup|"
-    r"modal|sidebar|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|share|sharing|social|related|comments?|"
-    r"disqus|respond|reply|replies|newsletter|subscribe|complementary|contentinfo|search)(?:$|[\s_-])", re.I)
+# Words of a class, id or role that name what is no article text. The text of
+# elements named by the first never counts as the page's main content.
+NEVER = frozenset("ad ads advert adverts advertisement sponsor sponsored cookie cookies consent popup modal comment "
+                  "comments disqus respond reply replies newsletter subscribe".split())
+LAYOUT = frozenset("promo promotion banner notice notices sidebar menu nav navbar navigation breadcrumb breadcrumbs footer "
+                   "masthead share sharing social related search complementary contentinfo".split())
+# Words that may stand beside those in one name ("comment-list", "site-footer").
+BESIDE = frozenset("area bar block body bottom box button buttons card cards col column container content desktop fixed "
+                   "form global group head header holder icons inner item items left link links list main media message "
+                   "mobile module outer overlay page panel policy post posts primary right row secondary section signup "
+                   "site slot small sticky stories text thread title toolbar tools top unit widget wrap wrapper article "
+                   "articles 1 2 3".split())
+PARTS = re.compile("[-_]+")
+
+
+def named(tag: str, attrs: list, article: bool) -> str:
+    """Whether an element's names mark it: ``never``, ``layout`` or nothing. A
+    name counts as a whole: ``comment-list`` does, ``market-share`` and
+    ``no-sidebar`` do not. Inside an article an id is as likely an anchor of
+    its own, so there it must be one of the unmistakable words."""
+    if tag in ("html", "body"):
+        return ""
+    found = ""
+    for key, value in attrs:
+        if key in ("class", "id", "role") and value:
+            for name in value.lower().split():
+                parts = [p for p in PARTS.split(name) if p]
+                if not all(p in NEVER or p in LAYOUT or p in BESIDE for p in parts):
+                    continue
+                if any(p in NEVER for p in parts):
+                    return "never"
+                if any(p in LAYOUT for p in parts) and not (article and key == "id"):
+                    found = "layout"
+    return found
 
 
 @dataclass(frozen=True)
@@ -65,14 +98,19 @@ class RatioParams:
 
 
 class _Lines(HTMLParser):
-    """Collects ``(text, tags, region, inside article or main)`` per line."""
+    """Collects ``(text, tags, region, inside article or main, marked element)``
+    per line; element 0 is none."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool]] = []
-        self.stack: list[tuple[str, bool, int, bool]] = [("", False, 0, False)]  # tag, dropped, region, article
+        self.lines: list[tuple[str, int, int, bool, int]] = []
+        # tag, dropped, region, article, marked element
+        self.stack: list[tuple[str, bool, int, bool, int]] = [("", False, 0, False, 0)]
         self.parts: list[str] = []
-        self.tags = 0
+        self.tags = [0]  # met in each marked element since its last line
+        self.around = [0]  # of each marked element the one around it,
+        self.never = [False]  # whether it is left out in any case,
+        self.main = [False]  # and whether it holds a main element
         self.parents = [0]  # of each region, and its element
         self.kinds = [""]
 
@@ -81,18 +119,18 @@ class _Lines(HTMLParser):
             text = b" ".join("".join(self.parts).encode("utf-8", "replace").split()).decode()
             self.parts.clear()
             if text:
-                _, _, region, article = self.stack[-1]
-                self.lines.append((text, self.tags, region, article))
-                self.tags = 0
+                _, _, region, article, mark = self.stack[-1]
+                self.lines.append((text, self.tags[mark], region, article, mark))
+                self.tags[mark] = 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         while self.stack[-1][0] == "head" and tag not in METADATA:  # </head> may be left out
             self.end("head")
-        _, dropped, region, article = self.stack[-1]
+        _, dropped, region, article, mark = self.stack[-1]
         if not dropped:
-            self.tags += 1
+            self.tags[mark] += 1
         if tag in INLINE and not attrs and tag not in VOID:
-            self.stack.append((tag, dropped, region, article))
+            self.stack.append((tag, dropped, region, article, mark))
             return
         if tag == "br" and not dropped:
             self.parts.append(" ")
@@ -100,18 +138,29 @@ class _Lines(HTMLParser):
             self.flush()
             if tag in CLOSES_P:
                 self.end("p")
-                _, dropped, region, article = self.stack[-1]
+                _, dropped, region, article, mark = self.stack[-1]
         if tag in VOID:
             return
         if not dropped:
-            dropped = tag in DROPPED or (tag == "header" and not article) or any(
-                k in ("class", "id", "role") and v and MARKED.search(v) for k, v in attrs if tag not in ("html", "body"))
+            name = named(tag, attrs, article)
+            dropped = tag in DROPPED or (tag == "header" and not article) or (name != "" and tag in INLINE)
+            if not dropped and (name or tag == "form"):
+                self.around.append(mark)
+                self.never.append(name == "never")
+                self.main.append(False)
+                self.tags.append(0)
+                mark = len(self.around) - 1
+            if tag == "main" and not dropped:
+                up = mark
+                while up:
+                    self.main[up] = True
+                    up = self.around[up]
             article = article or tag in ("article", "main")
             if tag in SECTIONS:
                 self.parents.append(region)
                 self.kinds.append(tag)
                 region = len(self.kinds) - 1
-        self.stack.append((tag, dropped, region, article))
+        self.stack.append((tag, dropped, region, article, mark))
 
     def handle_endtag(self, tag: str) -> None:
         if tag not in INLINE:
@@ -150,6 +199,29 @@ def containers(parents: list[int], kinds: list[str]) -> list[int]:
     return out
 
 
+def left_out(lines: list[tuple[str, int, int, bool, int]], around: list[int], never: list[bool],
+             main: list[bool]) -> list[bool]:
+    """For each marked element whether its lines go: with the one around it, if
+    it is never content, or unless it holds at least half of the content or a
+    main element."""
+    gone = list(never)
+    for m in range(1, len(around)):
+        gone[m] = gone[m] or gone[around[m]]
+    count = [line for line in lines if not gone[line[4]]]
+    articles = [line for line in count if line[3]]
+    if 2 * sum(len(line[0]) for line in articles) >= sum(len(line[0]) for line in count):
+        count = articles
+    held = [0] * len(around)
+    for text, *_, mark in count:
+        held[mark] += len(text)
+    total = sum(held)
+    for m in range(len(around) - 1, 0, -1):  # inner ones come later
+        held[around[m]] += held[m]
+    for m in range(1, len(around)):
+        gone[m] = gone[m] or gone[around[m]] or not (main[m] or 2 * held[m] >= total > 0)
+    return gone
+
+
 def page_lines(html: str) -> tuple[list[tuple[str, int, int, bool]], list[int]]:
     """The lines and, for each region, the region around it (0 and body have none)."""
     parser = _Lines()
@@ -161,7 +233,9 @@ def page_lines(html: str) -> tuple[list[tuple[str, int, int, bool]], list[int]]:
     parser.flush()
     within = containers(parser.parents, parser.kinds)
     around = [0 if parser.kinds[p] == "body" else p for p in parser.parents]
-    return [(text, tags, within[region], article) for text, tags, region, article in parser.lines], around
+    gone = left_out(parser.lines, parser.around, parser.never, parser.main)
+    return [(text, tags, within[region], article) for text, tags, region, article, mark in parser.lines
+            if not gone[mark]], around
 
 
 def smoothed(ratios: list[float], sigma: float) -> list[float]:

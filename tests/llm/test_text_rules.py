@@ -286,6 +286,60 @@ def test_html_keeps_tables_quotes_and_short_blocks(box):
     assert len(got) == 12 + 12 + 6 + 6 and got[:6] == got[-6:] == ["x" * 300] * 6
 
 
+NAMED = ['<main class="no-sidebar">%s</main>', '<div class="layout with-sidebar">%s</div>', '<article class="post has-banner">%s</article>',
+         '<form id="aspnetForm"><input name="x"><article>%s</article></form>', '<form id="aspnetForm"><div>%s</div></form>',
+         '<div class="page-banner"><main>%s</main></div>', '<div id="search" class="menu">%s</div>',
+         '<div class="sidebar"><div class="nav">%s</div></div>', '<div class="comments-open"><article>%s</article></div>']
+
+
+@pytest.mark.parametrize("box", NAMED)
+def test_html_names_lose_no_article(box):
+    story = LONG * 6
+    want = [("A long paragraph of the story. " * 5).strip()] * 6
+    assert main_text(page(NAV + box % story)) == want
+    assert main_text(page(NAV + box % story + '<div class="comments"><p>' + "I disagree strongly. " * 90 + "</p></div>")) == want
+    assert main_text(page('<div class="related-posts"><article><p>Teaser of a story</p></article></div>' + box % story)) == want
+
+
+@pytest.mark.parametrize("block,kept", [
+    ('<div id="market-share"><p>%s</p></div>', True), ('<section id="related-work"><p>%s</p></section>', True),
+    ('<section id="search"><p>%s</p></section>', True), ('<div class="shared"><p>%s</p></div>', True),
+    ('<div class="comment-list"><p>%s</p></div>', False), ('<section id="comments"><p>%s</p></section>', False),
+    ('<div class="share-buttons"><p>%s</p></div>', False), ('<div class="ad"><p>%s</p></div>', False),
+    ('<div class="cookie-notice"><p>%s</p></div>', False), ('<form><p>%s</p></form>', False), ('<aside><p>%s</p></aside>', False),
+    ('<article class="comment"><p>%s</p></article>', False), ('<div role="navigation"><p>%s</p></div>', False),
+    ('<p>a <span class="ad">%s</span></p>', False)])
+def test_html_blocks_inside_an_article(block, kept):
+    text = "Words of the block that stand in it."
+    got = main_text(page(NAV + "<article>" + LONG * 3 + block % text + LONG * 3 + "</article>"))
+    assert (text in got) is kept and sum("long paragraph" in t for t in got) == 6
+
+
+def test_html_generated_pages_keep_the_article_only():
+    """Known articles among known boilerplate, with random class names that do not mark anything."""
+    import random
+
+    rng = random.Random(6)
+    plain = ["no-sidebar", "has-banner", "post", "entry-content", "market-share", "sharepoint", "adventure", "menus", "navy",
+             "modality", "cookies-recipe", "hentry", "with-nav", "commentary", "searchable", "related-work", "socialism"]
+    junk = ["<nav><ul><li><a href=/>%s</a></li></ul></nav>", "<footer><p>%s</p></footer>", "<div class='ad-slot'>%s</div>",
+            "<aside><p>%s</p></aside>", "<div class='cookie-notice'><p>%s</p></div>", "<div id='sidebar'><p>%s</p></div>",
+            "<form><p>%s</p><input></form>", "<div class='comments'><p>%s</p></div>", "<header><p>%s</p></header>",
+            "<div class='newsletter-signup'><p>%s</p></div>", "<script>%s</script>", "<div class='social share'>%s</div>"]
+    for _ in range(150):
+        want, body = [], ""
+        for k in range(rng.randint(3, 12)):
+            text = " ".join(f"word{rng.randrange(500)}" for _ in range(rng.choice([3, 30, 60])))
+            want.append(text)
+            body += rng.choice(["<p>%s</p>", "<h2>%s</h2>", "<ul><li>%s</li></ul>", f"<p class='{rng.choice(plain)}'>%s</p>"]) % text
+        name = f'class="{rng.choice(plain)} {rng.choice(plain)}" id="{rng.choice(plain)}"'
+        box = rng.choice(["<article %s>%s</article>", "<main %s>%s</main>", "<div %s><article>%s</article></div>",
+                          "<form %s><article>%s</article></form>", "<main %s><article>%s</article></main>"]) % (name, body)
+        around = [j % "boiler plate" for j in rng.sample(junk, rng.randint(0, 6))]
+        cut = rng.randint(0, len(around))
+        assert main_text(page("".join(around[:cut]) + box + "".join(around[cut:]))) == want
+
+
 def test_html_smoothing_keeps_constant_and_sums_to_one():
     assert html.smoothed([3.0] * 7, 1.0) == pytest.approx([3.0] * 7)
     assert html.smoothed([0, 0, 0, 1.0, 0, 0, 0], 1.0)[3] == max(html.smoothed([0, 0, 0, 1.0, 0, 0, 0], 1.0))
