@@ -33,7 +33,7 @@ an empty table gives none; without training rows all counts are 0.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -143,21 +143,49 @@ def text_runs(texts: list[bytes]) -> Iterator[tuple[int, int]]:
     yield a, len(texts)
 
 
+def run_keys(texts: list[bytes], order: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """``(from, to, keys)`` of each run of texts: the keys of their bytes in order."""
+    for a, b in text_runs(texts):
+        keys, _, inside = context_keys(texts[a:b], order)
+        yield a, b, keys[inside]
+
+
 def distinct_keys(texts: list[bytes], is_train: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct keys of ``texts``, sorted, with their training counts."""
-    every, learned, times = [], [], []
-    for a, b in text_runs(texts):
-        keys, starts, inside = context_keys(texts[a:b], order)
-        of_train = inside & np.repeat(is_train[a:b], np.diff(np.append(starts, len(keys))))
-        every.append(np.unique(keys[inside]))
-        found, n = np.unique(keys[of_train], return_counts=True)
-        learned.append(found)
-        times.append(n)
-    keys = np.unique(np.concatenate(every))
-    count = np.zeros(len(keys), np.int64)
-    for found, n in zip(learned, times):
-        count[np.searchsorted(keys, found)] += n
-    return keys, count
+    size = np.array([len(t) for t in texts], dtype=np.int64)
+    every = np.empty(int(size.sum()), dtype=np.uint64)
+    flag = np.repeat(np.asarray(is_train, dtype=bool), size)
+    at = 0
+    for _, _, keys in run_keys(texts, order):
+        every[at:at + len(keys)] = keys
+        at += len(keys)
+    if order < MAX_ORDER:  # a key leaves a bit free: one plain sort brings keys and flags together
+        every <<= np.uint64(1)
+        every |= flag
+        every.sort()
+        flag = (every & np.uint64(1)).astype(np.int64)
+        every >>= np.uint64(1)
+    else:
+        rank = np.argsort(every, kind="stable")
+        every, flag = every[rank], flag[rank].astype(np.int64)
+    starts = group_starts(every)
+    return every[starts], np.add.reduceat(flag, starts) if len(starts) else flag
+
+
+def text_costs(texts: list[bytes], order: int, costs_of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sum over each text's bytes of what ``costs_of`` gives for the distinct
+    sorted keys of all. One sort gives those keys and the place of each byte's."""
+    size = np.array([len(t) for t in texts], dtype=np.int64)
+    every = np.concatenate([keys for _, _, keys in run_keys(texts, order)])
+    rank = np.argsort(every)
+    every = every[rank]
+    starts = group_starts(every)
+    spent = np.empty(len(every))
+    spent[rank] = np.repeat(costs_of(every[starts]), np.diff(np.append(starts, len(every))))
+    score, some = np.zeros(len(texts)), size > 0
+    if some.any():
+        score[some] = np.add.reduceat(spent, (np.cumsum(size) - size)[some])
+    return score
 
 
 def by_bucket(keys: np.ndarray, order: int, n_buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
@@ -215,8 +243,11 @@ def gram_costs(keys: np.ndarray, n: np.ndarray, order: int, low: LowTrie) -> np.
     # what is below order 2, when order 2 was left by an escape
     left = free - _logs(distinct, total + distinct)
     for k in range(3, order + 1):
-        gram, inside = np.unique((keys >> np.uint64(8 * (order + 1 - k))) << np.uint64(8) | keys & np.uint64(255),
-                                 return_inverse=True)
+        if k < order:
+            gram, inside = np.unique((keys >> np.uint64(8 * (order + 1 - k))) << np.uint64(8) | keys & np.uint64(255),
+                                     return_inverse=True)
+        else:  # the keys themselves
+            gram, inside = keys, np.arange(len(keys))
         own = np.bincount(inside, n, len(gram))
         starts = group_starts(gram >> np.uint64(8))
         context = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(gram))))
@@ -443,17 +474,16 @@ def score_documents(docs: DataFrame, train: Column, order: int = ORDER) -> DataF
             return own
         answers = dict(zip(sent.column("bucket").to_pylist(), sent.column("grams").to_pylist()))
         texts = unsqueezed(packed)
-        keys, _ = distinct_keys(texts, np.zeros(len(texts), dtype=bool), order)
-        costs = np.empty(len(keys))
-        rank, ranges = by_bucket(keys, order, n_buckets)
-        for b, lo, hi in ranges:
-            costs[np.sort(rank[lo:hi])] = unplanes(memoryview(answers[b]), hi - lo, "<f4")[0]
+
+        def costs_of(keys: np.ndarray) -> np.ndarray:
+            costs = np.empty(len(keys))
+            rank, ranges = by_bucket(keys, order, n_buckets)
+            for b, lo, hi in ranges:
+                costs[np.sort(rank[lo:hi])] = unplanes(memoryview(answers[b]), hi - lo, "<f4")[0]
+            return costs
+
         score = np.empty(len(texts))
-        for a, b in text_runs(texts):
-            wanted, starts, inside = context_keys(texts[a:b], order)
-            spent = np.zeros(len(wanted))
-            spent[inside] = costs[np.searchsorted(keys, wanted[inside])]
-            score[by_place[a:b]] = np.add.reduceat(spent, starts)
+        score[by_place] = text_costs(texts, order, costs_of)
         return own.set_column(5, "score", pa.array(score))
 
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text",
