@@ -8,9 +8,11 @@ is what every line parser in the original programs calls:
 * trailing empty tokens are dropped, so a line made only of delimiters gives
   no token at all.
 
-``F.split`` keeps trailing empty tokens, so the split array is cut after its
-last non-empty token (found with ``transform`` + ``array_max``): one regex
-pass per line, linear in its length however long a delimiter run is.
+``F.split`` keeps trailing empty tokens. ``java_split`` cuts the split array
+after its last non-empty token (found with ``transform`` + ``array_max``): one
+regex pass per line, linear in its length however long a delimiter run is.
+``split_rows`` explodes the tokens; it cuts the trailing delimiters off the line
+first, so everything stays inside generated code.
 """
 
 from __future__ import annotations

@@ -12,6 +12,9 @@ unreached or reached in round r-2 or r-1, so the new vertices are told from the
 last two frontiers: each round then shuffles frontier-sized data instead of the
 whole reached set.
 
+The edge table is written once, bucketed by its join key, so a round shuffles
+the frontier to the edges' buckets and never the edges.
+
 The edges of a vertex with very many of them are dealt over chunks, in
 proportion to its degree, so a vertex that holds a third of all edges is many
 join keys of bounded size; other vertices are one key and are never copied.
@@ -19,10 +22,12 @@ join keys of bounded size; other vertices are one key and are never copied.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tessera.session import delete_path, materialize
+from tessera.session import delete_path, materialize, partitions_for, scratch_path
 
 LEVEL_SCHEMA = "id long, distance int"
 INFINITY = float("inf")
@@ -57,9 +62,21 @@ def degrees_top(edges: DataFrame, names: DataFrame, k: int = 10) -> DataFrame:
 CHUNK_EDGES = 1_000_000  # edges of one vertex that one join key may hold
 
 
-def _prepared_edges(edges: DataFrame, chunk_edges: int) -> tuple[DataFrame, DataFrame]:
-    """``(edges, heavy)``: the edge table ``(src, chunk, dst)`` and, for each
-    vertex with more than ``chunk_edges`` edges, its number of chunks.
+BUCKET_BYTES = 64 << 20  # about the input of one bucket of edges
+
+
+def edge_buckets(edges: DataFrame) -> int:
+    """Buckets of the edge table: by the bytes that ``edges`` reads, at most
+    what Spark lets a table have."""
+    most = int(edges.sparkSession.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return min(most, partitions_for(edges, BUCKET_BYTES))
+
+
+def _prepared_edges(edges: DataFrame, chunk_edges: int, name: str = "bfs_edges") -> tuple[DataFrame, DataFrame]:
+    """``(edges, heavy)``: the edge table ``(src, chunk, dst)``, bucketed by
+    ``(src, chunk)`` and known to the catalog as ``name`` until the search ends,
+    and, for each vertex with more than ``chunk_edges`` edges, its number of
+    chunks.
 
     A light vertex has chunk 0 only, so it meets the frontier as it is. The
     edges of a heavy one are dealt over ``ceil(degree / chunk_edges)`` chunks
@@ -71,7 +88,11 @@ def _prepared_edges(edges: DataFrame, chunk_edges: int) -> tuple[DataFrame, Data
     heavy = materialize(heavy, "bfs-heavy")
     chunk = F.pmod(F.xxhash64("dst"), F.coalesce("chunks", F.lit(1).cast("long"))).cast("int")
     dealt = plain.join(heavy, "src", "left").select("src", chunk.alias("chunk"), "dst")
-    return materialize(dealt, "bfs-edges"), heavy
+    spark, n = edges.sparkSession, edge_buckets(edges)
+    # One file a bucket: rows go to the tasks by the hash that deals them into buckets.
+    dealt.repartition(n, "src", "chunk").write.mode("overwrite").bucketBy(n, "src", "chunk").option(
+        "path", scratch_path(spark, "bfs-edges")).saveAsTable(name)
+    return spark.table(name), heavy
 
 
 def _expand(prepared: DataFrame, heavy: DataFrame, frontier: DataFrame) -> DataFrame:
@@ -96,7 +117,8 @@ class _Search:
                  symmetric: bool = False, chunk_edges: int = CHUNK_EDGES) -> None:
         self.spark = edges.sparkSession
         self.max_rounds, self.target, self.symmetric = max_rounds, target, symmetric
-        self.prepared, self.heavy = _prepared_edges(edges, chunk_edges)
+        self.table = f"bfs_edges_{uuid.uuid4().hex}"
+        self.prepared, self.heavy = _prepared_edges(edges, chunk_edges, self.table)
         self.levels = [self.spark.createDataFrame([(int(root), 0)], LEVEL_SCHEMA)]
         self.scratch = [self.prepared, self.heavy]
 
@@ -141,9 +163,10 @@ class _Search:
         return result
 
     def drop(self) -> None:
-        for table in self.scratch:
-            for path in {p.rsplit("/", 1)[0] for p in table.inputFiles()}:
-                delete_path(self.spark, path)
+        paths = {p.rsplit("/", 1)[0] for table in self.scratch for p in table.inputFiles()}
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")  # its files lie in the shared folder
+        for path in paths:
+            delete_path(self.spark, path)
 
 
 def bfs_distances(edges: DataFrame, root: int, max_rounds: int | None = None, symmetric: bool = False,

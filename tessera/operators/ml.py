@@ -153,16 +153,47 @@ def _recommend(model, users, items, titles: DataFrame, user_id: int, k: int) ->
     return recommend_for_user(model.userFactors, item_factors, titles, int(user_id), k, factor_id=target)
 
 
+def normal_equation_residual(data: DataFrame, user_factors: DataFrame, item_factors: DataFrame, user_id: int,
+                             reg: float) -> DataFrame:
+    """One row ``(residual, n)``: how far a user's factors are from solving the
+    least-squares problem that the item factors pose for them.
+
+    For ratings r of items with factors v, the user's vector w solves
+    sum(v (v.w - r)) + reg * n * w = 0. The left side is summed over the user's
+    ratings, one sum per component, and the greatest absolute component per
+    rating is the residual. A solver's last half step makes it zero but for
+    rounding; no other vector does."""
+    mine = data.filter(F.col("user") == F.lit(int(user_id))).join(
+        item_factors.select(F.col("id").alias("item"), F.col("features").alias("v")), "item").join(
+        user_factors.filter(F.col("id") == F.lit(int(user_id))).select(F.col("id").alias("user"), F.col("features").alias("w")),
+        "user")
+    dot = F.aggregate(F.zip_with("v", "w", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    parts = mine.withColumn("e", dot - F.col("rating")).select(F.col("e"), "w", F.posexplode("v").alias("k", "vk"))
+    sums = parts.groupBy("k").agg(
+        (F.sum(F.col("vk").cast("double") * F.col("e"))
+         + F.lit(float(reg)) * F.count(F.lit(1)) * F.first(F.get("w", F.col("k"))).cast("double")).alias("g"),
+        F.count(F.lit(1)).alias("n"))
+    return sums.agg(F.max(F.abs(F.col("g") / F.col("n"))).alias("residual"), F.max("n").alias("n"))
+
+
 def als_properties(ratings: DataFrame, titles: DataFrame, user_id: int, k: int = 10, **fit) -> DataFrame:
     """One row of what must hold for any good factorisation: distinct items
-    recommended, how many have a title, and whether the training error is below
-    that of predicting the mean rating."""
+    recommended, how many have a title, whether the training error is below
+    that of predicting the mean rating, and whether the user's factors solve the
+    normal equation that the item factors pose (residual below 1e-3)."""
     model, data, users, items = fit_als(ratings, **fit)
     top = _recommend(model, users, items, titles, user_id, k).agg(
         F.count_distinct("item").alias("items"), F.count("title").alias("titled"))
     error = model.transform(data).agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("rating"), 2))).alias("e"))
     spread = data.agg(F.stddev_pop("rating").alias("s"))
-    return top.join(error).join(spread).select("items", "titled", (F.col("e") < F.col("s")).alias("better_than_mean"))
+    target = int(user_id)
+    if users is not None:
+        hit = users.filter(F.col("user") == F.lit(target)).select("uid").first()
+        target = int(hit["uid"]) if hit is not None else INT32[1]
+    residual = normal_equation_residual(data, model.userFactors, model.itemFactors, target, fit.get("reg", 0.01))
+    return top.join(error).join(spread).join(residual).select(
+        "items", "titled", (F.col("e") < F.col("s")).alias("better_than_mean"),
+        (F.col("residual") < F.lit(1e-3)).alias("solves_normal_equation"))
 
 
 def recommend_for_user(user_factors: DataFrame, item_factors: DataFrame, titles: DataFrame, user_id: int,

@@ -16,7 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import aggregates, graph, ml, people, ranking, similarity, splits, wordcount
+from tessera.operators.wordcount import STOP_WORDS
 from tessera.sources import bindings as B
+from tessera.sources import readers, text_tables
+from tessera.sources.replay import replayed
 from tessera.streaming import jobs as S
 
 # Parameters bound to the test tables (the original constants are noted).
@@ -32,8 +35,9 @@ PARAMS = {
     "split_seed": 0,
     "kfolds": 5,
     "leave_start": 1, "leave_stop": 10, "leave_max_test": 5000,  # original: 100000 rows of the ua split
-    "strong_score": 0.9, "strong_pairs": 5,
+    "strong_score": 0.85, "strong_pairs": 20, "genre_weight": 0.2,
     "window": "5 minutes", "slide": "1 second", "top_k": 10,
+    "watermark": "10 minutes", "epochs": 3,
 }
 SPLIT_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 DIGITS = 6
@@ -151,6 +155,12 @@ def q_item_similarity_strong(spark: SparkSession, sf: str) -> DataFrame:
     return sims.select("item1", "item2", _rd("score").alias("score"), "n")
 
 
+def q_item_similarity_genres(spark: SparkSession, sf: str) -> DataFrame:
+    sims = similarity.item_similarity(B.rating_lines(spark, sf))
+    out = similarity.with_genres(sims, B.titles_with_genres(spark, sf), PARAMS["genre_weight"])
+    return out.select("item1", "item2", "n", *(_rd(c).alias(c) for c in ("score", "genre_overlap", "boosted")))
+
+
 def q_similar_to_item(spark: SparkSession, sf: str) -> DataFrame:
     return similarity.similar_to_item(B.rating_lines(spark, sf), B.titles(spark, sf), PARAMS["similar_item"],
                                       PARAMS["min_score"], PARAMS["min_pairs"], 10, digits=DIGITS)
@@ -222,8 +232,12 @@ def q_graph_degrees_top10(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_graph_build(spark: SparkSession, sf: str) -> DataFrame:
-    named = B.vertex_names(spark, sf).filter(F.col("id") % 5 != 0)  # the others are known by their edges only
-    return graph.graph_vertices(B.graph_edges(spark, sf), named)
+    return graph.graph_vertices(B.graph_edges(spark, sf), B.vertex_names(spark, sf))
+
+
+def q_graph_build_partial_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Only customers are named; parts are known by their edges."""
+    return graph.graph_vertices(B.graph_edges(spark, sf), B.customer_names(spark, sf))
 
 
 def q_bfs_distances(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,7 +260,7 @@ def q_bfs_named_first100(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_bfs_unreached(spark: SparkSession, sf: str) -> DataFrame:
     """All vertices of the directed graph customer -> part: parts have no way on."""
-    directed = B.graph_edges(spark, sf).filter(F.col("src") % 2 == 0)
+    directed = B.directed_edges(spark, sf)
     vertices = graph.graph_vertices(directed, B.vertex_names(spark, sf))
     return graph.with_unreached(graph.bfs_distances(directed, 2 * PARAMS["rating_user"]), vertices)
 
@@ -266,6 +280,14 @@ def q_kfold_split(spark: SparkSession, sf: str) -> DataFrame:
     return splits.kfold_split(rows, B.LINE_ORDER, PARAMS["kfolds"]).select(*_SPLIT_OUT, "fold")
 
 
+def q_kfold_files(spark: SparkSession, sf: str) -> DataFrame:
+    """All base and test sets of the folds, written in one pass and read back."""
+    rows = B.rating_lines(spark, sf, keep_order_cols=True)
+    folds = splits.kfold_split(rows, B.LINE_ORDER, PARAMS["kfolds"]).select(*_SPLIT_OUT, "fold")
+    path = splits.write_folds(folds, PARAMS["kfolds"], text_tables.round_trip(spark, "folds"), ["user", "item"])
+    return spark.read.parquet(path).withColumnRenamed("set", "split")
+
+
 def q_leave_n_out_split(spark: SparkSession, sf: str) -> DataFrame:
     rows = B.rating_lines(spark, sf, keep_order_cols=True)
     out = splits.leave_n_out_split(rows, "user", B.LINE_ORDER, PARAMS["leave_start"], PARAMS["leave_stop"])
@@ -287,10 +309,32 @@ def q_random_split(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- streaming ----------------------------------------------------------------------------
 
+# Each stream is a table replayed in PARAMS["epochs"] micro-batches, over one checkpoint.
+
+def _conversations(spark: SparkSession, sf: str, job: Callable[..., str], name: str, **kw) -> str:
+    out = text_tables.round_trip(spark, name)
+    return replayed(B.conversation_texts(spark, sf), F.col("conv_id"), PARAMS["epochs"],
+                    lambda stream: job(spark, stream, out_path=out, **kw))
+
+
+def _hashtags(spark: SparkSession, sf: str, mode: str) -> str:
+    out = text_tables.round_trip(spark, "hashtags")
+    return replayed(B.hashtag_events(spark, sf), F.unix_micros("ts"), PARAMS["epochs"],
+                    lambda stream: S.run_hashtag_stream(
+                        spark, stream, out, PARAMS["window"], PARAMS["slide"], PARAMS["watermark"], PARAMS["top_k"], mode))
+
+
 def q_stream_top_lengths(spark: SparkSession, sf: str) -> DataFrame:
-    stream = B.conversation_texts(spark, sf, stream=True)
-    out = S.run_top_lengths_stream(spark, stream, k=PARAMS["top_k"])
-    return spark.read.parquet(out).select("rank", "length")
+    out = _conversations(spark, sf, S.run_top_lengths_stream, "lengths", k=PARAMS["top_k"])
+    return S.every_epoch(spark, out, S.LENGTH_SCHEMA).select("batch", "rank", "length")
+
+
+def q_stream_allowed_words(spark: SparkSession, sf: str) -> DataFrame:
+    """Per micro-batch, the most frequent words that a file of stop words does not list."""
+    banned = text_tables.round_trip(spark, "banned")
+    spark.createDataFrame([(w,) for w in STOP_WORDS], "value string").write.text(banned)
+    out = _conversations(spark, sf, S.run_allowed_words, "allowed", k=PARAMS["top_k"], banned_path=banned)
+    return S.every_epoch(spark, out, S.WORD_SCHEMA).select("batch", "rank", "word", "count")
 
 
 def _windows(top: DataFrame) -> DataFrame:
@@ -298,9 +342,12 @@ def _windows(top: DataFrame) -> DataFrame:
 
 
 def q_stream_hashtags_5m(spark: SparkSession, sf: str) -> DataFrame:
-    out = S.run_hashtag_stream(spark, B.hashtag_events(spark, sf, stream=True), window=PARAMS["window"],
-                               slide=PARAMS["slide"], k=PARAMS["top_k"], output_mode="complete")
-    return _windows(S.latest(spark, out))
+    return _windows(S.latest(spark, _hashtags(spark, sf, "complete")))
+
+
+def q_stream_hashtags_final(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows that are final when the stream ends; state is bounded by window and watermark."""
+    return _windows(S.every_epoch(spark, _hashtags(spark, sf, "append"), S.WINDOW_SCHEMA))
 
 
 def q_hashtags_5m_batch(spark: SparkSession, sf: str) -> DataFrame:
@@ -309,15 +356,66 @@ def q_hashtags_5m_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_stream_popular_word(spark: SparkSession, sf: str) -> DataFrame:
-    out = S.run_popular_words(spark, B.conversation_texts(spark, sf, stream=True), k=PARAMS["top_k"])
+    out = _conversations(spark, sf, S.run_popular_words, "words", k=PARAMS["top_k"])
     return S.latest(spark, out).select("word", "count")
 
 
 def q_stream_avg_length(spark: SparkSession, sf: str) -> DataFrame:
-    out = S.run_avg_length(spark, B.conversation_texts(spark, sf, stream=True))
+    out = _conversations(spark, sf, S.run_avg_length, "length")
     return S.latest(spark, out).select(_rd("avg_length").alias("avg_length"), "n")
 
 
+# --- text formats -------------------------------------------------------------------------
+# Each writes a table in one of the original formats, reads it back and computes on that.
+
+def q_text_comma_people(spark: SparkSession, sf: str) -> DataFrame:
+    people_rows = B.people(spark, sf).select("id", "name", "age", "friends")
+    path = text_tables.write_delimited(people_rows, text_tables.round_trip(spark, "people"))
+    return aggregates.avg_by_key(readers.read_people(spark, path), key="age", value="friends")
+
+
+def q_text_comma_stations(spark: SparkSession, sf: str) -> DataFrame:
+    rows = B.station_readings(spark, sf).select("station", F.lit("18000101").alias("date"), "type", "value")
+    path = text_tables.write_delimited(rows, text_tables.round_trip(spark, "stations"))
+    found = text_tables.checked_rows(readers.read_text(spark, path), readers.STATION_SCHEMA)
+    out = aggregates.extreme_by_key(found.rows, entry_type=PARAMS["station_entry_type"])
+    return out.select(F.col("station").cast("long").alias("station"), "extreme")
+
+
+def q_text_tab_ratings(spark: SparkSession, sf: str) -> DataFrame:
+    rows = B.rating_lines(spark, sf).select("user", "item", "rating", F.lit(881250949).alias("ts"))
+    path = text_tables.write_delimited(rows, text_tables.round_trip(spark, "ratings"), sep="\t")
+    return aggregates.rating_histogram(readers.read_ratings(spark, path))
+
+
+def q_text_pipe_genres(spark: SparkSession, sf: str) -> DataFrame:
+    path = text_tables.write_titles(B.titles_with_genres(spark, sf), text_tables.round_trip(spark, "items"),
+                                    flags=B.REGIONS + B.NATIONS)
+    return readers.read_genres(spark, path, flags=B.REGIONS + B.NATIONS)
+
+
+def q_text_adjacency_connections(spark: SparkSession, sf: str) -> DataFrame:
+    path = text_tables.write_adjacency(B.graph_edges(spark, sf), text_tables.round_trip(spark, "graph"))
+    return ranking.connection_totals(readers.adjacency_line_counts(readers.read_text(spark, path)))
+
+
+def q_text_adjacency_edges(spark: SparkSession, sf: str) -> DataFrame:
+    path = text_tables.write_adjacency(B.graph_edges(spark, sf), text_tables.round_trip(spark, "graph"))
+    return readers.read_adjacency(spark, path).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_text_quoted_names(spark: SparkSession, sf: str) -> DataFrame:
+    path = text_tables.write_quoted_names(B.vertex_names(spark, sf), text_tables.round_trip(spark, "names"))
+    return readers.read_quoted_names(spark, path)
+
+
+def q_text_labeled_points(spark: SparkSession, sf: str) -> DataFrame:
+    path = text_tables.write_delimited(B.regression_points(spark, sf), text_tables.round_trip(spark, "points"))
+    points = readers.read_labeled_points(spark, path)
+    w, _ = ml.sgd_linear_regression(points, iterations=1, step=1.0, reg=0.1)
+    return ml.rmse(ml.predict_linear(points, w)).select(_rd("rmse").alias("rmse"), "n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customer_spend": q_customer_spend,
     "rating_histogram": q_rating_histogram,
@@ -341,6 +439,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top10_connected": q_top10_connected,
     "item_similarity": q_item_similarity,
     "item_similarity_strong": q_item_similarity_strong,
+    "item_similarity_genres": q_item_similarity_genres,
     "similar_to_item": q_similar_to_item,
     "regression_sgd": q_regression_sgd,
     "regression_sgd_100": q_regression_sgd_100,
@@ -353,18 +452,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_ratings_named": q_user_ratings_named,
     "graph_degrees_top10": q_graph_degrees_top10,
     "graph_build": q_graph_build,
+    "graph_build_partial_names": q_graph_build_partial_names,
     "bfs_unreached": q_bfs_unreached,
     "bfs_distances": q_bfs_distances,
     "bfs_vertex_probe": q_bfs_vertex_probe,
     "bfs_named_first100": q_bfs_named_first100,
     "bfs_early_stop": q_bfs_early_stop,
     "kfold_split": q_kfold_split,
+    "kfold_files": q_kfold_files,
     "leave_n_out_split": q_leave_n_out_split,
     "leave_n_out_capped": q_leave_n_out_capped,
     "random_split": q_random_split,
     "stream_top_lengths": q_stream_top_lengths,
     "stream_hashtags_5m": q_stream_hashtags_5m,
+    "stream_hashtags_final": q_stream_hashtags_final,
+    "stream_allowed_words": q_stream_allowed_words,
     "hashtags_5m_batch": q_hashtags_5m_batch,
     "stream_popular_word": q_stream_popular_word,
     "stream_avg_length": q_stream_avg_length,
+    "text_comma_people": q_text_comma_people,
+    "text_comma_stations": q_text_comma_stations,
+    "text_tab_ratings": q_text_tab_ratings,
+    "text_pipe_genres": q_text_pipe_genres,
+    "text_adjacency_connections": q_text_adjacency_connections,
+    "text_adjacency_edges": q_text_adjacency_edges,
+    "text_quoted_names": q_text_quoted_names,
+    "text_labeled_points": q_text_labeled_points,
 }

@@ -86,6 +86,21 @@ SIMILAR = f"""WITH ui AS (SELECT "user", item, avg(rating) AS x FROM {RATINGS} r
       sc AS (SELECT item1, item2, CASE WHEN sqrt(sxx) * sqrt(syy) = 0 THEN 0.0
                                        ELSE sxy / (sqrt(sxx) * sqrt(syy)) END AS score, n FROM s)"""
 
+GENRES = """(SELECT s_suppkey AS id, s_name AS title,
+  CASE WHEN n_nationkey IS NULL THEN 0::BIGINT ELSE (1::BIGINT << n_regionkey) | (1::BIGINT << (n_nationkey + 5)) END AS genres
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey)"""
+
+
+def _epochs(value: str, table: str) -> str:
+    """The number of the micro-batch that replays each row of a table."""
+    return f"""replay AS (SELECT *, CAST(coalesce(floor(({value} - low) * {PARAMS["epochs"]} / (high - low + 1)), 0) AS INTEGER) AS batch
+      FROM {table}, (SELECT min({value}) AS low, max({value}) AS high FROM {table}) ends)"""
+
+
+# Windows that end by the last watermark, ten minutes before the last event.
+HASHTAGS_FINAL = f"""SELECT w.* FROM ({HASHTAGS_5M}) w
+      WHERE (window_start + 300) * 1000 <= (SELECT epoch_ms(max(ts)) FROM events) - 600000"""
+
 SQL: dict[str, str] = {
     "customer_spend": """SELECT o_custkey AS customer, round(sum(o_totalprice), 2) AS total_spent
       FROM orders GROUP BY o_custkey ORDER BY total_spent, customer""",
@@ -134,6 +149,12 @@ SQL: dict[str, str] = {
     "item_similarity": f"{SIMILAR} SELECT item1, item2, round(score, 6) AS score, n FROM sc",
     "item_similarity_strong": f"""{SIMILAR} SELECT item1, item2, round(score, 6) AS score, n FROM sc
       WHERE score > {PARAMS["strong_score"]} AND n > {PARAMS["strong_pairs"]}""",
+    "item_similarity_genres": f"""{SIMILAR}, g AS {GENRES},
+      pair AS (SELECT sc.*, coalesce(a.genres, 0) AS m1, coalesce(b.genres, 0) AS m2
+               FROM sc LEFT JOIN g a ON a.id = item1 LEFT JOIN g b ON b.id = item2),
+      o AS (SELECT *, CASE WHEN m1 | m2 = 0 THEN 0.0 ELSE bit_count(m1 & m2) / bit_count(m1 | m2) END AS overlap FROM pair)
+      SELECT item1, item2, n, round(score, 6) AS score, round(overlap, 6) AS genre_overlap,
+             round((1 - {PARAMS["genre_weight"]}::DOUBLE) * score + {PARAMS["genre_weight"]}::DOUBLE * overlap, 6) AS boosted FROM o""",
     "similar_to_item": f"""WITH ui AS (SELECT "user", item, avg(rating) AS x FROM {RATINGS} r GROUP BY 1, 2),
       t AS (SELECT "user", x FROM ui WHERE item = {PARAMS["similar_item"]}),
       s AS (SELECT ui.item, sum(t.x * ui.x) AS sxy, sum(t.x * t.x) AS sxx, sum(ui.x * ui.x) AS syy, count(*) AS n
@@ -168,7 +189,8 @@ SQL: dict[str, str] = {
       SELECT round(any_value(w1), 6) AS w_quantity, round(any_value(w2), 6) AS w_discount,
              round(any_value(w0), 6) AS intercept, count(*) AS n,
              round(sqrt(avg(power(w1 * feature + w2 * l_discount + w0 - label, 2))), 6) AS rmse FROM pts, f""",
-    "als_properties": """SELECT least(10, count(*)) AS items, least(10, count(*)) AS titled, true AS better_than_mean
+    "als_properties": """SELECT least(10, count(*)) AS items, least(10, count(*)) AS titled, true AS better_than_mean,
+             true AS solves_normal_equation
       FROM supplier""",
     "recommend_from_factors": f"""WITH me AS (SELECT embedding AS v FROM embeddings WHERE vec_id = {PARAMS["rating_user"]}),
       s AS (SELECT vec_id AS item, list_dot_product(embedding::DOUBLE[], v::DOUBLE[]) AS score FROM embeddings, me),
@@ -205,10 +227,13 @@ SQL: dict[str, str] = {
     "bfs_unreached": f"""{_bfs(2 * PARAMS["rating_user"], _FAR, "(SELECT c AS src, p AS dst FROM pairs)")},
       v AS (SELECT id FROM {NAMES} n UNION SELECT src FROM e UNION SELECT dst FROM e)
       SELECT v.id, coalesce(dist.distance::DOUBLE, 'Infinity'::DOUBLE) AS distance FROM v LEFT JOIN dist USING (id)""",
-    "graph_build": f"""WITH {PAIRS}, e AS {EDGES}, n AS (SELECT * FROM {NAMES} x WHERE id % 5 <> 0),
+    "graph_build": f"""WITH {PAIRS}, e AS {EDGES}, n AS {NAMES},
       names AS (SELECT id, min(name) AS name FROM n GROUP BY id),
       v AS (SELECT id FROM n UNION SELECT src FROM e)
       SELECT v.id, coalesce(names.name, 'Nobody') AS name FROM v LEFT JOIN names USING (id)""",
+    "graph_build_partial_names": f"""WITH {PAIRS}, e AS {EDGES}, n AS (SELECT c_custkey * 2 AS id, c_name AS name FROM customer),
+      v AS (SELECT id FROM n UNION SELECT src FROM e)
+      SELECT v.id, coalesce(n.name, 'Nobody') AS name FROM v LEFT JOIN n USING (id)""",
     "bfs_early_stop": f"""{_bfs(_ROOT, _ROUNDS)},
       rounds AS (SELECT CAST(r AS INTEGER) AS r FROM range(1, {_ROUNDS + 1}) t(r)),
       per AS (SELECT r AS round,
@@ -221,15 +246,40 @@ SQL: dict[str, str] = {
     "kfold_split": f"""WITH r AS {RATINGS}, b AS (SELECT CAST(ceil(count(*) / {PARAMS["kfolds"]}.0) AS BIGINT) AS blk FROM r)
       SELECT {_SPLIT_OUT}, CAST((row_number() OVER (ORDER BY {LINE_ORDER}) - 1) // blk AS INTEGER) AS fold
       FROM r, b""",
+    "kfold_files": f"""WITH r AS {RATINGS}, b AS (SELECT CAST(ceil(count(*) / {PARAMS["kfolds"]}.0) AS BIGINT) AS blk FROM r),
+      f AS (SELECT {_SPLIT_OUT}, CAST((row_number() OVER (ORDER BY {LINE_ORDER}) - 1) // blk AS INTEGER) AS fold FROM r, b)
+      SELECT {_SPLIT_OUT}, CAST(s AS INTEGER) AS split, CASE WHEN s = fold THEN 'test' ELSE 'base' END AS role
+      FROM f, range(0, {PARAMS["kfolds"]}) t(s)""",
     "leave_n_out_split": _leave_n_out(0),
     "leave_n_out_capped": _leave_n_out(PARAMS["leave_max_test"]),
     "random_split": f"""SELECT {_SPLIT_OUT}, {_BUCKET} AS split FROM {RATINGS} r""",
-    "stream_top_lengths": """SELECT CAST(row_number() OVER (ORDER BY length DESC) AS INTEGER) AS rank,
-      length FROM (SELECT CAST(length(text) AS INTEGER) AS length FROM conversations ORDER BY length DESC LIMIT 10) t""",
+    "stream_top_lengths": f"""WITH {_epochs("conv_id", "conversations")}
+      SELECT batch, CAST(row_number() OVER (PARTITION BY batch ORDER BY length(text) DESC) AS INTEGER) AS rank,
+             CAST(length(text) AS INTEGER) AS length FROM replay QUALIFY rank <= 10""",
+    "stream_allowed_words": rf"""WITH {_epochs("conv_id", "conversations")},
+      w AS (SELECT batch, unnest(regexp_split_to_array(lower(text), '[ \t\n\r\f]+')) AS word FROM replay),
+      c AS (SELECT batch, word, count(*) AS count FROM w WHERE word <> '' AND word NOT IN
+              (SELECT lower(x) FROM (SELECT unnest([{_STOP}]) AS x) s) GROUP BY batch, word)
+      SELECT batch, word, count, CAST(row_number() OVER (PARTITION BY batch ORDER BY count DESC, word) AS INTEGER) AS rank
+      FROM c QUALIFY rank <= 10""",
     "stream_hashtags_5m": HASHTAGS_5M,
     "hashtags_5m_batch": HASHTAGS_5M,
+    "stream_hashtags_final": HASHTAGS_FINAL,
     "stream_popular_word": r"""SELECT word, count(*) AS count FROM
       (SELECT unnest(regexp_split_to_array(text, '[ \t\n\r\f]+')) AS word FROM conversations) t
       WHERE word <> '' GROUP BY word ORDER BY count DESC, word LIMIT 10""",
     "stream_avg_length": """SELECT round(avg(length(text)), 6) AS avg_length, count(*) AS n FROM conversations""",
 }
+
+# The text formats give the results of the tables they were written from.
+SQL |= {
+    "text_comma_people": SQL["avg_by_key"],
+    "text_comma_stations": SQL["extreme_by_station"],
+    "text_tab_ratings": SQL["rating_histogram"],
+    "text_pipe_genres": f"SELECT * FROM {GENRES} g",
+    "text_adjacency_connections": f"""WITH {PAIRS}, e AS {EDGES}
+      SELECT src AS id, count(*) AS connections FROM e GROUP BY src""",
+    "text_adjacency_edges": f"""WITH {PAIRS}, e AS {EDGES} SELECT src, dst, count(*) AS n FROM e GROUP BY src, dst""",
+    "text_quoted_names": f"SELECT * FROM {NAMES} n",
+    "text_labeled_points": SQL["regression_rmse"],
+}

@@ -143,6 +143,30 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return fs.exists(target) and fs.getFileStatus(target).isDirectory()
 
 
+def make_directory(spark: SparkSession, path: str) -> None:
+    fs, target = _filesystem(spark, path)
+    fs.mkdirs(target)
+
+
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    """Move a file or folder within its file system, in one step where that has one."""
+    fs, source = _filesystem(spark, path)
+    if not fs.rename(source, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"could not move {path} to {to}")
+
+
+def create_empty(spark: SparkSession, path: str) -> None:
+    """An empty file, replacing one of that name."""
+    fs, target = _filesystem(spark, path)
+    fs.create(target, True).close()
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds (none if there is no such folder)."""
+    fs, target = _filesystem(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch file or folder (nothing happens if it is not there)."""
     fs, target = _filesystem(spark, path)

@@ -42,6 +42,22 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("title"))
 
 
+REGIONS, NATIONS = 5, 25
+
+
+def titles_with_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, title, genres)``: an item's genres are its region (bits 0 to 4) and
+    its nation (bits 5 to 29), so items of one nation share both and items of
+    one region share one."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").alias("n_nationkey"))
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    one = F.lit(1).cast("long")
+    mask = F.call_function("shiftleft", one, F.col("n_regionkey")).bitwiseOR(
+        F.call_function("shiftleft", one, F.col("n_nationkey") + REGIONS))
+    return s.join(n, "n_nationkey", "left").select(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("title"), F.coalesce(mask, F.lit(0).cast("long")).alias("genres"))
+
+
 def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(customer, amount)`` from orders."""
     return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("customer"),
@@ -95,6 +111,20 @@ def vertex_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.unionByName(p)
 
 
+def customer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, name)`` of the customer vertices only: a name table that lacks
+    vertices, as parts are known by their edges alone."""
+    return table(spark, sf_dir, "customer").select((F.col("c_custkey") * 2).alias("id"), F.col("c_name").alias("name"))
+
+
+def directed_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(src, dst)`` from customers to parts only, one edge per order line."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return li.join(orders, li.l_orderkey == orders.o_orderkey).select(
+        (F.col("o_custkey") * 2).alias("src"), (F.col("l_partkey") * 2 + 1).alias("dst"))
+
+
 def order_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id, connections)``, one row per order: its customer's vertex and the
     number of parts on the order (the per-line counts of an adjacency file)."""

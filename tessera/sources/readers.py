@@ -95,6 +95,26 @@ def read_titles(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") ->
                .select(F.trim(F.col("f")[0]).cast("int").alias("id"), F.col("f")[1].alias("title")))
 
 
+GENRES = 19  # flags at the end of a line of the item file
+
+
+def parse_genres(lines: DataFrame, col: str = "value", first: int = 5, flags: int = GENRES) -> DataFrame:
+    """Pipe rows of the item file to ``(id, title, genres)``: field 0 is the id,
+    field 1 the title, and the ``flags`` fields from number ``first`` on are 0 or
+    1; ``genres`` has bit k set if the k-th is 1. Lines with a single field are
+    dropped, as in ``read_titles``; missing flags count as 0."""
+    fields = java_split(F.col(col), r"\|")
+    mask = F.lit(0).cast("long")
+    for k in range(flags):
+        mask = mask.bitwiseOR(F.when(F.get("f", F.lit(first + k)) == "1", F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")))
+    return (lines.select(fields.alias("f")).filter(F.size("f") > 1)
+                 .select(F.trim(F.col("f")[0]).cast("long").alias("id"), F.col("f")[1].alias("title"), mask.alias("genres")))
+
+
+def read_genres(spark: SparkSession, path: str, flags: int = GENRES) -> DataFrame:
+    return parse_genres(read_text(spark, path), flags=flags)
+
+
 def read_station_readings(spark: SparkSession, path: str) -> DataFrame:
     """``station,date,type,value[,...]`` weather readings."""
     return _csv(spark, path, STATION_SCHEMA)

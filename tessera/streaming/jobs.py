@@ -7,28 +7,37 @@
   stated purpose: 5-minute window, 1-second slide) with a watermark that
   bounds state; the top k per window is taken in ``foreachBatch`` once a
   window is final (append mode emits each window exactly once).
+* ``allowed_words``: per micro-batch, the most frequent words that are not on a
+  list, which is read again for each batch.
 
 The counting is two-staged: hashtags are first counted per 1-second bucket,
-then the windows covering each bucket are counted. In append mode the stream
-chains two event-time aggregations. In complete mode the buckets are the state
-and each micro-batch turns them into windows as the batch form does: entry and
-exit deltas and running sums, so no status or bucket is copied into its
-``window/slide`` windows. All forms give the same counts.
+then buckets become windows: entry and exit deltas and running sums, so no
+status or bucket is copied into its ``window/slide`` windows. In append mode
+Spark's state holds the buckets that the watermark has not passed; buckets that
+it has passed are final, and those of the last window length are carried to the
+next micro-batch, so a window is complete when the watermark passes its end. Both
+are bounded by window and watermark, whatever the length of the stream. In complete
+mode all buckets are state and each micro-batch makes all windows anew. All
+forms give the same counts.
 
 Sinks write parquet to a folder under the shared checkpoint folder; the
 streaming checkpoint (offsets, state) lives there too, so a restarted query
 resumes where it stopped. Outputs go to one folder per epoch, overwritten on
-replay, so a batch re-run after a failure is not duplicated.
+replay, so a batch re-run after a failure is not duplicated, and an epoch counts
+once it is listed (``tessera.sources.sinks``).
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import hashtags
-from tessera.sources.sinks import write_epoch
-from tessera.session import is_directory, scratch_path, shuffle_partitions
+from tessera.sources.readers import read_stop_words
+from tessera.sources.sinks import commit_epoch, committed_epochs, read_epochs
+from tessera.session import partitions_for, scratch_path
 
 
 def _seconds(duration: str) -> int:
@@ -55,6 +64,9 @@ def hashtag_window_counts(statuses: DataFrame, window: str = "5 minutes", slide:
     return window_counts(bucket_counts(statuses, slide, ts, text), window, slide, chunk_windows)
 
 
+EXPANDED_BYTES = 8 << 20  # input whose windows one task makes
+
+
 def window_counts(per_bucket: DataFrame, window: str = "5 minutes", slide: str = "1 second",
                   chunk_windows: int = 12) -> DataFrame:
     """Sliding-window counts from ``bucket_counts``.
@@ -86,8 +98,9 @@ def window_counts(per_bucket: DataFrame, window: str = "5 minutes", slide: str =
         F.struct((F.col("bi") + 1).alias("pos"), (-F.col("c")).alias("d")))).alias("e")
     ).select("hashtag", "chunk", "e.pos", "e.d")
     # The delta table is small but expands into the output next: an explicit
-    # partition count keeps AQE from coalescing it into one task.
-    deltas = deltas.repartition(shuffle_partitions(per_bucket.sparkSession), "hashtag", "chunk")
+    # partition count keeps AQE from coalescing it into one task. It follows the
+    # bytes that are read, as a bucket becomes a row per window.
+    deltas = deltas.repartition(partitions_for(per_bucket, EXPANDED_BYTES), "hashtag", "chunk")
     order = Window.partitionBy("hashtag", "chunk").orderBy("pos")
     seg = deltas.select(
         "hashtag", "chunk", "pos",
@@ -115,23 +128,19 @@ def hashtag_top_windows(statuses: DataFrame, window: str = "5 minutes", slide: s
     return top_per_window(hashtag_window_counts(statuses, window, slide), k)
 
 
-def streaming_hashtag_counts(statuses: DataFrame, window: str = "5 minutes", slide: str = "1 second",
-                             watermark: str = "10 minutes") -> DataFrame:
-    """Streaming form of ``hashtag_window_counts`` for append mode: two chained
-    event-time aggregations, 1-second buckets then sliding windows over
-    ``window_time`` of the buckets; the watermark lets both stages drop
-    finished state."""
-    per_bucket = bucket_counts(tags_with_watermark(statuses, watermark), slide)
-    sliding = (per_bucket.groupBy(F.window(F.window_time("b"), window, slide).alias("w"), "hashtag")
-                         .agg(F.sum("c").alias("count")))
-    return sliding.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                          "hashtag", "count")
-
-
 def tags_with_watermark(statuses: DataFrame, watermark: str) -> DataFrame:
     return statuses.withWatermark("ts", watermark)
 
 
+def epoch_watermark(spark: SparkSession, checkpoint: str, epoch: int) -> int:
+    """The watermark (epoch milliseconds) that held in a micro-batch, which Spark
+    notes in the stream's offset log before it runs the batch."""
+    for row in spark.read.text(f"{checkpoint}/offsets/{int(epoch)}").collect():  # a few lines
+        if "batchWatermarkMs" in row["value"]:
+            return int(json.loads(row["value"])["batchWatermarkMs"])
+    return 0
+
+
 def _run(spark: SparkSession, result: DataFrame, sink, out_path: str, output_mode: str, schema: str,
          available_now: bool, trigger_seconds: int, timeout: float | None) -> str:
     """Start ``result`` with ``sink`` per micro-batch and wait. A stream without
@@ -143,18 +152,26 @@ def _run(spark: SparkSession, result: DataFrame, sink, out_path: str, output_mod
     query = writer.start()
     if not query.awaitTermination(timeout) and timeout is not None:
         query.stop()
-    if not is_directory(spark, out_path):
-        write_epoch(spark.createDataFrame([], schema), out_path, 0)
+    if not committed_epochs(spark, out_path):
+        commit_epoch(spark.createDataFrame([], schema), out_path, 0)
     return out_path
 
 
 def latest(spark: SparkSession, out_path: str) -> DataFrame:
-    """The newest epoch of a complete-mode sink, without its ``batch`` column."""
-    rows = spark.read.parquet(out_path)
-    newest = rows.agg(F.max("batch")).first()[0]
-    return (rows if newest is None else rows.filter(F.col("batch") == F.lit(newest))).drop("batch")
+    """The newest committed epoch of a complete-mode sink, without its ``batch``
+    column. Only that epoch's files are read."""
+    newest = committed_epochs(spark, out_path)[-1]
+    return spark.read.parquet(f"{out_path}/batch={newest}")
+
 
+def every_epoch(spark: SparkSession, out_path: str, schema: str) -> DataFrame:
+    """The rows of all committed epochs of a sink, with their ``batch``."""
+    return read_epochs(spark, out_path, committed_epochs(spark, out_path), schema)
 
+
+BUCKET_SCHEMA = "b struct<start:timestamp,end:timestamp>, hashtag string, c long"
+LENGTH_SCHEMA = "rank int, length int"
+WORD_SCHEMA = "word string, count long, rank int"
 WINDOW_SCHEMA = "window_start timestamp, window_end timestamp, hashtag string, count long, rank int"
 
 
@@ -165,7 +182,8 @@ def run_hashtag_stream(spark: SparkSession, statuses: DataFrame, out_path: str |
     """Start the hashtag job; returns the sink folder (parquet, one folder per
     epoch).
 
-    ``append``: each window once, when the watermark has passed it.
+    ``append``: each window once, when the watermark has passed its end. The final buckets of the last window length are kept beside the sink, one
+    table per epoch of which the newest two stay, and meet the next epoch's.
     ``complete``: the state holds the count of every bucket; each micro-batch
     turns all of them into windows and writes the whole result as its epoch
     (``latest`` reads the newest), so a reader never sees a half-written one.
@@ -174,11 +192,30 @@ def run_hashtag_stream(spark: SparkSession, statuses: DataFrame, out_path: str |
     if output_mode == "complete":
         counts = bucket_counts(statuses, slide)
     else:
-        counts = streaming_hashtag_counts(statuses, window, slide, watermark)
-
-    def sink(batch: DataFrame, epoch: int) -> None:
-        windows = window_counts(batch, window, slide) if output_mode == "complete" else batch
-        write_epoch(top_per_window(windows, k), out_path, epoch)
+        counts = bucket_counts(tags_with_watermark(statuses, watermark), slide)
+    carry, length = out_path + "-buckets", _seconds(window)
+
+    def all_windows(batch: DataFrame, epoch: int) -> None:
+        commit_epoch(top_per_window(window_counts(batch, window, slide), k), out_path, epoch, keep=1)
+
+    def final_windows(batch: DataFrame, epoch: int) -> None:
+        # An epoch that runs again reads what the ones before it left, so it gives the same.
+        before = [e for e in committed_epochs(spark, carry) if e < epoch][-1:]
+        carried = read_epochs(spark, carry, before, BUCKET_SCHEMA).drop("batch")
+        batch.persist()
+        try:
+            now = epoch_watermark(spark, out_path + "-checkpoint", epoch) // 1000
+            then = epoch_watermark(spark, out_path + "-checkpoint", before[0]) // 1000 if before else 0
+            buckets = carried.unionByName(batch.select("b", "hashtag", "c"))
+            end = F.unix_seconds("window_end")  # complete now, and not before
+            windows = window_counts(buckets, window, slide).filter((end > F.lit(then)) & (end <= F.lit(now)))
+            buckets = buckets.filter(F.unix_seconds("b.end") > F.lit(now - length))
+            commit_epoch(top_per_window(windows, k), out_path, epoch)
+            commit_epoch(buckets, carry, epoch, keep=2)
+        finally:
+            batch.unpersist()
+
+    sink = all_windows if output_mode == "complete" else final_windows
 
     return _run(spark, counts, sink, out_path, output_mode, WINDOW_SCHEMA, available_now, trigger_seconds, timeout)
 
@@ -194,15 +231,35 @@ def run_top_lengths_stream(spark: SparkSession, statuses: DataFrame, out_path: s
     def sink(batch: DataFrame, epoch: int) -> None:
         top = batch.orderBy(F.col("length").desc()).limit(k)
         ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(F.col("length").desc())))
-        write_epoch(ranked.select("rank", "length"), out_path, epoch)
+        commit_epoch(ranked.select("rank", "length"), out_path, epoch)
 
-    return _run(spark, lengths, sink, out_path, "append", "rank int, length int", available_now, trigger_seconds,
-                timeout)
+    return _run(spark, lengths, sink, out_path, "append", LENGTH_SCHEMA, available_now, trigger_seconds, timeout)
 
 
 WHITESPACE = "[ \t\n\r\f]+"
 
 
+def run_allowed_words(spark: SparkSession, statuses: DataFrame, banned_path: str, out_path: str | None = None,
+                      k: int = 10, text: str = "text", available_now: bool = True, trigger_seconds: int = 1,
+                      timeout: float | None = None) -> str:
+    """Per micro-batch: the k most frequent words of its statuses that the word
+    file ``banned_path`` (one word a line) does not list. The file is read for
+    each batch, so a changed list holds from the next batch on. Returns the
+    sink folder with ``(batch, word, count, rank)``."""
+    out_path = out_path or scratch_path(spark, "allowed-out")
+    words = statuses.select(F.explode(F.split(F.lower(F.col(text)), WHITESPACE)).alias("word")).filter(F.col("word") != "")
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        # A new reader lists the file again; counts are few next to words, so the list meets those.
+        counts = batch.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+        banned = read_stop_words(spark, banned_path).select(F.lower(F.trim("word")).alias("word")).distinct()
+        order = [F.col("count").desc(), F.col("word").asc()]
+        top = counts.join(banned, "word", "left_anti").orderBy(*order).limit(k)
+        commit_epoch(top.withColumn("rank", F.row_number().over(Window.orderBy(*order))), out_path, epoch)
+
+    return _run(spark, words, sink, out_path, "append", WORD_SCHEMA, available_now, trigger_seconds, timeout)
+
+
 def word_running_counts(statuses: DataFrame, text: str = "text") -> DataFrame:
     """Running count per whitespace-separated word (a stateful aggregation:
     one state row per distinct word)."""
@@ -224,7 +281,7 @@ def run_running_aggregate(spark: SparkSession, result: DataFrame, out_path: str
     out_path = out_path or scratch_path(spark, name + "-out")
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        write_epoch(batch.orderBy(*order).limit(k) if k else batch, out_path, epoch)
+        commit_epoch(batch.orderBy(*order).limit(k) if k else batch, out_path, epoch, keep=1)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in result.schema.fields)
     return _run(spark, result, sink, out_path, "complete", schema, available_now, trigger_seconds, timeout)

@@ -27,6 +27,28 @@ def test_every_query_has_oracle_or_is_documented():
     assert set(CATALOG) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
+def test_entry_survives_a_missing_third_party_module():
+    """The analytics queries import where a module of the optional subpackage is
+    not installed; an error in its own code is not hidden."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = """import builtins, sys
+sys.path.insert(0, {root!r})
+plain = builtins.__import__
+def blocked(name, *a, **k):
+    if name.split('.')[0] == 'zstandard':
+        raise ModuleNotFoundError("No module named 'zstandard'", name='zstandard')
+    return plain(name, *a, **k)
+builtins.__import__ = blocked
+import __spark_entry__ as e
+from tessera.plans.catalog import QUERIES
+assert set(QUERIES) <= set(e.queries()), 'analytics queries are missing'
+""".format(root=root)
+    assert subprocess.run([sys.executable, "-c", code], capture_output=True).returncode == 0
+
+
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == ["item1", "item2", "score", "n"]

@@ -137,3 +137,54 @@ def test_bfs_leaves_no_scratch_tables(spark):
     assert dict(rows(d)) == brute_bfs(_edges(), 0, 3) and rows(p) == [(2, 2)]
     left = {n for n in os.listdir(root) if n not in before and not n.startswith("bfs-reached")}
     assert not [n for n in left if os.listdir(os.path.join(root, n)) and n.startswith(("bfs-edges", "bfs-frontier"))]
+
+
+def test_rounds_shuffle_the_frontier_only(spark, monkeypatch):
+    """No exchange lies between the edge scan and the join of a round."""
+    plans = []
+    plain = graph._expand
+
+    def noted(prepared, heavy, frontier):
+        hop = plain(prepared, heavy, frontier)
+        plans.append(hop._jdf.queryExecution().executedPlan().toString())
+        return hop
+
+    monkeypatch.setattr(graph, "_expand", noted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a large frontier
+    try:
+        e = _edges() + [(0, k) for k in range(200, 260)]
+        df = spark.createDataFrame(e, "src long, dst long")
+        assert dict(rows(graph.bfs_distances(df, 0, chunk_edges=20))) == brute_bfs(e, 0, 99)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(plans) > 5
+    for plan in plans:
+        lines = plan.splitlines()
+        scan = next(i for i, line in enumerate(lines) if "bfs_edges" in line)
+        depth = len(lines[scan]) - len(lines[scan].lstrip(" :+-*()0123456789"))
+        above = []  # the scan's ancestors up to the join
+        for line in reversed(lines[:scan]):
+            d = len(line) - len(line.lstrip(" :+-*()0123456789"))
+            if d < depth:
+                depth = d
+                above.append(line)
+                if "Join" in line:
+                    break
+        assert above and "Join" in above[-1] and not any("Exchange" in line for line in above), plan
+
+
+def test_bucket_count_stays_below_the_limit(spark, monkeypatch):
+    df = spark.createDataFrame([(1, 2)], "src long, dst long")
+    monkeypatch.setattr(graph, "partitions_for", lambda *_: 10**7)  # a huge byte estimate
+    assert graph.edge_buckets(df) == 100_000
+    monkeypatch.setattr(graph, "partitions_for", lambda *_: 30)
+    assert graph.edge_buckets(df) == 30
+
+
+def test_search_leaves_no_table(spark):
+    df = spark.createDataFrame(_edges(), "src long, dst long")
+    before = {t.name for t in spark.catalog.listTables()}
+    graph.bfs_early_stop(df, 0, 6)
+    graph.bfs_distance_to(df, 0, 6)
+    assert {t.name for t in spark.catalog.listTables()} == before

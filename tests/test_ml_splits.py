@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tessera.operators import ml, splits
+from tessera.session import scratch_path
 
 
 def _points(seed, n=300, d=1):
@@ -190,3 +191,36 @@ def test_partition_count_follows_bytes_read(spark, tmpdir_path):
     joined = df.join(spark.read.parquet(path).withColumnRenamed("v", "w"), "id")
     assert input_bytes(joined) == 2 * size  # read bytes add up; no join product
     assert partitions_for(spark.createDataFrame([(1,)], "a int")) == base  # no statistics
+
+
+def test_folds_are_written_in_one_pass(spark):
+    rnd = random.Random(8)
+    data = [(rnd.randint(0, 30), rnd.randint(0, 30), k) for k in range(700)]
+    df = spark.createDataFrame(data, "user int, item int, row int").repartition(6)
+    folds = splits.kfold_split(df, ["row"], 5)
+    path = splits.write_folds(folds, 5, scratch_path(spark, "folds"), ["user", "item"])
+    for fold in range(5):
+        want = splits.fold_sets(folds, fold)
+        got = splits.read_fold(spark, path, fold)
+        for g, w in zip(got, want):
+            assert rows(g, "user", "item", "row") == rows(w, "user", "item", "row")
+        # The files in the order of their names are sorted.
+        for role in ("base", "test"):
+            folder = f"{path}/set={fold}/role={role}".replace("file:", "")
+            keys = [(r["user"], r["item"]) for name in sorted(x for x in os.listdir(folder) if x.endswith(".parquet"))
+                    for r in spark.read.parquet(f"{folder}/{name}").collect()]
+            assert keys == sorted(keys) and keys
+
+
+def test_normal_equation_tells_factors_that_solve_it(spark):
+    rnd = random.Random(2)
+    data = [(u, i, float(rnd.randint(1, 5))) for u in range(30) for i in rnd.sample(range(20), 9)]
+    df = spark.createDataFrame(data, "user int, item int, rating float")
+    model, fitted, _, _ = ml.fit_als(df, rank=4, max_iter=5, reg=0.05)
+    for user in (0, 7, 29):
+        row = ml.normal_equation_residual(fitted, model.userFactors, model.itemFactors, user, 0.05).first()
+        assert row["n"] == 9 and row["residual"] < 1e-3
+        # Any other vector, or another weight of the penalty, does not solve it.
+        other = model.userFactors.withColumn("features", F.transform("features", lambda x: (x * 1.05).cast("float")))
+        assert ml.normal_equation_residual(fitted, other, model.itemFactors, user, 0.05).first()["residual"] > 1e-2
+    assert ml.normal_equation_residual(fitted, model.userFactors, model.itemFactors, 999, 0.05).first()["residual"] is None
