@@ -6,7 +6,8 @@ but the last return the columns of ``documents``.
 
 1. *Language*: documents whose language compression cannot tell go.
 2. *Near duplicates*: of each group of documents linked by five-word runs at a
-   similarity of 0.8, the one with the smallest id stays.
+   similarity of 0.8, the one with the smallest id stays. Rows that share an id
+   are documents of their own.
 3. *Personal data*: spans are replaced by their kind.
 4. *Mixing*: rows are repeated to the temperature weights of their sources,
    under the smallest budget that uses every document.
@@ -33,12 +34,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows repeated under one id are copies of each other, so one stays; rows
-    without an id cannot be told apart and all stay."""
-    groups = jaccard_components(docs)
-    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    stay = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stay.unionByName(docs.filter(F.col("doc_id").isNull()))
+    """Rows are told apart by a key of their own, written once, so only similarity
+    decides which go: of each group the first row in the order of ids stays
+    (rows without an id come last, rows of one id in the order of their keys),
+    and two different texts under one id both stay. A row without words is
+    linked with nothing and stays."""
+    key = next(name for name in ("_row", *(f"_row{k}" for k in range(len(docs.columns)))) if name not in docs.columns)
+    keyed = cut(docs.withColumn(key, F.monotonically_increasing_id()), "pipeline-keyed")
+    groups = jaccard_components(keyed.select(F.col(key).alias("doc_id"), "text"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(key).alias("key"))
+    first = keyed.select(key, "doc_id").join(groups.select(F.col("doc_id").alias(key), "component_id"), key).groupBy(
+        "component_id").agg(F.min(order).alias("first")).select(F.col("first.key").alias(key))
+    return keyed.join(first, key, "left_semi").drop(key)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
