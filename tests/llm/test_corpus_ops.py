@@ -374,3 +374,33 @@ def test_pipeline_stages_take_effect(spark, tmpdir_path):
     whole = Counter(tuple(r) for r in corpus_pipeline.run(spark, tmpdir_path).select(
         "doc_id", "start", "length", "ids_crc32").collect())
     assert whole == Counter((r.doc_id, r.start, r.length, r.ids_crc32) for r in seen[4])
+
+
+def test_pipeline_keeps_every_row_that_is_no_copy(spark, tmpdir_path):
+    """Repeated and missing ids, extra columns, null and empty texts: only
+    similarity decides which rows the second stage drops."""
+    import corpus_pipeline
+
+    words = [f"w{k}" for k in range(300)]
+    text = {c: " ".join(words[a:a + 60]) for c, a in zip("abcd", (0, 70, 140, 210))}
+    near = text["a"].replace("w59", "x")
+    table = [(1, text["a"], "en", "s"), (1, text["b"], "en", "s"), (1, text["a"], "en", "s"), (2, near, "en", "s"),
+             (None, text["c"], "en", "s"), (None, text["d"], "en", "s"), (None, text["b"], "en", "s"), (0, text["c"], "en", "s"),
+             (7, None, "en", "s"), (7, "", "en", "s"), (7, "  ", "en", "s")]
+    docs = documents(spark, table, partitions=3)
+    docs = docs.withColumn("_row", F.lit(1)).withColumn("component_id", F.lit(2)).withColumn("none", F.lit(3))
+    got = corpus_pipeline.near_duplicates(spark, docs, tmpdir_path)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in got.collect()) == sorted([
+        (False, 1, text["a"]), (False, 1, text["b"]), (False, 0, text["c"]), (True, 0, text["d"]),
+        (False, 7, ""), (False, 7, ""), (False, 7, "  ")])
+
+
+@pytest.mark.parametrize("table", [[], [(None, None, None, None)] * 3, [(5, "one", "en", "s")] * 2 + [(None, "a " * 50, None, "t")]])
+def test_pipeline_on_odd_tables(spark, tmpdir_path, table):
+    import corpus_pipeline
+
+    documents(spark, table, extra=False).write.parquet(f"{tmpdir_path}/documents.parquet")
+    out = corpus_pipeline.run(spark, tmpdir_path)
+    assert {"doc_id", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(out.columns)
+    assert out.count() <= 40
