@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tessera.llm.common import WORD
 from tessera.llm.mixing import MixParams
-from tessera.llm.pii import CONTEXT_BONUS, CONTEXT_CHARS, KINDS, MIN_SCORE
+from tessera.llm.pii import ACCOUNT_LENGTHS, CONTEXT_BONUS, CONTEXT_CHARS, KINDS, MIN_SCORE
 
 WORDS = f"regexp_extract_all(coalesce(text, ''), '{WORD}')"
 
@@ -33,16 +33,25 @@ VALID = {
     "ip": "len(list_filter(string_split(v, '.'), lambda p: p::DOUBLE > 255)) = 0",
     "card": f"CASE WHEN length({_digits('v')}) BETWEEN 13 AND 19 THEN {_luhn('v')} ELSE false END",
     "phone": f"length({_digits('v')}) BETWEEN 9 AND 15",
-    "iban": f"CASE WHEN length(replace(v, ' ', '')) BETWEEN 15 AND 34 THEN {_mod97('v')} ELSE false END",
+    "iban": f"CASE WHEN v <> '' THEN {_mod97('v')} ELSE false END",
     "ssn": "NOT regexp_matches(v, '^(?:000|666|9)|-00-|-0000$')",
 }
 
 
+def _account(v: str) -> str:
+    """A proposed account number up to its country's length, if that ends it."""
+    n = f"(CASE substr({v}, 1, 2) {' '.join(f'WHEN {c!r} THEN {n}' for c, n in ACCOUNT_LENGTHS.items())} END)"
+    size = f"({n} + CASE WHEN substr({v}, 5, 1) = ' ' THEN ({n} - 1) // 4 ELSE 0 END)"
+    return (f"(CASE WHEN length({v}) >= {size} AND substr({v}, {size} + 1, 1) IN ('', ' ') THEN substr({v}, 1, {size}) "
+            f"ELSE '' END)")
+
+
 def pii_sql(relation: str = "documents") -> str:
     """Positions are the lengths of the pieces between the matches added up."""
     hits = "".join(f"""
   {'UNION ALL ' if rank else ''}SELECT rid, {rank} AS rank, '{k.name}' AS kind, {k.confidence} AS confidence,
-    '{k.context}' AS context, '{k.apart}' AS apart, {str(k.base).lower()} AS base, hits[i] AS v,
+    '{k.context}' AS context, '{k.apart}' AS apart, {str(k.base).lower()} AS base,
+    {_account('hits[i]') if k.name == 'iban' else 'hits[i]'} AS v,
     (coalesce(list_sum(list_transform(gaps[1:i], lambda g: length(g))), 0)
      + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0))::BIGINT AS s
   FROM (SELECT rid, hits, gaps, unnest(range(1, len(hits) + 1)) AS i

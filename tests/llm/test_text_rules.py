@@ -8,6 +8,8 @@ import duckdb
 import pytest
 from llm_data import documents, rows
 
+from pyspark.sql import functions as F
+
 from tessera.llm import html, language, oracle, pii, quality
 from tessera.llm.common import crc_fold, word_hashes, window_hashes
 
@@ -145,6 +147,8 @@ PII_ROWS = [
     (5, "XDE89370400440532013000 GB82WEST12345698765432x GB82WEST12345698765432 1078-05-1120 ssn 078-05-1120-", "", ""),
     (6, "5" * 30_000 + " " + "a" * 50_000 + "@" + "x." * 3, "", ""),
     (7, "4111111111111112 4111111111111111 41-11 1111 1111 1111-11 +12 345 +123456789012345 +1234567890123456", "", ""),
+    (9, "account BE68 5390 0754 7034 BIC, AT61 1904 3002 3457 3201 BIC NO93 8601 1117 947 iban XX68 5390 0754 7034 BE68 5390 0754 7034x"
+        " BE68539007547034 BE685390075470341 BE68 5390 0754 7034 ABCD EFGH", "", ""),
     (8, "1.1.1.1 1.1.1.1\n1.1.1.1@x.y.z 0.0.0.0a@b.c", "", ""),
 ]
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -193,6 +197,38 @@ def test_pii_base_spans_match_regular_expressions(spark):
     by = {r.doc_id: r.spans for r in got}
     assert by[4].split(",")[2:] == ["iban:55:82", "ssn:91:102"]  # the last number has no context
     assert by[5] == "iban:48:70"
+    text = dict((i, t) for i, t, *_ in PII_ROWS)[9]
+    places = [(text.index(v), v) for v in ("BE68 5390 0754 7034 BIC", "AT61 1904 3002 3457 3201", "NO93 8601 1117 947", "BE68539007547034 ",
+                                           "BE68 5390 0754 7034 ABCD")]
+    want = [f"iban:{a}:{a + len(v.replace(' BIC', '').replace(' ABCD', '').strip())}" for a, v in places]
+    assert [s for s in by[9].split(",") if s.startswith("iban")] == want
+
+
+def test_pii_keeps_columns_named_like_its_own(spark):
+    docs = documents(spark, PII_ROWS)
+    own = ["_pii_text", "_pii_spans", "_PII_email", "__pii_x", "_spans", "_spans2"]
+    for k, c in enumerate(own):
+        docs = docs.withColumn(c, F.lit(f"own{k}"))
+    found, masked = pii.find_pii(docs), pii.mask_pii(docs)
+    assert masked.columns == docs.columns and set(found.columns) == set(docs.columns)
+    for df in (found, masked):
+        assert {tuple(r) for r in df.select(*own).collect()} == {tuple(f"own{k}" for k in range(len(own)))}
+    plain = pii.mask_pii(documents(spark, PII_ROWS))
+    assert sorted(str(r.text) for r in masked.collect()) == sorted(str(r.text) for r in plain.collect())
+
+
+def test_pii_of_a_text_with_many_spans(spark):
+    import time
+
+    text = " ".join(f"user{k}@mail.example{k % 7}.org" for k in range(8000))
+    docs = documents(spark, [(1, text, "", "")], extra=False)
+    pii.pii_digest(docs.limit(1)).collect()  # compiled
+    began = time.perf_counter()
+    row = pii.pii_digest(docs).first()
+    took = time.perf_counter() - began
+    want = [f"email:{m.start()}:{m.end()}" for m in re.finditer(BASE["email"], text)]
+    assert row.spans == ",".join(want) and row.n_email == 8000
+    assert took < 10  # the quadratic form took half a minute
 
 
 def test_pii_matches_sql(spark):
