@@ -36,7 +36,8 @@ OUT = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", p
 @dataclass(frozen=True)
 class LanguageParams:
     """``sample_docs`` texts per language (the bound of the training sample),
-    ``sample_chars`` of each, ``dict_bytes`` per dictionary."""
+    ``sample_chars`` of each, ``dict_bytes`` per dictionary: each sampled text
+    has an equal share of those bytes, and shorter ones leave theirs to the rest."""
     sample_docs: int = 200
     sample_chars: int = 2000
     dict_bytes: int = 96 << 10
@@ -61,8 +62,20 @@ def fit_dictionaries(train: DataFrame, params: LanguageParams = LanguageParams()
     by: dict[str, list[tuple[int, str]]] = {}
     for r in picked.select("lang", "r", "part").collect():
         by.setdefault(r["lang"], []).append((r["r"], r["part"]))
-    # The most useful content is the last of a raw dictionary; any order does here.
-    return {k: "\n".join(t for _, t in sorted(v)).encode()[:params.dict_bytes] for k, v in sorted(by.items())}
+    return {k: shared_bytes([t.encode() for _, t in sorted(v)], params.dict_bytes) for k, v in sorted(by.items())}
+
+
+def shared_bytes(texts: list[bytes], limit: int) -> bytes:
+    """All ``texts``, a line each, the longer ones cut to one length so that the
+    whole has at most ``limit`` bytes."""
+    room, longest = limit, 0
+    for k, size in enumerate(sorted(len(t) + 1 for t in texts)):
+        longest = room // (len(texts) - k)  # of those that are left, if they are all cut
+        if size > longest:
+            break
+        room -= size
+        longest = limit
+    return b"".join(t[:max(0, longest - 1)] + b"\n" for t in texts)[:limit]
 
 
 class Classifier:

@@ -379,3 +379,20 @@ def test_html_generated_pages_keep_the_article_only():
 def test_html_smoothing_keeps_constant_and_sums_to_one():
     assert html.smoothed([3.0] * 7, 1.0) == pytest.approx([3.0] * 7)
     assert html.smoothed([0, 0, 0, 1.0, 0, 0, 0], 1.0)[3] == max(html.smoothed([0, 0, 0, 1.0, 0, 0, 0], 1.0))
+
+
+def test_language_sample_uses_every_text():
+    import random
+
+    rng = random.Random(3)
+    for limit in (50, 1000, 96 << 10):
+        texts = [b"%d:" % k + b"x" * rng.randint(0, 900) for k in range(rng.randint(1, 200))]
+        made = language.shared_bytes(texts, limit)
+        assert len(made) <= limit
+        if limit > 20 * len(texts):  # room for the start of each
+            lines = made.split(b"\n")[:-1]
+            assert [t[:len(x)] for t, x in zip(texts, lines)] == lines and len(lines) == len(texts)
+            cut = [len(x) for x, t in zip(lines, texts) if len(x) < len(t)]
+            assert len(set(cut)) <= 1 and all(len(x) <= max(cut, default=limit) for x in lines)
+            assert len(made) > limit - len(texts) or not cut
+    assert language.shared_bytes([], 10) == b""
