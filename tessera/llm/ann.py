@@ -17,7 +17,7 @@ shards' best are merged by a window per query.
 Defined results: vectors that are null, zero, hold null or non-finite
 components, or have another length than most, take no part, neither as
 query nor as candidate; ties go to the smaller id; rows repeated under one id
-are one row; a query with fewer candidates than ``k`` returns all of them; an
+are one row, with the smallest of their vectors; a query with fewer candidates than ``k`` returns all of them; an
 empty table gives none. Other columns are not read.
 """
 
@@ -36,13 +36,13 @@ from tessera.llm.common import cut, mix
 
 @dataclass(frozen=True)
 class GraphParams:
-    shard_rows: int = 8192
+    shard_rows: int = 32768   # nodes of a shard, which choose their neighbours among all of them
     degree: int = 16          # neighbours chosen per node; twice that many at the bottom, plus links back
     build_beam: int = 64      # candidates a node chooses from
     beam: int = 128           # nodes kept per query at the bottom
     upper_beam: int = 16
     expand: int = 4           # nodes of a beam followed at a time
-    query_block: int = 4096   # queries that one task takes through one shard
+    query_block: int = 32768  # queries that one task takes through one shard, which has a copy for each block
 
 
 def usable(vector: Column) -> Column:
@@ -55,7 +55,8 @@ def clean_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embeddin
     rows = table.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
     rows = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     sizes = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    return rows.filter(F.size("vector") == (sizes[0]["d"] if sizes else 0)).dropDuplicates(["vec_id"])
+    rows = rows.filter(F.size("vector") == (sizes[0]["d"] if sizes else 0))
+    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
 
 # --- building -------------------------------------------------------------------------

@@ -334,6 +334,15 @@ def test_neighbours_edge_cases(spark):
     assert ann.nearest_neighbours(df.limit(0)).count() == 0
 
 
+def test_a_repeated_id_has_its_smallest_vector(spark):
+    rows_ = [(0, [1.0, 0.0]), (1, [0.5, 2.0]), (1, [0.5, 1.0]), (1, [0.9, 0.0]), (2, [0.6, 9.0]), (0, [1.0, 0.0])]
+    for seed in range(3):
+        random.Random(seed).shuffle(rows_)
+        df = spark.createDataFrame(rows_, "vec_id long, embedding array<double>").repartition(4)
+        assert [(r.query_id, r.vec_id, r.score) for r in ann.nearest_neighbours(df).orderBy("rank").collect()] == [
+            (0, 2, 0.6), (0, 1, 0.5)]
+
+
 # --- pipeline -------------------------------------------------------------------------------------
 
 def test_pipeline_stages_take_effect(spark, tmpdir_path):
