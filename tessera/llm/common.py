@@ -6,6 +6,7 @@ the five ASCII line and tab characters), the same rule for every operator.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,11 +48,36 @@ def cut(df: DataFrame, name: str, conf: dict[str, str] | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
-def buckets_for(df: DataFrame, per_bucket: int = 4 << 20) -> int:
-    """Hash buckets (a power of two, 8 at least) for data that follows the
-    size of what ``df`` reads: about ``per_bucket`` input bytes each."""
-    size = input_bytes(df) or 0
-    return 1 << max(3, (max(1, -(-size // per_bucket)) - 1).bit_length())
+PROPORTIONAL = 512 << 20  # input up to which buckets follow it in proportion
+BUCKET_BYTES, BUCKET_MOST = 4 << 20, 128 << 20  # input of a bucket there, and at most
+SLICE_MOST = 16 << 20
+
+
+def bucket_count(size: int, per_bucket: int = BUCKET_BYTES) -> int:
+    """Hash buckets (a power of two, 8 at least) for ``size`` input bytes.
+
+    A slice sends a row to each bucket, so rows are slices times buckets. Were
+    both in proportion to the input, a row would hold fewer and fewer postings.
+    So beyond ``PROPORTIONAL`` buckets, and slices too (``slice_bytes``), grow
+    with the square root of the input, up to what one task can hold of each."""
+    wanted = -(-size // per_bucket)
+    if size > PROPORTIONAL:
+        wanted = max(math.ceil(math.sqrt(PROPORTIONAL * size) / per_bucket), -(-size // max(per_bucket, BUCKET_MOST)))
+    return 1 << max(3, (max(1, wanted) - 1).bit_length())
+
+
+def buckets_for(df: DataFrame, per_bucket: int = BUCKET_BYTES) -> int:
+    """``bucket_count`` for what ``df`` reads."""
+    return bucket_count(input_bytes(df) or 0, per_bucket)
+
+
+def slice_limit(size: int, least: int = SLICE_BYTES) -> int:
+    """Bytes of a slice that sends postings, for ``size`` input bytes."""
+    return max(least, min(SLICE_MOST, int(least * math.sqrt(max(1.0, size / PROPORTIONAL)))))
+
+
+def slice_bytes(df: DataFrame, least: int = SLICE_BYTES) -> int:
+    return slice_limit(input_bytes(df) or 0, least)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",

@@ -44,7 +44,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import (bucket_ranges, buckets_for, cut, encoded, group_starts, mix, narrow, pack, slices,
+from tessera.llm.common import (bucket_ranges, buckets_for, cut, encoded, group_starts, mix, narrow, pack, slice_bytes, slices,
                                 unpack, window_hashes, word_hashes)
 from tessera.llm.components import connected_components
 
@@ -95,8 +95,10 @@ def set_facts(docs: DataFrame, params: JoinParams, n_buckets: int) -> DataFrame:
     many of its runs occur in another row. ``first`` names a slice of documents
     by its first row; a bucket answers a slice in one row."""
 
+    limit = slice_bytes(docs)
+
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=limit):
             keys, counts = shingle_sets(encoded(part), params.n)
             rid, k = part.column(0).to_numpy(), part.num_rows
             first = int(rid[0])

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import (SLICE_BYTES, bucket_ranges, buckets_for, cut, encoded, group_starts, mix, narrow, pack,
-                                planes, slices, unpack, unplanes, word_hashes)
+                                planes, slice_bytes, slices, unpack, unplanes, word_hashes)
 
 ORDER = 2  # of the broadcast trie, and the default
 MAX_ORDER = 7  # a gram is a 64-bit key
@@ -362,11 +362,13 @@ def score_documents(docs: DataFrame, train: Column, order: int = ORDER) -> DataF
     model = sc.broadcast(((uuid.uuid4().hex, *trie), heavy))
     n, v = words + n_train, distinct + (n_train > 0)
 
+    limit = slice_bytes(docs, SLICE_BYTES if order == ORDER else LONG_SLICE)
+
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, (heavy_h, heavy_c) = model.value
         costs = low_trie(*trie).costs
         heavy_log = np.log10(heavy_c + 0.1)
-        for part in slices(batches, limit=SLICE_BYTES if order == ORDER else LONG_SLICE):
+        for part in slices(batches, limit=limit):
             texts = encoded(part)
             is_train = np.asarray(part.column(3))
             sent: dict[int, list] = {}  # bucket -> packed words, packed grams

@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import (bucket_ranges, buckets_for, cut, encoded, group_starts, narrow, pack, slices, unpack,
+from tessera.llm.common import (bucket_ranges, buckets_for, cut, encoded, group_starts, narrow, pack, slice_bytes, slices, unpack,
                                 window_hashes, word_hashes)
 
 ROWS = "bucket int, base long, settled boolean, data binary"
@@ -131,8 +131,10 @@ def shared_anchors(docs: DataFrame, params: CoverParams, n_buckets: int) -> Data
     at_cover[list(params.cover)] = True
     size = params.anchor
 
+    limit = slice_bytes(docs)
+
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=limit):
             h, per, row, _, pos = _parsed(part)
             keys = window_hashes(h, size)
             if not len(keys):
@@ -183,8 +185,10 @@ def repeated_windows(docs: DataFrame, anchors: DataFrame, params: CoverParams, n
     a smaller id; ``anchors`` as ``shared_anchors`` gives them."""
     size, reach = params.window, params.window - params.anchor
 
+    limit = slice_bytes(docs)
+
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=limit):
             h, per, row, start, _ = _parsed(part)
             first = window_hashes(h, size)
             if not len(first):

@@ -149,3 +149,27 @@ def test_empty_tables(spark):
     assert substring_dedup.remove_repeats(only_null).count() == 2
     assert sorted((r.doc_id or 0, r.component_id) for r in
                   jaccard_join.jaccard_components(only_null).collect()) == [(0, None), (5, 5)]
+
+
+def test_rows_of_the_exchange_stay_large():
+    """Postings of one row (a slice's share of a bucket), at one per eight bytes
+    of text: as many at 1 TB as at a few GB, and a bucket fits one task."""
+    from tessera.llm.common import BUCKET_MOST, bucket_count, slice_limit
+
+    sizes = [1 << 20, 512 << 20, 30 << 30, 1 << 40]
+    per_row = [min(slice_limit(s), s) / 8 / bucket_count(s) for s in sizes]
+    assert all(n >= 230 for n in per_row), per_row
+    assert [bucket_count(s) for s in sizes[:2]] == [8, 128]
+    assert all(s / bucket_count(s) <= BUCKET_MOST for s in [*sizes, 100 << 40])
+
+
+def test_results_do_not_depend_on_slices_and_buckets(spark, monkeypatch):
+    from tessera.llm import common
+
+    docs = documents(spark, [(i, t, g, s) for i, t, g, s in rows(n=16) if i is not None])
+    want = [sorted(map(str, f(docs).collect())) for f in (substring_dedup.remove_repeats, jaccard_join.jaccard_components)]
+    monkeypatch.setattr(common, "PROPORTIONAL", 1 << 10)
+    monkeypatch.setattr(common, "SLICE_MOST", 1 << 30)
+    for size in (1 << 12, 1 << 22):
+        monkeypatch.setattr(common, "input_bytes", lambda df: size)
+        assert [sorted(map(str, f(docs).collect())) for f in (substring_dedup.remove_repeats, jaccard_join.jaccard_components)] == want
