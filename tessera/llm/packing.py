@@ -21,6 +21,7 @@ The pattern table sent to tasks is bounded by the number of bins.
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import unicodedata
@@ -48,7 +49,7 @@ class PackParams:
     seq_len: int = 4096
     unit: int = 16
     end_id: int = 2
-    rank_rows: int = 100_000  # about as many pieces are ranked in one window
+    rank_rows: int = 10_000  # about as many pieces of a bin are ranked in one window
 
 
 # --- token ids ----------------------------------------------------------------
@@ -64,7 +65,8 @@ def _byte_symbols() -> dict[int, int]:
 class WordIds:
     """Token ids of texts, with the ids of each distinct chunk kept.
 
-    The vocabulary's tokenizer folds case and composition, splits a text into
+    A file of another kind than the following (its normalizer and word pattern
+    are read from it) encodes every text whole. The vocabulary's tokenizer folds case and composition, splits a text into
     words, never across white space, and merges each word by itself. So the
     chunks between white space can be looked up, and only the words of new
     chunks go to the merge model. Texts for which the folding depends on more
@@ -73,16 +75,32 @@ class WordIds:
     through the tokenizer whole.
     """
 
-    WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     WHOLE = re.compile("<\\||[\u03a3\u0130\x1c-\x1f\x85\u180e]")
     SYMBOLS = _byte_symbols()
 
     def __init__(self, tokenizer_json: str) -> None:
         self.tok = Tokenizer.from_str(tokenizer_json)
         self.model = self.tok.model
+        pattern = self.word_pattern(json.loads(tokenizer_json))
+        self.words = regex.compile(pattern) if pattern else None
         self.kept: dict[str, bytes] = {}
         self.short: dict[str, bytes] = {}  # punctuation and other words of up to three letters
 
+    @staticmethod
+    def word_pattern(spec: dict) -> str | None:
+        """The pattern of words, if the file folds case and composition, splits
+        words, never across white space, and merges the bytes of each."""
+        folds = [(n["type"], n.get("pattern"), n.get("content")) for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        known = (folds == [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)]
+                 and [s["type"] for s in steps] == ["Split", "ByteLevel"]
+                 and steps[0]["behavior"] == "Removed" and steps[0]["invert"] and "Regex" in steps[0]["pattern"]
+                 and not steps[1]["use_regex"] and not steps[1]["add_prefix_space"]
+                 and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout")
+                 and all(t["content"].startswith("<|") for t in spec.get("added_tokens", [])))
+        pattern = steps[0]["pattern"]["Regex"] if known else None
+        return pattern if known and not regex.search(pattern, " \n\t") else None
+
     def _word(self, word: str) -> bytes:
         if not (word.isascii() and word.isprintable()):  # those are their own symbols
             word = word.encode().decode("latin-1").translate(self.SYMBOLS)
@@ -97,7 +115,7 @@ class WordIds:
 
     def _chunk(self, chunk: str) -> bytes:
         out = []
-        for word in self.WORDS.findall(chunk):
+        for word in self.words.findall(chunk):
             if len(word) > 3:
                 out.append(self._word(word))
             else:
@@ -112,7 +130,7 @@ class WordIds:
 
     def text_ids(self, text: str) -> bytes:
         """Ids of a text as little-endian 32-bit integers."""
-        if self.WHOLE.search(text):
+        if self.words is None or self.WHOLE.search(text):
             return self._whole(text)
         if len(self.kept) > CACHE_CHUNKS:
             self.kept.clear()
@@ -269,8 +287,10 @@ def pack_pieces(pieces: DataFrame, params: PackParams = PackParams()) -> DataFra
     slots = slot_table(cutting_stock(demand, capacity))
 
     # Rank within the bin: row number within a salted part plus the parts before.
-    salt = F.pmod(F.xxhash64("doc_id", "start"), F.lit(max(1, -(-int(demand.sum()) // params.rank_rows))))
-    salted = binned.withColumn("part", salt)
+    # A hot bin has as many parts as its own count asks for.
+    parts = F.create_map(*[F.lit(x) for b, n in histogram.items() for x in (b, -(-n // params.rank_rows))]) if histogram \
+        else F.create_map(F.lit(0), F.lit(1))
+    salted = binned.withColumn("part", F.pmod(F.xxhash64("doc_id", "start"), F.element_at(parts, F.col("bin"))))
     sizes = salted.groupBy("bin", "part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("bin").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("bin", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))

@@ -413,3 +413,17 @@ def test_pipeline_on_odd_tables(spark, tmpdir_path, table):
     out = corpus_pipeline.run(spark, tmpdir_path)
     assert {"doc_id", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(out.columns)
     assert out.count() <= 40
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_other_tokenizer_files_give_their_own_ids(name):
+    """A file whose normalizer or words differ is not taken for the known kind."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        spec = f.read()
+    words, tok = packing.WordIds(spec), Tokenizer.from_str(spec)
+    assert (words.words is None) is (name != "word_bpe_49k.json")
+    for text in ("The Quick brown fox's 42 jumps", "Über  Straße\n\tNaïve e\u0301", "<|endoftext|> x", "", "日本語 🙂"):
+        assert np.frombuffer(words.text_ids(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
