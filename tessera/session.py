@@ -68,10 +68,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_scratch: dict[str, list[str]] = {}  # folders named so far, by application
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (sink tables, cut tables)."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def delete_scratch(spark: SparkSession) -> int:
+    """Delete every folder that ``scratch_path`` has named in this application,
+    and return their number. Results are lazy and read those folders, so the
+    caller does this once what it wanted is written or collected."""
+    paths = _scratch.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        delete_path(spark, path)
+    return len(paths)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

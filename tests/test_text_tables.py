@@ -52,3 +52,16 @@ def test_quoted_names_and_nulls(spark):
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "src long, dst long")
     assert readers.read_adjacency(spark, text_tables.write_adjacency(none, text_tables.round_trip(spark, "e"))).count() == 0
+
+
+def test_scratch_is_deleted_on_request(spark):
+    import os
+
+    from tessera.session import delete_scratch, materialize, scratch_path
+
+    kept = materialize(spark.range(5), "kept")
+    out = scratch_path(spark, "named-only")
+    folder = kept.inputFiles()[0].rsplit("/", 1)[0].replace("file://", "")
+    assert os.path.isdir(folder) and kept.count() == 5
+    assert delete_scratch(spark) >= 2
+    assert not os.path.isdir(folder) and not os.path.isdir(out.replace("file:", "")) and delete_scratch(spark) == 0
