@@ -16,17 +16,19 @@ characters are aligned whole.
 **Counting** by external spills. A slice of documents (a *run*) reduces its
 (pair, document) records to the documents per pair, radix-partitions them by the
 low bits of the A id, and writes each part, sorted by A id and then B id, as
-blocks of zstandard frames. Parts of up to ``FAN`` runs meet in a k-way heap
-merge that holds one block of each and adds up the counts; a second merge over
-these sums sees all of a radix part. As the order is by A id first, the greatest
-count of an A id is known when its last pair has passed, and the counts go back
-at once to the sums that the pairs came from, in the order they came, and from
-there to the runs. A run adds them up over its documents.
+blocks of zstandard frames. Parts of about ``FAN`` runs meet in a k-way heap
+merge that holds one block of each and adds up the counts. Merges of such sums
+follow until ``FAN`` at most are left, and the last one sees all of a radix part.
+As the order is by A id first, the greatest count of an A id is known when its
+last pair has passed, and the counts go back at once to the sums that the pairs
+came from, in the order they came, and merge by merge to the runs. A run adds
+them up over its documents.
 
 Per radix part a run sends its distinct pairs, whatever their number of
-occurrences, so a frequent id is one record per partner and run; a merge reads
-at most ``FAN`` runs, or all sums of a part, whose pairs the two vocabularies
-bound. Runs are written once to the shared folder and read from there.
+occurrences, so a frequent id is one record per partner and run; a sum has each
+pair once, so the vocabularies bound it. No merge reads more than about ``FAN``
+of them, whatever the input; there are as many rounds as its logarithm. Runs and
+sums that are read twice are written once to the shared folder.
 
 Defined results: a null or empty text, or one that a vocabulary does not give
 back byte for byte, has no tokens and zeros, with empty groups; each row is a
@@ -57,7 +59,7 @@ from tessera.session import input_bytes, scratch_path
 
 RUN_BYTES = 8 << 20  # text of a run
 RADIX = 64  # parts of a run
-FAN = 512  # runs that meet in a first merge
+FAN = 512  # runs or sums that meet in a merge
 BLOCK = 1024  # records of a block
 KEPT_CHUNKS = 400_000  # distinct chunks that a worker keeps
 SPACE = "\u2581"  # a space in a piece
@@ -412,7 +414,7 @@ def align_tokenizers(docs: DataFrame, a_json: str, b_model: bytes, digest: bool
     ``a1,a2|b1;a3|b2,b3``, or the SHA-256 of that text with ``digest``."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((a_json, b_model))
-    # So many groups of runs that a first merge reads about FAN of them.
+    # So many groups of runs that a merge reads about FAN of them (a run may be shorter than it can be).
     n_groups = max(1, -(-(input_bytes(docs) or 0) // (RUN_BYTES * FAN // 4)))
 
     def spill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -429,27 +431,40 @@ def align_tokenizers(docs: DataFrame, a_json: str, b_model: bytes, digest: bool
             grp = (run ^ run >> 33) % n_groups
             yield _rows(run=[run] * n, grp=[grp] * n, part=[OWN, *part[at].tolist()], data=data)
 
-    def add(group: pa.Table) -> pa.Table:
-        grp, part = group.column("grp")[0].as_py(), group.column("part")[0].as_py()
-        return pa.Table.from_batches([_rows(run=[None], grp=[grp], part=[part],
-                                            data=[sum_runs(group.column("data").to_pylist())])])
+    def added(level: DataFrame, next_groups: int) -> DataFrame:
+        """The sums of each group of ``level``, as rows of the next level: ``run`` is
+        the number of the group, ``grp`` that of the group it meets there."""
+
+        def add(group: pa.Table) -> pa.Table:
+            grp, part = group.column("grp")[0].as_py(), group.column("part")[0].as_py()
+            return pa.Table.from_batches([_rows(run=[grp], grp=[grp % next_groups], part=[part],
+                                                data=[sum_runs(group.column("data").to_pylist())])])
+
+        return level.groupBy("grp", "part").applyInArrow(add, SENT)
 
     def total(group: pa.Table) -> pa.Table:
         data = total_runs(group.column("data").to_pylist())
-        return pa.Table.from_batches([_rows(run=[None] * len(data), grp=group.column("grp").to_pylist(),
+        return pa.Table.from_batches([_rows(run=group.column("run").to_pylist(), grp=[None] * len(data),
                                             part=group.column("part").to_pylist(), data=data)])
 
-    def give_back(group: pa.Table) -> pa.Table:
-        runs, data = group.column("run").to_pylist(), group.column("data").to_pylist()
-        keys, totals, best = read_run(data[runs.index(None)], 2)
-        out, to = [], []
-        for run, sent in zip(runs, data):
-            if run is not None:
-                at = np.searchsorted(keys, read_run(sent, 1)[0])
-                out.append(write_run(np.arange(len(at)), totals[at], best[at]))
-                to.append(run)
-        n = len(out)
-        return pa.Table.from_batches([_rows(run=to, grp=[None] * n, part=[group.column("part")[0].as_py()] * n, data=out)])
+    def given_back(level: DataFrame, answers: DataFrame, is_last: bool) -> DataFrame:
+        """Each row of ``level`` gets the counts of its keys from the answer to its group."""
+
+        def give_back(group: pa.Table) -> pa.Table:
+            runs, data = group.column("run").to_pylist(), group.column("data").to_pylist()
+            keys, totals, best = read_run(data[runs.index(None)], 2)
+            out, to = [], []
+            for run, sent in zip(runs, data):
+                if run is not None:
+                    own = read_run(sent, 1)[0]
+                    at = np.searchsorted(keys, own)
+                    out.append(write_run(np.arange(len(at)) if is_last else own, totals[at], best[at]))
+                    to.append(run)
+            n = len(out)
+            return pa.Table.from_batches([_rows(run=to, grp=[None] * n, part=[group.column("part")[0].as_py()] * n, data=out)])
+
+        to_group = answers.select(F.lit(None).cast("long").alias("run"), F.col("run").alias("grp"), "part", "data")
+        return level.unionByName(to_group).groupBy("grp", "part").applyInArrow(give_back, SENT)
 
     def gather(group: pa.Table) -> pa.Table:
         data = dict(zip(group.column("part").to_pylist(), group.column("data").to_pylist()))
@@ -471,7 +486,12 @@ def align_tokenizers(docs: DataFrame, a_json: str, b_model: bytes, digest: bool
     spilled.write.partitionBy("own").parquet(path)
     written = spark.read.schema(spilled.schema).parquet(path)
     own, runs = (written.filter(F.col("own") == is_own).drop("own") for is_own in (True, False))
-    sums = runs.groupBy("grp", "part").applyInArrow(add, SENT)
-    totals = cut(sums.groupBy("part").applyInArrow(total, SENT), "alignment-totals")
-    answers = runs.unionByName(totals).groupBy("grp", "part").applyInArrow(give_back, SENT)
+    levels, n = [runs], n_groups
+    while n > FAN:
+        n = -(-n // FAN)
+        levels.append(cut(added(levels[-1], n), "alignment-sums"))
+    sums = added(levels[-1], 1)
+    answers = cut(sums.groupBy("part").applyInArrow(total, SENT), "alignment-totals")
+    for level in reversed(levels):
+        answers = given_back(level, answers, level is runs)
     return own.unionByName(answers).groupBy("run").applyInArrow(gather, DOC)

@@ -321,10 +321,11 @@ def test_merge_counts_and_maxima():
         assert totals == [want[k] for k in keys] and best == [want[k] == most[k >> al.B_BITS] for k in keys]
 
 
-@pytest.mark.parametrize("fan", [al.FAN, 1])
-def test_query_alignment(spark, monkeypatch, encoders, fan):
-    monkeypatch.setattr(al, "FAN", fan)  # one run a first merge
+@pytest.mark.parametrize("n_groups", [1, 40])
+def test_query_alignment(spark, monkeypatch, encoders, n_groups):
     monkeypatch.setattr(al, "RUN_BYTES", 4096)
+    monkeypatch.setattr(al, "FAN", 4)  # 40 groups of runs are merged to 10, 3 and 1
+    monkeypatch.setattr(al, "input_bytes", lambda df: 4096 * n_groups)
     data = [r for r in rows(n=20)] + [(70_000 + k, t, None, None) for k, t in enumerate(odd_texts(9, 40))]
     groups = [brute_groups(encoders, t) for _, t, _, _ in data]
     links = [Counter((x, y) for xs, ys in g for x in xs for y in ys) for g in groups]
