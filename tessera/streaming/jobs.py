@@ -182,8 +182,9 @@ def run_hashtag_stream(spark: SparkSession, statuses: DataFrame, out_path: str |
     """Start the hashtag job; returns the sink folder (parquet, one folder per
     epoch).
 
-    ``append``: each window once, when the watermark has passed its end. The final buckets of the last window length are kept beside the sink, one
-    table per epoch of which the newest two stay, and meet the next epoch's.
+    ``append``: each window once, when the watermark has passed its end. The
+    final buckets of the last window length are kept beside the sink, one table
+    per epoch of which the newest two stay, and meet the next epoch's.
     ``complete``: the state holds the count of every bucket; each micro-batch
     turns all of them into windows and writes the whole result as its epoch
     (``latest`` reads the newest), so a reader never sees a half-written one.
