@@ -164,3 +164,25 @@ def test_min_rating_floor(spark):
     df = spark.createDataFrame(data, "user long, item long, rating int")
     got = {(r["item1"], r["item2"]) for r in similarity.item_similarity(df, min_rating=3).collect()}
     assert got == {(1, 3)}
+
+
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_pair_sums_of_item_blocks_meet_in_one_task(spark, blocks):
+    """With blocks no sum of a pair is shuffled; rows without an item make no pair."""
+    data = _random_ratings(11, users=25, items=30, per_user=(1, 25))
+    ui = similarity.user_item_ratings(spark.createDataFrame(data + [(1, None, 3), (None, 2, 3)], "user long, item long, rating int"))
+    sums = similarity.chunked_pair_sums(ui, 8, blocks=blocks)
+    want = brute_force([r for r in data])
+    assert {(r["item1"], r["item2"]): r["n"] for r in sums.collect()} == {k: n for k, (_, n) in want.items()}
+    above = sums._jdf.queryExecution().executedPlan().toString().split("Generate explode(arrays_zip")[0]
+    assert ("Exchange" in above) == (blocks == 1)
+
+
+def test_more_blocks_only_where_pairs_share_users(spark):
+    """Ratings are copied for blocks where many users share a pair; where each pair
+    has users of its own, the copies would outnumber the pairs."""
+    shared = spark.range(400).crossJoin(spark.range(60).withColumnRenamed("id", "item"))
+    shared = shared.select(F.col("id").alias("user"), "item", F.lit(1.0).alias("r"))
+    assert similarity._block_count(spark, shared, 400 * 60 * 59 // 2, 400 * 60) > 1
+    assert similarity._block_count(spark, shared, 400, 800) == 1
+    assert similarity._distinct_pairs(shared, 400 * 60 * 59 // 2) <= 1.1 ** 2 * 66 ** 2 // 2

@@ -111,3 +111,15 @@ def test_genres_survive_the_pipe_rows(spark):
     path = text_tables.write_titles(bindings.titles_with_genres(spark, SF_SMALL), text_tables.round_trip(spark, "t"), flags=30)
     assert rows(readers.read_genres(spark, path, flags=30)) == want
     assert len({g for _, _, g in want}) > 1 and catalog.PARAMS["genre_weight"] > 0
+
+
+def test_genre_masks_are_joined_by_their_real_size(spark):
+    """A joined table's estimate is the product of its inputs' sizes: the pairs
+    were planned to be shuffled for each of the two joins."""
+    wide = spark.range(40000).select("id", (F.col("id") % 7).alias("k"))
+    genres = wide.join(spark.range(3000).select(F.col("id").alias("k"), F.lit(3).cast("long").alias("genres")), "k")
+    pairs = spark.range(50).selectExpr("id AS item1", "id + 1 AS item2", "0.5D AS score", "1L AS n")
+    out = similarity.with_genres(pairs, genres.select("id", "genres"), 0.2)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+    assert {(r["genre_overlap"], round(r["boosted"], 6)) for r in out.collect()} == {(1.0, 0.6)}
