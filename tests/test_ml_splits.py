@@ -224,3 +224,35 @@ def test_normal_equation_tells_factors_that_solve_it(spark):
         other = model.userFactors.withColumn("features", F.transform("features", lambda x: (x * 1.05).cast("float")))
         assert ml.normal_equation_residual(fitted, other, model.itemFactors, user, 0.05).first()["residual"] > 1e-2
     assert ml.normal_equation_residual(fitted, model.userFactors, model.itemFactors, 999, 0.05).first()["residual"] is None
+
+
+def test_fold_copies_are_not_shuffled(spark, monkeypatch):
+    """Rows are dealt by their order alone, before they are copied for the sets,
+    and columns that only the numbering needs are not written with them."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    dealt = []
+    deal = DataFrame.repartitionByRange
+    monkeypatch.setattr(DataFrame, "repartitionByRange",
+                        lambda self, n, *keys: dealt.append((self.columns, keys)) or deal(self, n, *keys))
+    df = spark.range(300).selectExpr("id % 7 AS user", "id % 11 AS item", "id AS row", "'x' AS wide")
+    folds = splits.kfold_split(df, ["row", "wide"], 3, keep=["user", "item", "row"])
+    assert folds.columns == ["user", "item", "row", "fold"]
+    path = splits.write_folds(folds, 3, scratch_path(spark, "folds"), ["user", "item"])
+    assert [keys for _, keys in dealt] == [("row", "wide"), ("user", "item")] and "set" not in dealt[1][0]
+    assert spark.read.parquet(path).groupBy("set", "role").count().count() == 6
+    assert spark.read.parquet(path).count() == 3 * 300
+
+
+def test_als_reads_its_ratings_once_and_ships_factors_to_few_blocks(spark, monkeypatch):
+    rnd = random.Random(4)
+    data = [(u, i, float(rnd.randint(1, 5))) for u in range(90) for i in rnd.sample(range(12), 6)]
+    df = spark.createDataFrame(data, "user long, item long, rating double")
+    _, fitted, _, _ = ml.fit_als(df.groupBy("user", "item").agg(F.avg("rating").alias("rating")), rank=2, max_iter=2)
+    assert "Aggregate" not in fitted._jdf.queryExecution().optimizedPlan().toString()
+    # Many users, few items: a user's factors go to each block of items.
+    assert ml.als_blocks(10, 500, 90, 12) == (10, 10)  # few ratings: a block per core on both sides
+    assert ml.als_blocks(12, 3_400_000, 60_000, 6_000) == (12, 4)
+    assert ml.als_blocks(12, 3_400_000, 6_000, 60_000) == (4, 12)
+    users, items = ml.als_blocks(12, 10 * 12 * ml.BLOCK_RATINGS, 10**9, 10**8)
+    assert users == items == 120
