@@ -29,6 +29,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -83,8 +84,12 @@ class WordIds:
         self.model = self.tok.model
         pattern = self.word_pattern(json.loads(tokenizer_json))
         self.words = regex.compile(pattern) if pattern else None
+        # Of chunks and of the words in them, each with those of the time before:
+        # a full table becomes the older one, and what is still in use moves on.
         self.kept: dict[str, bytes] = {}
-        self.short: dict[str, bytes] = {}  # punctuation and other words of up to three letters
+        self.older: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.older_known: dict[str, bytes] = {}
 
     @staticmethod
     def word_pattern(spec: dict) -> str | None:
@@ -114,15 +119,16 @@ class WordIds:
         return packed.tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is not None:
+            return ids
         out = []
         for word in self.words.findall(chunk):
-            if len(word) > 3:
-                out.append(self._word(word))
-            else:
-                ids = self.short.get(word)
-                if ids is None:
-                    ids = self.short[word] = self._word(word)
-                out.append(ids)
+            ids = self.known.get(word)
+            if ids is None:
+                ids = self.older_known.get(word) or self._word(word)
+                self.known[word] = ids
+            out.append(ids)
         return out[0] if len(out) == 1 else b"".join(out)
 
     def _whole(self, text: str) -> bytes:
@@ -133,8 +139,9 @@ class WordIds:
         if self.words is None or self.WHOLE.search(text):
             return self._whole(text)
         if len(self.kept) > CACHE_CHUNKS:
-            self.kept.clear()
-            self.short.clear()
+            self.older, self.kept = self.kept, {}
+        if len(self.known) > CACHE_CHUNKS:
+            self.older_known, self.known = self.known, {}
         chunks = unicodedata.normalize("NFC", text).lower().split()
         found = list(map(self.kept.get, chunks))
         if None in found:
@@ -148,6 +155,12 @@ class WordIds:
         return b"".join(found)
 
 
+@lru_cache(maxsize=1)
+def word_ids(tokenizer_json: str) -> WordIds:
+    """One per Python worker: its later tasks find the words of earlier ones."""
+    return WordIds(tokenizer_json)
+
+
 def tokenized_pieces(docs: DataFrame, tokenizer_json: str, params: PackParams = PackParams()) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens``: full sequences and one
     rest of each row of ``docs`` (``doc_id``, ``text``)."""
@@ -156,7 +169,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_json: str, params: PackParams =
     step = params.seq_len * 4
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordIds(shared.value)
+        encoder = word_ids(shared.value)
         for part in slices(batches, limit=1 << 20):
             rows = []
             for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):

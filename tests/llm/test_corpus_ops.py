@@ -427,3 +427,23 @@ def test_other_tokenizer_files_give_their_own_ids(name):
     assert (words.words is None) is (name != "word_bpe_49k.json")
     for text in ("The Quick brown fox's 42 jumps", "Über  Straße\n\tNaïve e\u0301", "<|endoftext|> x", "", "日本語 🙂"):
         assert np.frombuffer(words.text_ids(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
+def test_word_ids_outlive_a_full_table(monkeypatch):
+    """A full table keeps what is still in use, ids stay right over the turns, and a
+    worker's next task gets the same tables."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    monkeypatch.setattr(packing, "CACHE_CHUNKS", 5)
+    words, tok = packing.WordIds(spec), Tokenizer.from_str(spec)
+    merged = []
+    merge = words._word
+    monkeypatch.setattr(words, "_word", lambda w: merged.append(w) or merge(w))
+    for k in range(40):
+        text = f"Always kept, always: w{'xyz'[k % 3]}{'abcdefgh' [k % 8]}q{'lmnop'[k % 5]}r don't!!"
+        assert np.frombuffer(words.text_ids(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert merged.count("always") == 1
+    assert packing.word_ids(spec) is packing.word_ids(spec)
