@@ -1,11 +1,13 @@
 import math
 import random
+import time
 from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import similarity
+from tessera.session import CLEANUP, materialize
 
 
 def brute_force(ratings):
@@ -186,3 +188,38 @@ def test_more_blocks_only_where_pairs_share_users(spark):
     assert similarity._block_count(spark, shared, 400 * 60 * 59 // 2, 400 * 60) > 1
     assert similarity._block_count(spark, shared, 400, 800) == 1
     assert similarity._distinct_pairs(shared, 400 * 60 * 59 // 2) <= 1.1 ** 2 * 66 ** 2 // 2
+
+
+def test_item_blocks_neither_shuffle_nor_copy_ratings(spark, monkeypatch):
+    """Each pair of blocks is a task that reads two columns of lists, whether
+    users are cut or not; the sums are those of the shuffled pairs."""
+    data = _random_ratings(19, users=30, items=40, per_user=(1, 30))
+    ui = similarity.user_item_ratings(spark.createDataFrame(data, "user long, item long, rating int"))
+    names = ["item1", "item2", "sxy", "sxx", "syy", "sx", "sy", "n"]
+
+    def sums(df):
+        return {tuple(round(r[c], 6) for c in names) for r in df.collect()}
+
+    want = sums(similarity.chunked_pair_sums(ui, 6, blocks=1))
+    for chunk_items in (6, 1000):
+        df = similarity.chunked_pair_sums(ui, chunk_items, blocks=4)
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert df.columns == names and df.rdd.getNumPartitions() == 10 and sums(df) == want
+    monkeypatch.setattr(similarity, "TASKS_OF_A_PLAN", 4)
+    assert sums(similarity.chunked_pair_sums(ui, 6, blocks=4)) == want
+
+
+def test_shuffle_files_go_once_a_table_is_written(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(",")
+        return {f for f in files.split(",") if "/shuffle_" in f}
+
+    df = spark.range(5000).groupBy((F.col("id") % 100).alias("k")).count()
+    before, setting = shuffled(), spark.conf.get(CLEANUP, None)
+    assert materialize(df, "kept").count() == 100 and shuffled() - before
+    before = shuffled()
+    assert materialize(df, "freed", free=True).filter("count = 50").columns == ["k", "count"]
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before and spark.conf.get(CLEANUP, None) == setting

@@ -123,3 +123,20 @@ def test_genre_masks_are_joined_by_their_real_size(spark):
     plan = out._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
     assert {(r["genre_overlap"], round(r["boosted"], 6)) for r in out.collect()} == {(1.0, 0.6)}
+
+
+def test_genre_masks_are_broadcast_whatever_the_threshold(spark, monkeypatch):
+    pairs = spark.range(50).selectExpr("id AS item1", "id + 1 AS item2", "0.5D AS score", "1L AS n")
+    genres = spark.range(40).selectExpr("id", "1L << CAST(id % 3 AS INT) AS genres")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = []
+        for most, join in ((similarity.BROADCAST_ITEMS, "BroadcastHashJoin"), (39, "SortMergeJoin")):
+            monkeypatch.setattr(similarity, "BROADCAST_ITEMS", most)
+            out = similarity.with_genres(pairs, genres, 0.2)
+            assert out._jdf.queryExecution().sparkPlan().toString().count(join) == 2
+            got.append(rows(out))
+        assert got[0] == got[1] and len(got[0]) == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
