@@ -140,3 +140,16 @@ def test_genre_masks_are_broadcast_whatever_the_threshold(spark, monkeypatch):
         assert got[0] == got[1] and len(got[0]) == 50
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_pruning_leaves_no_shuffle_files_of_its_steps(spark, monkeypatch):
+    freed = {}
+    write = similarity.materialize
+    monkeypatch.setattr(similarity, "materialize",
+                        lambda df, name, free=False: freed.update({name: free}) or write(df, name, free))
+    ui = spark.createDataFrame([(u, i, float(u % 5)) for u in range(30) for i in range(u % 3, 12, 2)], "user long, item long, r double")
+    sums, work = similarity.pruned_pair_sums(ui, 3)
+    assert {"items", "late-raters", "rated", "rated-degree", "user-degree"} <= {n for n, f in freed.items() if f}
+    every = similarity.chunked_pair_sums(ui).filter("n > 3")
+    assert rows(sums.filter("n > 3"), "item1", "item2", "n") == rows(every, "item1", "item2", "n")
+    assert work["all"] == work["of_items"] == 20 * 15 + 10 * 10  # 6 or 5 items a user
