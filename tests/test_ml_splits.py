@@ -256,3 +256,31 @@ def test_als_reads_its_ratings_once_and_ships_factors_to_few_blocks(spark, monke
     assert ml.als_blocks(12, 3_400_000, 6_000, 60_000) == (4, 12)
     users, items = ml.als_blocks(12, 10 * 12 * ml.BLOCK_RATINGS, 10**9, 10**8)
     assert users == items == 120
+
+
+def test_als_blocks_stay_small_and_its_files_go(spark, monkeypatch):
+    from pyspark.ml.recommendation import ALS
+
+    users, items = ml.als_blocks(6, 216_000_000, 5_400_000, 360_000)
+    assert 216_000_000 / users <= 6_000_000 and 216_000_000 / items <= 6_000_000
+    used, fit = [], ALS.fit
+    monkeypatch.setattr(ALS, "fit", lambda self, data: used.append(
+        (self.getCheckpointInterval(), self.getIntermediateStorageLevel(), spark.conf.get(ml.SPLITS))) or fit(self, data))
+    rnd = random.Random(6)
+    data = [(u, i, float(rnd.randint(1, 5))) for u in range(60) for i in rnd.sample(range(15), 6)]
+    df = spark.createDataFrame(data, "user long, item long, rating double")
+    before = spark.conf.get(ml.SPLITS, None)
+    model, fitted, _, _ = ml.fit_als(df, rank=3, max_iter=3)
+    want = model.transform(fitted).agg(F.avg(F.pow(F.col("prediction") - F.col("rating"), 2))).first()[0]
+    for most in (ml.BROADCAST_FACTORS, 0):
+        monkeypatch.setattr(ml, "BROADCAST_FACTORS", most)
+        errors = ml.squared_errors(fitted, model.userFactors, model.itemFactors, 3)
+        row = errors.agg(F.avg("e").alias("e"), F.count("e").alias("n")).first()
+        assert row["n"] == 360 and row["e"] == pytest.approx(want, rel=1e-4)
+    monkeypatch.setattr(ml, "FEW_RATINGS", 100)
+    monkeypatch.setattr(ml, "DISK_RATINGS", 100)
+    titles = spark.range(15).selectExpr("id", "concat('t', id) AS title")
+    row = ml.als_properties(df, titles, 7, k=5, rank=3, max_iter=3).first()
+    assert (row["items"], row["titled"], row["better_than_mean"], row["solves_normal_equation"]) == (5, 5, True, True)
+    assert [u[:2] for u in used] == [(10, "MEMORY_AND_DISK"), (1, "DISK_ONLY")]
+    assert used[0][2] == str(ml.SPLIT_BYTES) and spark.conf.get(ml.SPLITS, None) == before
